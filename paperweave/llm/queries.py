@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..tables import table as _t
-from . import format_copies, grid_components, survivor
+from . import bpe, format_copies, grid_components, mixture, quality, survivor
 
 
 def p1_found(s, d):
@@ -18,5 +18,25 @@ def p7_found(s, d):
     return format_copies.all_copies(_t(s, d, "paper_candidate"), _t(s, d, "source_record"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p7_found)}
+def p8_ids(s, d):
+    return bpe.encode_documents(_t(s, d, "documents"))
+
+
+def p9_mix(s, d):
+    return mixture.mix(_t(s, d, "documents"), _t(s, d, "mix_target"))
+
+
+def p9_shares(s, d):
+    return mixture.shares(_t(s, d, "documents"), _t(s, d, "mix_target"))
+
+
+def p10_found(s, d):
+    return quality.not_prose(_t(s, d, "documents"))
+
+
+def p10_statistics(s, d):
+    return quality.outliers(_t(s, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_statistics)}
 SQL: dict[str, str] = {}
