@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..tables import table as _t
-from . import bpe, format_copies, grid_components, mixture, quality, survivor
+from . import bpe, format_copies, grid_components, history, mixture, quality, survivor
 
 
 def p1_found(s, d):
@@ -14,6 +14,10 @@ def p2_found(s, d):
     return grid_components.candidate_groups(_t(s, d, "library_prelink_match"), _t(s, d, "candidate_resolution_status"), _t(s, d, "merge_review_queue"))
 
 
+def p6_found(s, d):
+    return history.repeated_rows(_t(s, d, "paper_candidate"), _t(s, d, "candidate_batch"))
+
+
 def p7_found(s, d):
     return format_copies.all_copies(_t(s, d, "paper_candidate"), _t(s, d, "source_record"))
 
@@ -38,5 +42,5 @@ def p10_statistics(s, d):
     return quality.outliers(_t(s, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p6_found, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_statistics)}
 SQL: dict[str, str] = {}
