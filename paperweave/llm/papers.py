@@ -135,7 +135,8 @@ def name_keys(names: str | None, counts: np.ndarray, limit: float) -> list[str]:
     out = set()
     for ws in name_words(names):
         ws = [w for w in ws if w not in GROUP and w != "the"] or ws
-        rare = [w for w in ws if len(w) >= 4 and counts[cell(w)] <= limit]
+        least = min(counts[cell(w)] for w in ws)
+        rare = [w for w in ws if len(w) >= 4 and counts[cell(w)] <= min(limit, 4 * least)]
         out.update(rare or [min(ws, key=lambda w: (counts[cell(w)], w))])
     return sorted(out)
 
@@ -356,8 +357,8 @@ def side(forms: DataFrame, number: int) -> DataFrame:
     return forms.select([F.col(c).alias(f"{c}{number}") for c in forms.columns])
 
 
-def contents(rows: DataFrame, scratch) -> tuple[DataFrame, DataFrame]:
-    """Distinct contents (rid, title, names, year, venue) and, per row id, its rid.
+def contents(rows: DataFrame, scratch, extra: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Distinct contents (rid, title, names, year, venue) and, per row (id, extra...), its rid.
 
     rows has id, title, names, year, venue; exact copies share the smallest id as rid. Contents are keyed
     by 128 bits of hash, so texts are shuffled once.
@@ -366,7 +367,7 @@ def contents(rows: DataFrame, scratch) -> tuple[DataFrame, DataFrame]:
     keyed = rows.withColumn("h1", F.xxhash64(*cols)).withColumn("h2", F.xxhash64(F.lit(71), *cols))
     first = keyed.groupBy("h1", "h2").agg(F.min(F.struct("id", *cols)).alias("x")).select("h1", "h2", F.col("x.id").alias("rid"), *[f"x.{c}" for c in cols])
     first = scratch.keep(first, "contents")
-    link = keyed.select("id", "h1", "h2").join(first.select("h1", "h2", "rid"), ["h1", "h2"]).select("id", "rid")
+    link = keyed.select("id", *extra, "h1", "h2").join(first.select("h1", "h2", "rid"), ["h1", "h2"]).select("id", *extra, "rid")
     return first.drop("h1", "h2"), link
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..tables import table as _t
-from . import bpe, format_copies, grid_components, history, mixture, quality, survivor
+from . import bpe, entity_match, format_copies, grid_components, history, mixture, name_variants, quality, survivor
 
 
 def p1_found(s, d):
@@ -14,6 +14,26 @@ def p2_found(s, d):
     return grid_components.candidate_groups(_t(s, d, "library_prelink_match"), _t(s, d, "candidate_resolution_status"), _t(s, d, "merge_review_queue"))
 
 
+def _names(s, d):
+    return _t(s, d, "paper_candidate"), _t(s, d, "source_record"), _t(s, d, "provider_dump")
+
+
+def p3_found(s, d):
+    return name_variants.variant_pairs(*_names(s, d))
+
+
+def p3_canonical(s, d):
+    return name_variants.canonical_names(*_names(s, d))
+
+
+def p5_found(s, d):
+    return entity_match.match(_t(s, d, "paper_candidate"), _t(s, d, "provider_dump"), with_confidence=False).select("candidate_id", "record_id")
+
+
+def p5_matches(s, d):
+    return entity_match.match(_t(s, d, "paper_candidate"), _t(s, d, "provider_dump"))
+
+
 def p6_found(s, d):
     return history.repeated_rows(_t(s, d, "paper_candidate"), _t(s, d, "candidate_batch"))
 
@@ -42,5 +62,5 @@ def p10_statistics(s, d):
     return quality.outliers(_t(s, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p6_found, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_canonical, p5_found, p5_matches, p6_found, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_statistics)}
 SQL: dict[str, str] = {}
