@@ -136,7 +136,7 @@ def name_keys(names: str | None, counts: np.ndarray, limit: float) -> list[str]:
     for ws in name_words(names):
         ws = [w for w in ws if w not in GROUP and w != "the"] or ws
         least = min(counts[cell(w)] for w in ws)
-        rare = [w for w in ws if len(w) >= 4 and counts[cell(w)] <= min(limit, 4 * least)]
+        rare = [w for w in ws if len(w) >= 4 and counts[cell(w)] <= min(limit, 2 * least + 2)]
         out.update(rare or [min(ws, key=lambda w: (counts[cell(w)], w))])
     return sorted(out)
 
