@@ -50,14 +50,19 @@ def query(sql: str | None = None):
     return add
 
 
+_MKEY = r"nullif(regexp_replace(message_id, '^[\s<>]+|[\s<>]+$', '', 'g'), '')"
+
+
 # ---- messages (problem 4)
-@query()
+@query(rf"""
+WITH RECURSIVE r AS (SELECT id, nullif(mail_uid, '') AS u, {_MKEY} AS m FROM mail_ingestion_record),
+ e AS (SELECT a.id AS x, b.id AS y FROM r a JOIN r b ON a.u = b.u UNION SELECT a.id, b.id FROM r a JOIN r b ON a.m = b.m),
+ t AS (SELECT id AS x, id AS y FROM r UNION SELECT t.x, e.y FROM t JOIN e ON t.y = e.x)
+SELECT x AS id FROM t GROUP BY x HAVING min(y) < x""")
 def p4_found(s, d):
     return delivery.repeats(_t(s, d, "mail_ingestion_record"))
 
 
-_MKEY = r"nullif(regexp_replace(message_id, '^[\s<>]+|[\s<>]+$', '', 'g'), '')"
-
 
 @query(rf"""
 WITH k AS (SELECT DISTINCT regexp_extract(m, '^([A-Za-z][A-Za-z_-]*)-', 1) || '@' || regexp_extract(m, '@(\S+)$', 1) AS producer, CAST(regexp_extract(m, '-(\d+)@', 1) AS BIGINT) AS number
