@@ -325,3 +325,77 @@ def exact_clusters(s, d):
 @query()
 def canonical_assignment(s, d):
     return resolve.assign(_keyed(s, d), ["doi", "pmid", "pmcid"])
+
+
+# ---- further filters, orders and audits
+@query("SELECT id, doi FROM source_record WHERE doi ILIKE '%.pdf%' OR doi ILIKE '%/download%' OR doi ILIKE '%_reference.pdf%' OR doi ILIKE '%suppl%'")
+def untidy_dois(s, d):
+    """Values of doi with file or supplement endings."""
+    return _t(s, d, "source_record").where("doi ilike '%.pdf%' or doi ilike '%/download%' or doi ilike '%_reference.pdf%' or doi ilike '%suppl%'").select("id", "doi")
+
+
+@query(r"SELECT id, CASE WHEN regexp_matches(year_guess, '^[0-9]') THEN CAST(regexp_extract(year_guess, '^[0-9]+', 0) AS BIGINT) END AS number FROM paper_candidate WHERE length(coalesce(year_guess, '')) < 18")
+def leading_numbers(s, d):
+    """The leading digits of a text as a number, null without."""
+    rows = _t(s, d, "paper_candidate").where("length(coalesce(year_guess, '')) < 18")
+    return rows.select("id", F.when(F.col("year_guess").rlike("^[0-9]"), F.regexp_extract("year_guess", "^[0-9]+", 0).cast("bigint")).alias("number"))
+
+
+@query("SELECT * FROM ((SELECT id, 'first' AS part FROM mail_ingestion_record ORDER BY id LIMIT 25) UNION ALL (SELECT id, 'last' FROM mail_ingestion_record ORDER BY id DESC LIMIT 25))")
+def batch_cuts(s, d):
+    """The first and the last n rows of a queue (L1, L2); the limits are the feature."""
+    mails = _t(s, d, "mail_ingestion_record").select("id")
+    cut = lambda o, name: mails.orderBy(o).limit(25).select("id", F.lit(name).alias("part"))
+    return cut("id", "first").unionByName(cut(F.desc("id"), "last"))
+
+
+@query(f"""WITH x AS (SELECT source_name, {_at(_FIND_DOI, 'doi')} AS doi, latency_ms, url FROM source_record WHERE matched)
+SELECT source_name, count(DISTINCT doi) AS n_dois, count(*) AS n_rows, count(url) AS n_urls, coalesce(sum(latency_ms), 0)::BIGINT AS latency FROM x GROUP BY 1""")
+def doi_placements(s, d):
+    """Distinct DOIs, filled URLs and time spent per source."""
+    rows = _t(s, d, "source_record").where("matched").withColumn("d", ids.find_doi(F.col("doi")))
+    return rows.groupBy("source_name").agg(F.countDistinct("d").alias("n_dois"), F.count("*").alias("n_rows"), F.count("url").alias("n_urls"), F.coalesce(F.sum("latency_ms"), F.lit(0)).alias("latency"))
+
+
+@query("""WITH m AS (SELECT run_id, count(*) AS n, coalesce(sum(num_candidates_extracted), 0)::BIGINT AS found, coalesce(sum(wall_time_ms), 0)::BIGINT AS ms FROM mail_ingestion_record GROUP BY 1)
+SELECT run_id, n, found, ms, n - lag(n) OVER w AS d_n, found - lag(found) OVER w AS d_found FROM m WINDOW w AS (ORDER BY run_id)""")
+def run_deltas(s, d):
+    """Counts per run and their change from the run before (A2, A22); one row per run."""
+    from pyspark.sql.window import Window
+
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    per = _t(s, d, "mail_ingestion_record").groupBy("run_id").agg(F.count("*").alias("n"), zero("num_candidates_extracted").alias("found"), zero("wall_time_ms").alias("ms"))
+    w = Window.orderBy("run_id")  # runs, not rows
+    return per.withColumn("d_n", F.col("n") - F.lag("n").over(w)).withColumn("d_found", F.col("found") - F.lag("found").over(w))
+
+
+@query(f"""WITH c AS (SELECT candidate_id, arg_min(raw_title, id) AS t FROM paper_candidate WHERE trim(raw_title) <> '' GROUP BY 1),
+ p AS (SELECT r.candidate_id, {_TOK.format('c.t')} AS a, {_TOK.format('r.title')} AS b FROM c JOIN source_record r ON r.candidate_id = c.candidate_id WHERE r.title IS NOT NULL),
+ j AS (SELECT candidate_id, max(CASE WHEN len(list_distinct(list_concat(a, b))) > 0 THEN len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) ELSE 0.0 END) AS x FROM p GROUP BY 1)
+SELECT CASE WHEN x >= 0.9 THEN 'near_exact' WHEN x >= 0.7 THEN 'close' WHEN x >= 0.4 THEN 'partial' ELSE 'far' END AS bucket, count(*) AS n FROM j GROUP BY 1""")
+def residual_buckets(s, d):
+    """Candidates by the best word overlap with a title of their records."""
+    c = _t(s, d, "paper_candidate").where("trim(raw_title) <> ''").groupBy("candidate_id").agg(F.min_by("raw_title", "id").alias("t"))
+    r = _t(s, d, "source_record").where("title is not null").select("candidate_id", "title")
+    best = c.join(r, "candidate_id").groupBy("candidate_id").agg(F.max(ids.token_jaccard(F.col("t"), F.col("title"))).alias("x"))
+    bucket = F.when(F.col("x") >= 0.9, "near_exact").when(F.col("x") >= 0.7, "close").when(F.col("x") >= 0.4, "partial").otherwise("far")
+    return best.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query(r"""SELECT signature, count(*) AS n, count(DISTINCT venue) AS n_spellings FROM (SELECT venue, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(venue), '[^a-z0-9]+'), lambda x: x NOT IN ('', 'the', 'of', 'and', 'in', 'for', 'journal')))), ' ') AS signature FROM source_record WHERE venue IS NOT NULL) GROUP BY 1""")
+def venue_signatures(s, d):
+    """Venues by their telling words in any order."""
+    light = F.array(*[F.lit(w) for w in ("", "the", "of", "and", "in", "for", "journal")])
+    words = F.array_sort(F.array_distinct(F.array_except(F.split(F.lower("venue"), "[^a-z0-9]+"), light)))
+    rows = _t(s, d, "source_record").where("venue is not null").select("venue", F.array_join(words, " ").alias("signature"))
+    return rows.groupBy("signature").agg(F.count("*").alias("n"), F.countDistinct("venue").alias("n_spellings"))
+
+
+@query("""SELECT s.candidate_id, s.id, coalesce(s.n_later, 0)::BIGINT AS n_later FROM (SELECT candidate_id, id, source_name, matched, count(*) FILTER (WHERE matched) OVER (PARTITION BY candidate_id ORDER BY id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS n_later FROM source_record) s WHERE NOT s.matched""")
+def unmatched_then_matched(s, d):
+    """Lookups without an answer and how many later ones of the candidate had one."""
+    from pyspark.sql.window import Window
+
+    later = Window.partitionBy("candidate_id").orderBy("id").rowsBetween(1, Window.unboundedFollowing)
+    rows = _t(s, d, "source_record").select("candidate_id", "id", "matched")
+    return rows.withColumn("n_later", F.count_if("matched").over(later)).where("not matched").select("candidate_id", "id", "n_later")
