@@ -6,6 +6,7 @@ import html
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,9 +29,10 @@ GROUP = frozenset("group network consortium collaboration investigators study re
 SAME_WORDS = {"deoxyribonucleic acid": "dna", "ribonucleic acid": "rna", "magnetic resonance imaging": "mri", "computed tomography": "ct", "haem": "hem", "aemi": "emi", "labell": "label", "modell": "model", "tumour": "tumor", "oedema": "edema", "paediatric": "pediatric", "randomis": "randomiz", "harmonis": "harmoniz", "behaviour": "behavior", "fibre": "fiber", "centre": "center", "oesophag": "esophag", "α": "alpha", "β": "beta", "γ": "gamma"}
 
 _TAG = regex.compile(r"</?\s*[a-zA-Z]{1,6}\s*/?>")
-_HEAD = regex.compile(r"^(?:\s|[\"'“”«»*_‘’]|\[(?:[a-z]{1,3}|pdf|html?|cita[a-z]*|book)\]|\[(?=[^\]]{15,}\]?$)|new\s*art[a-z]*\s*:?\s*[a-z]?\s*[:]\s*[a-z]?(?=\s)|new article:?\S?\s)+", regex.I)
-_TAIL = regex.compile(r"(?:\s|[\"'“”«»*_‘’]|\[\s*internet\s*\]|\((?:19|20)\d\d\)|[.;!,\]])+$", regex.I)
-_CUT = regex.compile(r"(?:…|\.\.\.|\. \.)[\s\"'”»*\])]*$")
+_HEAD = regex.compile(r"\[(?:[a-z]{1,3}|pdf|html?|cita[a-z]*|book)\]|new\s*art[a-z]*\s*:?\s*[a-z]?\s*:\s*[a-z]?(?=\s)|new article:?\S?\s")
+_TAIL = regex.compile(r"(?:\[\s*internet\s*\]|\((?:19|20)\d\d\))$")
+_EDGE = " \t\n\r\xa0\u2003\u2009\"'“”«»*_‘’"
+_END = _EDGE + ".;!,]"
 _VENUE_TAIL = regex.compile(r"\s[-–—‐]\s*(?:the\s+)?(?:" + "|".join(SERIAL.split()) + r")\b[^:]{0,70}$", regex.I)
 _WORDS = regex.compile(r"[\p{L}\p{N}]+")
 _HIDDEN = regex.compile(r"[\p{Cf}\p{M}]+")
@@ -58,15 +60,27 @@ def title_form(title: str | None) -> tuple[str, bool, str]:
     """(words joined by blanks, cut short?, marker) of a title without decorations."""
     if not title:
         return "", False, ""
-    t = plain(title).replace("_", " ")
+    t = plain(title).replace("_", " ").lstrip(_EDGE)
+    while t:
+        if t[0] == "[" or t.startswith("new"):
+            m = _HEAD.match(t)
+            if m:
+                t = t[m.end() :].lstrip(_EDGE)
+                continue
+            if t[0] == "[" and len(t) > 16 and "]" not in t[1:15]:
+                t = t[1:].lstrip(_EDGE)
+                continue
+        break
     cut = False
     for _ in range(4):
         before = t
-        t = _HEAD.sub("", t)
-        if _CUT.search(t):
-            cut, t = True, _CUT.sub("", t)
-        t = _TAIL.sub("", t)
-        if (m := _VENUE_TAIL.search(t)) and m.start() > 25:
+        u = t.rstrip(_EDGE + "])")
+        if u.endswith(("…", "...", ". .")):
+            cut, t = True, u.rstrip("…. ")
+        t = t.rstrip(_END)
+        if t[-1:] in ")t" or before[-1:] == "]":
+            t = _TAIL.sub("", before.rstrip(_EDGE + ".;!,") if before[-1:] == "]" else t).rstrip(_END)
+        if (" - " in t or "–" in t or "—" in t or "‐" in t) and (m := _VENUE_TAIL.search(t)) and m.start() > 25:
             t = t[: m.start()]
         if t == before:
             break
@@ -82,16 +96,23 @@ def title_form(title: str | None) -> tuple[str, bool, str]:
     return words, cut, marker
 
 
+_split_names: dict[str, list[str]] = {}
+
+
+def _words_of_name(name: str) -> list[str]:
+    ws = _split_names.get(name)
+    if ws is None:
+        if len(_split_names) > 300_000:
+            _split_names.clear()
+        ws = _split_names[name] = [w for w in _WORDS.findall(plain(name)) if len(w) >= 3 and not w.isdigit()]
+    return ws
+
+
 def name_words(names: str | None) -> list[list[str]]:
     """The words of three letters and more of every name of a comma-separated list."""
     if not names:
         return []
-    out = []
-    for n in plain(names).split(","):
-        ws = [w for w in _WORDS.findall(n) if len(w) >= 3 and not w.isdigit()]
-        if ws:
-            out.append(ws)
-    return out
+    return [ws for n in names.split(",") if (ws := _words_of_name(n.strip()))]
 
 
 def cell(word: str) -> int:
@@ -130,17 +151,61 @@ def name_counts(names: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def name_keys(names: str | None, counts: np.ndarray, limit: float) -> list[str]:
-    """The telling words of the names: those that few names have, or else the rarest of the name."""
-    out = set()
-    for ws in name_words(names):
-        ws = [w for w in ws if w not in GROUP and w != "the"] or ws
-        least = min(counts[cell(w)] for w in ws)
-        rare = [w for w in ws if len(w) >= 4 and counts[cell(w)] <= min(limit, 2 * least + 2)]
-        out.update(rare or [min(ws, key=lambda w: (counts[cell(w)], w))])
-    return sorted(out)
+class KeyFinder:
+    """Telling words of names under one table of counts; results are kept per name."""
+
+    def __init__(self, counts: np.ndarray):
+        self.counts, self.limit = counts, max(40.0, COMMON_NAME * float(counts[-1]))
+        self.known: dict[str, list[str]] = {}
+
+    def of_name(self, name: str) -> list[str]:
+        found = self.known.get(name)
+        if found is None:
+            if len(self.known) > 300_000:
+                self.known.clear()
+            ws = _words_of_name(name)
+            ws = [w for w in ws if w not in GROUP and w != "the"] or ws
+            found = []
+            if ws:
+                n = {w: int(self.counts[cell(w)]) for w in ws}
+                bound = min(self.limit, 2 * min(n.values()) + 2)
+                found = [w for w in ws if len(w) >= 4 and n[w] <= bound] or [min(ws, key=lambda w: (n[w], w))]
+            self.known[name] = found
+        return found
+
+    def keys(self, names: str | None) -> list[str]:
+        """The words that few names have, or else the rarest word, of every name of a list."""
+        if not names:
+            return []
+        return sorted({w for n in names.split(",") for w in self.of_name(n.strip())})
 
 
+_finders: dict[int, KeyFinder] = {}
+
+
+def _finder(counts: np.ndarray) -> KeyFinder:
+    found = _finders.get(id(counts))
+    if found is None or found.counts is not counts:
+        _finders.clear()
+        found = _finders[id(counts)] = KeyFinder(counts)
+    return found
+
+
+_venues: dict[str, str] = {}
+
+
+def _venue_words(venue: str | None) -> str:
+    if not venue:
+        return ""
+    found = _venues.get(venue)
+    if found is None:
+        if len(_venues) > 200_000:
+            _venues.clear()
+        found = _venues[venue] = "" if venue.strip().lower() in _NO_VENUE else " ".join(_WORDS.findall(plain(venue)))
+    return found
+
+
+@lru_cache(maxsize=500_000)
 def near(a: str, b: str) -> bool:
     """Whether two words differ by typing only: by one edit, by two from six letters on, by three from eleven on.
 
@@ -228,6 +293,8 @@ def same_title(a: str, b: str, cut_a: bool, cut_b: bool) -> int:
         return 0
     left = [w for w in dict.fromkeys(wa) if w not in sb]
     right = [w for w in dict.fromkeys(wb) if w not in sa]
+    if min(len(left), len(right)) > 5:
+        return 0
     left, right = _explained(left, right, both) if left or right else (left, right)
     heavy_l = [w for w in left if w not in LIGHT]
     heavy_r = [w for w in right if w not in LIGHT]
@@ -309,20 +376,22 @@ _YEAR = regex.compile(r"(?:19|20)\d\d")
 
 def form_frame(pdf: pd.DataFrame, counts: np.ndarray) -> pd.DataFrame:
     """FORM rows of a batch with columns rid, title, names, year, venue."""
-    limit = max(40.0, COMMON_NAME * counts[-1])
-    titles = [title_form(t) for t in pdf["title"]]
-    keys: dict[str | None, list[str]] = {}
-    for x in pdf["names"]:
-        if x not in keys:
-            keys[x] = name_keys(x, counts, limit)
+    finder = _finder(counts)
+    seen: dict[str | None, tuple[str, bool, str]] = {}
+    titles = []
+    for t in pdf["title"]:
+        form = seen.get(t)
+        if form is None:
+            form = seen[t] = title_form(t)
+        titles.append(form)
     return pd.DataFrame({
         "rid": pdf["rid"],
         "words": [t[0] for t in titles],
         "cut": [t[1] for t in titles],
         "marker": [t[2] for t in titles],
-        "keys": [keys[x] for x in pdf["names"]],
+        "keys": [finder.keys(x) for x in pdf["names"]],
         "year": [int(m.group()) if y and (m := _YEAR.search(y)) else 0 for y in pdf["year"]],
-        "venue": [" ".join(_WORDS.findall(plain(v))) if v and v.strip().lower() not in _NO_VENUE else "" for v in pdf["venue"]],
+        "venue": [_venue_words(v) for v in pdf["venue"]],
     })
 
 
@@ -345,11 +414,12 @@ def verify(pairs: DataFrame, ids: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            columns = [pdf[f"{c}{i}"].to_numpy() for c in cols for i in (1, 2)]
+            columns = [[x.split() for x in pdf[f"{c}{i}"]] if c == "keys" else pdf[f"{c}{i}"].to_numpy() for c in cols for i in (1, 2)]
             keep = np.fromiter((same_paper(*x) for x in zip(*columns, strict=True)), bool, len(pdf))
             yield pdf.loc[keep, ids]
 
-    return pairs.select(*ids, *[f"{c}{i}" for c in cols for i in (1, 2)]).mapInPandas(run, schema)
+    sent = [F.array_join(f"{c}{i}", " ").alias(f"{c}{i}") if c == "keys" else F.col(f"{c}{i}") for c in cols for i in (1, 2)]
+    return pairs.select(*ids, *sent).mapInPandas(run, schema)
 
 
 def side(forms: DataFrame, number: int) -> DataFrame:
