@@ -117,7 +117,7 @@ def describe(text: str) -> tuple:
     else:
         tabular = 0.0
     if tables >= 2:
-        tabular = 1.0
+        tabular, seps = 1.0, 0.0
     seps = (plain.count(";") + plain.count("|") + plain.count("·") + plain.count("•") + plain.count(",") + plain.count(" / ")) / n
     joined = " ".join(" ".join(lines).split())
     good = 0
@@ -145,7 +145,7 @@ def describe(text: str) -> tuple:
     else:
         odd = sum(1 for w in lower if (len(w) > 3 and w.isalpha() and not any(c in "aeiouyäöüáéíóúàèêâîôûåøæœ" or ord(c) > 0x24F for c in w)) or len(w) > 30 or (any(c.isdigit() for c in w) and any(c.isalpha() for c in w) and len(w) > 5)) / n
         single = sum(1 for w in words if len(w) == 1 and w.isalpha()) / n
-        odd = max(odd, single if single > 0.4 else 0.0)
+        odd = max(odd, single if single > 0.6 else 0.0)
     odd = max(odd, min(1.0, 4 * len(_ODD.findall(plain)) / chars) if tabular < 0.3 and marked < 0.3 else 0.0)
     weird = sum(1 for c in plain if c in "ÂÃâ€™Ÿ¼Œ�¤§¶") / chars
     odd = max(odd, min(1.0, 5 * weird) if weird > 0.1 else 0.0)
@@ -239,13 +239,14 @@ def distances(documents: DataFrame, steps: int = 3) -> DataFrame:
 def classify(rows: DataFrame) -> DataFrame:
     """Adds text_class: prose, list, table or junk.
 
-    Within the cutoff a text is prose. Beyond it, a text that is mostly running sentences without list
-    marks or cells stays prose (what makes it odd is then its length or its case, say); otherwise the
+    Within the cutoff a text is prose unless its lines are marked, entries or cells. A text that is mostly
+    running sentences without list marks or cells is prose at any distance (what makes it odd is then its length or its case, say); otherwise the
     statistics that contribute decide: cells, then marks, entries or separators, else junk.
     """
     running = F.expr("sentence_share >= 0.5 and marked_lines < 0.5 and cell_lines < 0.5 and odd_words < 0.35")
+    near = F.expr("sentence_share >= 0.25 and entry_lines < 0.5 and marked_lines < 0.5 and cell_lines < 0.5 and odd_words < 0.35")
     kind = (
-        F.when((F.col("d2") <= CUTOFF) & running, "prose")
+        F.when((F.col("d2") <= CUTOFF) & near, "prose")
         .when(running, "prose")
         .when(F.expr("cell_lines >= 0.5 and odd_words < 0.6"), "table")
         .when(F.expr("odd_words >= 0.35 or url_share > 0.5 or (repetition > 0.6)"), "junk")

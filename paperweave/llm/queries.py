@@ -63,4 +63,22 @@ def p10_statistics(s, d):
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_canonical, p5_found, p5_matches, p6_found, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_statistics)}
-SQL: dict[str, str] = {}
+_LETTERS = r"regexp_replace(lower(nfc_normalize({})), '[^\p{{L}}\p{{N}}\p{{M}}]+', '', 'g')"
+_NAMES = "list_sort(list_filter(list_transform(string_split({}, ','), lambda x: " + _LETTERS.format("x").replace("{", "{{").replace("}", "}}") + "), lambda x: x <> ''))"
+_DOI = r"nullif(regexp_replace(regexp_extract(regexp_replace(lower(CASE WHEN contains({0}, '%') THEN url_decode({0}) ELSE {0} END), '\s+', '', 'g'), '10\.[0-9]{{4,9}}/[^\"<>]*', 0), '[\s./;,:>)\]]+$', ''), '')"
+SQL: dict[str, str] = {
+    "p2_found": """
+WITH RECURSIVE e AS (
+  SELECT candidate_id AS u, chr(9) || paper_id AS v FROM library_prelink_match WHERE trim(paper_id) <> ''
+  UNION SELECT candidate_id, leader_candidate_id FROM candidate_resolution_status WHERE status = 'clustered' AND trim(leader_candidate_id) <> ''
+  UNION SELECT candidate_id, json_extract_string(assessment_json, '$.compared_with') FROM merge_review_queue WHERE json_extract_string(assessment_json, '$.verdict') = 'same' AND trim(json_extract_string(assessment_json, '$.compared_with')) <> ''),
+ b AS (SELECT u AS x, v AS y FROM e UNION SELECT v, u FROM e),
+ t AS (SELECT x, x AS y FROM b UNION SELECT t.x, b.y FROM t JOIN b ON t.y = b.x)
+SELECT x AS candidate_id, min(y) FILTER (WHERE y NOT LIKE chr(9) || '%') AS group_id FROM t WHERE x NOT LIKE chr(9) || '%' GROUP BY x HAVING count(*) FILTER (WHERE y NOT LIKE chr(9) || '%') > 1""",
+    "p7_found": f"""
+WITH c AS (SELECT id, {_LETTERS.format('raw_title')} AS t, CASE WHEN trim(coalesce(raw_authors, '')) = '' THEN NULL ELSE {_NAMES.format('raw_authors')} END AS a FROM paper_candidate),
+ s AS (SELECT id, source_name, {_DOI.format('doi')} AS d FROM source_record WHERE source_name IS NOT NULL),
+ x AS (SELECT 'paper_candidate' AS table_name, id, min(id) OVER (PARTITION BY t, a) AS first_id FROM c WHERE t <> ''
+  UNION ALL SELECT 'source_record', id, min(id) OVER (PARTITION BY source_name, d) FROM s WHERE regexp_matches(d, '^10\\.[0-9]{{4,9}}/[\\p{{L}}\\p{{N}}]'))
+SELECT table_name, first_id, id FROM x WHERE id > first_id""",
+}
