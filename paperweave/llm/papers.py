@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -374,25 +375,39 @@ FORM = "rid bigint, words string, cut boolean, marker string, keys array<string>
 _YEAR = regex.compile(r"(?:19|20)\d\d")
 
 
-def form_frame(pdf: pd.DataFrame, counts: np.ndarray) -> pd.DataFrame:
-    """FORM rows of a batch with columns rid, title, names, year, venue."""
+def form_lists(titles: list, names: list, years: list, venues: list, counts: np.ndarray) -> dict[str, list]:
+    """The columns of FORM (but rid) for a batch."""
     finder = _finder(counts)
     seen: dict[str | None, tuple[str, bool, str]] = {}
-    titles = []
-    for t in pdf["title"]:
+    forms = []
+    for t in titles:
         form = seen.get(t)
         if form is None:
             form = seen[t] = title_form(t)
-        titles.append(form)
-    return pd.DataFrame({
-        "rid": pdf["rid"],
-        "words": [t[0] for t in titles],
-        "cut": [t[1] for t in titles],
-        "marker": [t[2] for t in titles],
-        "keys": [finder.keys(x) for x in pdf["names"]],
-        "year": [int(m.group()) if y and (m := _YEAR.search(y)) else 0 for y in pdf["year"]],
-        "venue": [_venue_words(v) for v in pdf["venue"]],
-    })
+        forms.append(form)
+    return {
+        "words": [t[0] for t in forms],
+        "cut": [t[1] for t in forms],
+        "marker": [t[2] for t in forms],
+        "keys": [finder.keys(x) for x in names],
+        "year": [int(m.group()) if y and (m := _YEAR.search(y)) else 0 for y in years],
+        "venue": [_venue_words(v) for v in venues],
+    }
+
+
+_ARROW = {"words": pa.string(), "cut": pa.bool_(), "marker": pa.string(), "keys": pa.list_(pa.string()), "year": pa.int32(), "venue": pa.string()}
+
+
+def form_arrays(batch: pa.RecordBatch, counts: np.ndarray) -> tuple[dict[str, list], dict[str, pa.Array]]:
+    """(lists, Arrow columns) of FORM for a batch with columns rid, title, names, year, venue."""
+    column = lambda c: batch.column(batch.schema.get_field_index(c))
+    lists = form_lists(*(column(c).to_pylist() for c in ("title", "names", "year", "venue")), counts)
+    return lists, {"rid": column("rid")} | {c: pa.array(lists[c], t) for c, t in _ARROW.items()}
+
+
+def form_frame(pdf: pd.DataFrame, counts: np.ndarray) -> pd.DataFrame:
+    """FORM rows of a frame with columns rid, title, names, year, venue."""
+    return pd.DataFrame({"rid": pdf["rid"]} | form_lists(*(list(pdf[c]) for c in ("title", "names", "year", "venue")), counts))
 
 
 # Placeholders of a venue.
@@ -412,14 +427,16 @@ def verify(pairs: DataFrame, ids: list[str]) -> DataFrame:
     cols = ["words", "cut", "marker", "keys", "year", "venue"]
     schema = ", ".join(f"{i} {dict(pairs.dtypes)[i]}" for i in ids)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            columns = [[x.split() for x in pdf[f"{c}{i}"]] if c == "keys" else pdf[f"{c}{i}"].to_numpy() for c in cols for i in (1, 2)]
-            keep = np.fromiter((same_paper(*x) for x in zip(*columns, strict=True)), bool, len(pdf))
-            yield pdf.loc[keep, ids]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(len(ids) + i).to_pylist() for i in range(2 * len(cols))]
+            at = 2 * cols.index("keys")
+            columns[at], columns[at + 1] = [x.split() for x in columns[at]], [x.split() for x in columns[at + 1]]
+            keep = pa.array([same_paper(*x) for x in zip(*columns, strict=True)], pa.bool_())
+            yield batch.select(range(len(ids))).filter(keep)
 
     sent = [F.array_join(f"{c}{i}", " ").alias(f"{c}{i}") if c == "keys" else F.col(f"{c}{i}") for c in cols for i in (1, 2)]
-    return pairs.select(*ids, *sent).mapInPandas(run, schema)
+    return pairs.select(*ids, *sent).mapInArrow(run, schema)
 
 
 def side(forms: DataFrame, number: int) -> DataFrame:
@@ -439,14 +456,3 @@ def contents(rows: DataFrame, scratch, extra: tuple[str, ...] = ()) -> tuple[Dat
     first = scratch.keep(first, "contents")
     link = keyed.select("id", *extra, "h1", "h2").join(first.select("h1", "h2", "rid"), ["h1", "h2"]).select("id", *extra, "rid")
     return first.drop("h1", "h2"), link
-
-
-def forms(content: DataFrame, counts: np.ndarray) -> DataFrame:
-    """FORM rows of distinct contents."""
-    shared = content.sparkSession.sparkContext.broadcast(counts)  # COUNT_CELLS numbers
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield form_frame(pdf, shared.value)
-
-    return content.repartition(width(content.sparkSession), "rid").mapInPandas(run, FORM)
