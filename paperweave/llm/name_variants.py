@@ -4,7 +4,7 @@ Every distinct string is read as a person (surname, given name, initials) or a g
 of a surname or stem that differ by one edit are candidates for one another; the frequent ones are canonical
 forms. A rarer spelling is attached to the canonical form of maximum posterior: the form's frequency as
 prior, the likelihood of the typing error, the likelihood of the abbreviation between their given names, and
-whether they are met on papers that begin alike. Within a surname, initials and nicknames are attached to the
+how much of the titles and co-authors that they are met with is alike. Within a surname, initials and nicknames are attached to the
 given name that fits and is most frequent.
 """
 
@@ -24,10 +24,14 @@ from .papers import near, plain
 
 #: A word in more than this share of all names is a given name (so there are at most some hundred).
 GIVEN_SHARE = 0.001
-#: Log likelihoods: of one typing error, of meeting a variant on no paper of its canonical form.
-TYPO, STRANGER = math.log(0.02), math.log(0.0005)
-#: Least log posterior odds of an attachment against being a name of its own.
-OWN = math.log(0.002)
+#: Log likelihood of one typing error.
+TYPO = math.log(0.02)
+#: Likelihood ratios of a context that is the canonical form's and of one that isn't, same author against another.
+ALIKE, STRANGE = 450.0, 0.1
+#: Letters of a run of a title, and runs kept of its first letters (so many) and of the rest.
+RUN, FIRST, KEEP_FIRST, KEEP_REST = 7, 30, 3, 4
+#: Runs and co-authors in more than this share of all contents (and in more than so many) tell nothing.
+COMMON_TOKEN, COMMON_LEAST = 0.002, 400
 
 # Words of groups by kind, topics, and short forms of given names.
 KINDS = {"study group": "group", "study grp": "group", "group": "group", "grp": "group", "network": "network", "netw": "network", "consortium": "consortium", "consort": "consortium", "collaboration": "collaboration", "collab": "collaboration", "investigators": "investigators", "invest": "investigators", "team": "team", "initiative": "initiative"}
@@ -116,19 +120,37 @@ def parse_name(name: str, lexicon: frozenset, near_cache: dict) -> tuple[str, st
     return "person", stem, given, (given[:1] + text) if given else text
 
 
-def occurrences(candidates: DataFrame, records: DataFrame, dump: DataFrame) -> DataFrame:
-    """(name, paper): names of all rows of the three tables with a hash of the first letters of the title.
+def occurrences(candidates: DataFrame, records: DataFrame, dump: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((name, paper) of all rows of the three tables, (paper, title, names) of their contents, with repeats).
 
     Names are comma-separated entries of raw_authors and elements of authors_json, trimmed, inner white space
-    as one blank. Empty entries and ``…`` are no names; broken JSON has none.
+    as one blank. Empty entries and ``…`` are no names; broken JSON has none. paper is a hash of title and names.
     """
-    # a decoration before the title would hide its beginning
-    bare = F.regexp_replace(F.lower("title"), r"^\s*(\[[a-z]{1,9}\]|new article:)\s*|</?i>", "")
-    paper = F.xxhash64(F.substring(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", ""), 1, 24))
     lists = candidates.select(F.col("raw_title").alias("title"), F.split("raw_authors", ",").alias("names")).unionByName(records.select("title", F.from_json("authors_json", "array<string>").alias("names"))).unionByName(dump.select("title", F.from_json("authors_json", "array<string>").alias("names")))
-    out = lists.select(F.when(F.length("title") > 0, paper).alias("paper"), F.explode("names").alias("name"))
+    contents = lists.where("names is not null").select(F.xxhash64("title", "names").alias("paper"), "title", "names")
+    out = contents.select("paper", F.explode("names").alias("name"))
     name = F.trim(F.regexp_replace("name", r"(?U)\s+", " "))
-    return out.select(name.alias("name"), "paper").where("name <> '' and name <> '…' and name <> '...'")
+    return out.select(name.alias("name"), "paper").where("name <> '' and name <> '…' and name <> '...'"), contents
+
+
+def tokens(contents: DataFrame, scratch: Scratch) -> DataFrame:
+    """(paper, token, word) of contents: winnowed runs of all letters of the title, and words of the names.
+
+    word is the hash of a name's word, null for runs. Tokens that many contents have are left out.
+    """
+    # decorations before the title and mark-up in it are no letters of it
+    letters = F.regexp_replace(F.regexp_replace(F.lower("x.title"), r"^\s*(\[[a-z]{1,9}\]|new article:)\s*|</?i>", ""), r"[^\p{L}\p{N}]+", "")
+    one = contents.groupBy("paper").agg(F.min(F.struct("title", "names")).alias("x")).select("paper", F.coalesce(letters, F.lit("")).alias("t"), "x.names")
+    runs = F.when(F.length("t") >= RUN, F.transform(F.sequence(F.lit(1), F.length("t") - (RUN - 1)), lambda i: F.xxhash64(F.substring(F.col("t"), i, F.lit(RUN))))).otherwise(F.array().cast("array<bigint>"))
+    listed = one.select("paper", runs.alias("r"), F.array_distinct(F.regexp_extract_all(F.lower(F.array_join("names", " ")), F.lit(r"(\p{L}{4,})"), F.lit(1))).alias("w"))
+    head = F.slice(F.array_sort(F.slice("r", 1, FIRST)), 1, KEEP_FIRST)
+    rest = F.slice(F.array_sort(F.slice("r", FIRST + 1, 100_000)), 1, KEEP_REST)
+    kept = F.transform(F.array_distinct(F.concat(head, rest)), lambda h: F.struct(h.alias("token"), F.lit(False).alias("word")))
+    words = F.transform("w", lambda x: F.struct(F.xxhash64(x).alias("token"), F.lit(True).alias("word")))
+    rows = scratch.keep(listed.select("paper", F.explode(F.concat(kept, words)).alias("x")).select("paper", "x.*"), "tokens")
+    n = one.count()
+    common = rows.groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") > max(COMMON_LEAST, COMMON_TOKEN * n)).select("token")
+    return rows.join(common, "token", "left_anti").select("paper", "token", "word")
 
 
 def parsed_names(named: DataFrame) -> DataFrame:
@@ -172,11 +194,11 @@ def _fit(given: str, initials: str, other_given: str, other_initials: str) -> bo
     return initials[:n] == other_initials[:n] or (bool(given) and bool(other_given) and initials[1:n] == other_initials[1:n])
 
 
-def attach(parsed: DataFrame, met: DataFrame, scratch: Scratch) -> DataFrame:
+def attach(parsed: DataFrame, met: DataFrame, contents: DataFrame, scratch: Scratch) -> DataFrame:
     """(name, n, kind, canonical, given, initials): parsed names with the canonical spelling of their stem.
 
-    met has (name, paper). A stem is attached to the near stem of maximum posterior, if that beats its
-    being a name of its own; chains of attachments end at their last stem.
+    met has (name, paper), contents (paper, title, names). A stem is attached to the near stem of maximum
+    posterior, if that beats its being a name of its own; chains of attachments end at their last stem.
     """
     # persons meet by surname and first letter, groups by kind
     group = F.when(F.col("kind") == "person", F.concat(F.lit("p"), F.substring("initials", 1, 1))).otherwise(F.col("kind"))
@@ -184,17 +206,23 @@ def attach(parsed: DataFrame, met: DataFrame, scratch: Scratch) -> DataFrame:
     stems = scratch.keep(grouped.groupBy("grp", "stem").agg(F.sum("n").alias("n"), F.count("*").alias("forms"), F.max("given").alias("given"), F.max("initials").alias("initials")), "stems")
     pairs = scratch.keep(near_stems(stems), "near")
     wanted = pairs.select("grp", "stem").unionByName(pairs.select("grp", F.col("canonical").alias("stem"))).distinct()
-    papers_of = met.where("paper is not null").join(grouped.select("name", "grp", "stem").join(wanted, ["grp", "stem"]), "name").select("grp", "stem", "paper").distinct()
-    papers_of = scratch.keep(papers_of, "papers")
-    left = pairs.select("grp", "stem", "canonical").join(papers_of, ["grp", "stem"])
-    right = papers_of.withColumnRenamed("stem", "canonical")
-    shared = left.join(right, ["grp", "canonical", "paper"]).groupBy("grp", "stem", "canonical").agg(F.count("*").alias("shared"))
-    own = papers_of.groupBy("grp", "stem").agg(F.count("*").alias("papers"))
-    scored = pairs.join(shared, ["grp", "stem", "canonical"], "left").join(own, ["grp", "stem"], "left").fillna(0, ["shared", "papers"])
-    # prior: share of the canonical form among both; channel: one typing error; context: papers in common
-    context = F.when(F.col("shared") > 0, F.log(0.05 + 0.95 * F.col("shared") / F.greatest("papers", "shared"))).otherwise(STRANGER)
-    score = F.log(F.col("m") / (F.col("m") + F.col("n"))) + TYPO + context
-    best = scored.withColumn("score", score).where(F.col("score") > OWN + TYPO).groupBy("grp", "stem").agg(F.max(F.struct("score", "m", "canonical"))["canonical"].alias("canonical"))
+    stem_id = F.xxhash64("grp", "stem")
+    papers_of = scratch.keep(met.join(grouped.select("name", "grp", "stem").join(wanted, ["grp", "stem"]), "name").select(stem_id.alias("sid"), F.xxhash64("stem").alias("own"), "paper").distinct(), "papers")
+    told = tokens(contents, scratch)
+    # of the canonical forms all tokens, of their variants those of each paper; a variant's own word is no context
+    paired = pairs.select("grp", "stem", "canonical", stem_id.alias("sid"), F.xxhash64("grp", "canonical").alias("cid"))
+    known = papers_of.join(paired.select(F.col("cid").alias("sid")).distinct(), "sid").join(told, "paper").select(F.col("sid").alias("cid"), "token").distinct()
+    asked = paired.select("sid", "cid").join(papers_of, "sid").join(told, "paper").where("token <> own")
+    hits = asked.join(known.withColumn("hit", F.lit(1)), ["cid", "token"], "left")
+    part = lambda w: F.try_divide(F.count(F.when(w, F.col("hit"))), F.count_if(w))
+    by_paper = hits.groupBy("sid", "cid", "paper").agg(part(~F.col("word")).alias("title"), part(F.col("word")).alias("names"))
+    # half of the title's runs or of the co-authors make a context the canonical form's
+    alike = by_paper.select("sid", "cid", F.least(F.lit(1.0), 2 * F.greatest("title", "names")).alias("alike")).groupBy("sid", "cid").agg(F.avg("alike").alias("alike"))
+    scored = scratch.keep(pairs.join(paired, ["grp", "stem", "canonical"]).join(alike, ["sid", "cid"], "left"), "scored")
+    # prior: how much more frequent the canonical form is; channel: one typing error; context: papers alike, 0 where nothing is known
+    context = F.coalesce(F.log(F.col("alike") * ALIKE + (1 - F.col("alike")) * STRANGE), F.lit(0.0))
+    score = F.log(F.col("m") / F.col("n")) + TYPO + context
+    best = scored.withColumn("score", score).where("score > 0").groupBy("grp", "stem").agg(F.max(F.struct("score", "m", "canonical"))["canonical"].alias("canonical"))
     best = scratch.keep(best, "attached")
     # a canonical form may itself be attached; three steps reach the end of any chain met in practice, each to a more frequent form
     up = best
@@ -261,9 +289,10 @@ def entities(candidates: DataFrame, records: DataFrame, dump: DataFrame) -> Data
     What Python holds at a time are the distinct spellings of one surname with one first letter, never rows. Null lists give no names; empty tables give no rows.
     """
     scratch = Scratch(candidates.sparkSession, "names")
-    met = scratch.keep(occurrences(candidates, records, dump).groupBy("name", "paper").agg(F.count("*").alias("n")), "met")
+    listed, contents = occurrences(candidates, records, dump)
+    met = scratch.keep(listed.groupBy("name", "paper").agg(F.count("*").alias("n")), "met")
     named = scratch.keep(met.groupBy("name").agg(F.sum("n").alias("n")), "named")
-    attached = scratch.keep(attach(parsed_names(named), met.select("name", "paper"), scratch), "names")
+    attached = scratch.keep(attach(parsed_names(named), met.select("name", "paper"), contents, scratch), "names")
     persons = attached.where("kind = 'person'").repartition(width(candidates.sparkSession), "grp", "canonical").sortWithinPartitions("grp", "canonical").mapInPandas(_person_batches, "name string, n bigint, grp string, canonical string, entity int")
     groups = attached.where("kind <> 'person'").select("name", "n", "grp", "canonical", F.lit(0).alias("entity"))
     return persons.unionByName(groups)

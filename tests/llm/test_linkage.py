@@ -195,3 +195,19 @@ def test_variants(spark):
     assert ("Edward Zunadored", "Elizabeth Zunadored") not in got
     assert all(a < b for a, b in got)
     assert rows(name_variants.variant_pairs(c.limit(0), r.limit(0), d)) == []
+
+
+def test_variants_met_beyond_the_first_letters_of_a_title(spark):
+    t = "A long title about the hearts of mice and the kidneys of men"
+    c = spark.createDataFrame([(1, t, "T Fizonorad, E Zunadored, Ana Gokatonen"), (2, "A lnog title title about the hearts of mice and the kidneys of men", "T Fizonrad"), (3, None, "T Fizonorda, E Zunadored, Ana Gokatonen"), (4, "Something else entirely on sleep in rural stroke cohorts", "T Fizonerad, P Kelenor"), (5, t, "T Fizonorad, E Zunadored")], "id long, raw_title string, raw_authors string")
+    none = spark.createDataFrame([], "id long, title string, authors_json string")
+    got = rows(name_variants.variant_pairs(c, none, none))
+    assert ("T Fizonorad", "T Fizonrad") in got and ("T Fizonorad", "T Fizonorda") in got
+    assert "T Fizonerad" not in {x for p in got for x in p}
+
+
+def test_a_much_more_frequent_name_outweighs_a_strange_context(spark):
+    many = [(i, f"Paper {i} of rather many on quite {i} distinct matters", "T Fizonorad") for i in range(3000)]
+    c = spark.createDataFrame([*many, (9001, "Something else entirely on sleep in rural stroke cohorts", "T Fizonrad")], "id long, raw_title string, raw_authors string")
+    none = spark.createDataFrame([], "id long, title string, authors_json string")
+    assert rows(name_variants.variant_pairs(c, none, none)) == [("T Fizonorad", "T Fizonrad")]
