@@ -130,6 +130,17 @@ def test_entity_matching(spark):
     assert rows(entity_match.match(c.limit(0), dump)) == [] == rows(entity_match.match(c, dump.limit(0)))
 
 
+def test_pairs_meet_whatever_their_years(spark):
+    from paperweave.operators.durable import Scratch
+
+    title = "deep learning for triage of septic shock in rural mice"
+    form = lambda rid, bits, cut, year: (rid, (1 << bits) - 1, cut, title, year, [7])
+    schema = "rid long, signature long, cut boolean, words string, year int, blocks array<long>"
+    left = spark.createDataFrame([form(1, 0, False, 2024)], schema)
+    right = spark.createDataFrame([form(2, 10, False, 2026), form(3, 25, False, 2024), form(4, 26, False, 2024), form(5, 31, True, 2021), form(6, 32, True, 2024)], schema)
+    assert rows(entity_match.block_pairs(left, right, Scratch(spark, "test")).select("rid2", "differ")) == [(2, 10), (3, 25), (5, 31)]
+
+
 def test_vectors_put_equal_word_sets_together():
     words = [f"word{i} shared other{i % 7}".split() for i in range(50)]
     vectors, counts = entity_match.train(words)
