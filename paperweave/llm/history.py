@@ -1,8 +1,8 @@
 """Deduplicating new batches against all history with fingerprints and partitioned Bloom filters.
 
 The content of a row is its title and its names. Fingerprints are hashes of a winnowed letter run of the
-title together with a telling word of a name; runs are winnowed in the first letters and in the rest of the
-title apart, so that cut titles keep fingerprints. A store of accepted rows holds their forms, their
+title together with a telling word of a name, and of pairs of runs of the title alone; runs are winnowed in
+the first letters and in the rest of the title apart, so that cut titles keep fingerprints. A store of accepted rows holds their forms, their
 fingerprints and one Bloom filter per partition of the fingerprint space. A batch sends its fingerprints to
 their partitions, drops those that the filter excludes, looks the others up in the store, keeps pairs with
 enough shared coverage, verifies them exactly, and adds what it brought to store and filters.
@@ -23,11 +23,11 @@ from ..operators.durable import Scratch
 from ..tables import width
 from . import papers
 
-#: Letters of a run, letters of the first part of a title, runs kept of each part, words kept of the names.
-RUN, FIRST, KEEP_RUNS, KEEP_WORDS = 6, 22, 2, 4
+#: Letters of a run, letters of the first part of a title, runs kept of each part with names and without.
+RUN, FIRST, KEEP_RUNS, KEEP_ALONE = 6, 22, 2, 3
 #: Bits of a Bloom filter, hashes per fingerprint, and fingerprints that one filter is made for.
 BLOOM_BITS, BLOOM_HASHES, BLOOM_LOAD = 1 << 23, 4, 800_000
-#: Least share of the smaller set of fingerprints that a pair has in common.
+#: Least share of the smaller set of fingerprints that a pair has in common; one of the title alone is enough.
 COVERAGE = 0.12
 #: Ids of a batch are moved beyond those of the history, so an earlier row has the smaller number.
 BATCH = 1 << 40
@@ -41,29 +41,33 @@ def _mix(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def winnow(letters: str) -> list[int]:
+def winnow(letters: str) -> tuple[list[int], list[int]]:
     """Hashes of the runs kept: the smallest of the first letters and the smallest of the rest."""
     if len(letters) <= RUN:
-        return [zlib.crc32(letters.encode())]
+        return [zlib.crc32(letters.encode())], []
     runs = [zlib.crc32(letters[i : i + RUN].encode()) for i in range(len(letters) - RUN + 1)]
     head, rest = runs[: FIRST - RUN + 1], runs[FIRST - RUN + 1 :]
-    return sorted(set(sorted(head)[:KEEP_RUNS] + sorted(rest)[:KEEP_RUNS]))
+    return sorted(set(head))[:KEEP_ALONE], sorted(set(rest))[:KEEP_ALONE]
 
 
 def fingerprints(words: str, keys: list[str]) -> tuple[list[int], list[int]]:
     """(stored, asked) fingerprints of a form.
 
-    With names both are the same but for whole titles: a title without names asks for its words as a
+    Every telling word of the names is an anchor of every run. Fingerprints of the title alone (a run of its
+    first letters with one of the rest) are odd, all others even. Stored and asked are the same but for whole
+    titles: a title without names asks for its words as a
     whole among titles with and without names, and a title with names among those without.
     """
     letters = words.replace(" ", "")
     whole = zlib.crc32(" ".join(sorted(set(words.split()))).encode()) << 3 if len(letters) >= 20 else None
+    head, rest = winnow(letters)
+    alone = [_mix((h << 32 | r) ^ 0x2545F4914F6CDD1D) | 1 for h in head for r in rest]
     if not len(keys):
-        bare = [] if whole is None else [_mix(whole | 5)]
-        return bare, bare + ([] if whole is None else [_mix(whole | 6)])
-    anchors = sorted(zlib.crc32(k.encode()) for k in keys)[:KEEP_WORDS]
-    both = [_mix((a << 32 | r) ^ 0x5851F42D4C957F2D) for a in anchors for r in winnow(letters)]
-    return both + ([] if whole is None else [_mix(whole | 6)]), both + ([] if whole is None else [_mix(whole | 5)])
+        bare = alone + ([] if whole is None else [_mix(whole | 5) | 1])
+        return bare, bare + ([] if whole is None else [_mix(whole | 6) | 1])
+    anchored = [_mix((zlib.crc32(k.encode()) << 32 | r) ^ 0x5851F42D4C957F2D) & ~1 for k in keys for r in sorted({*head[:KEEP_RUNS], *rest[:KEEP_RUNS]})]
+    both = anchored + alone
+    return both + ([] if whole is None else [_mix(whole | 6) | 1]), both + ([] if whole is None else [_mix(whole | 5) | 1])
 
 
 _FORM = papers.FORM + ", stored array<bigint>, asked array<bigint>"
@@ -136,7 +140,11 @@ class Store:
 
 
 def _listed(forms: DataFrame, column: str, parts: int) -> DataFrame:
-    out = forms.select("rid", F.size(column).alias("n"), F.explode(column).alias("fp"))
+    # n is the size that coverage is a share of: long lists of names don't make it stricter
+    odd = F.size(F.filter(column, lambda x: x.bitwiseAND(1) == 1))
+    even = F.size(column) - odd
+    n = F.when(odd <= 1, F.least(even, F.lit(8)) + odd).otherwise(F.least(even, F.lit(15)) + 1)
+    out = forms.select("rid", n.cast("int").alias("n"), F.explode(column).alias("fp"))
     return out.select(F.pmod(F.shiftright("fp", 7), F.lit(parts)).cast("int").alias("part"), "fp", "rid", "n")
 
 
@@ -159,7 +167,7 @@ def screen(store: Store, content: DataFrame) -> tuple[DataFrame, DataFrame]:
     old = store.stored.select("fp", F.col("rid").alias("earlier"), F.col("n").alias("n2"))
     fresh = _listed(new, "stored", store.parts).select("fp", F.col("rid").alias("earlier"), F.col("n").alias("n2"))
     shared = positive.join(old, "fp").unionByName(asked.drop("part").join(fresh, "fp").where("earlier < rid"))
-    pairs = shared.groupBy("rid", "earlier").agg(F.count("*").alias("shared"), F.min(F.least("n", "n2")).alias("least")).where(F.col("shared") >= F.greatest(F.lit(1), F.ceil(F.col("least") * COVERAGE))).select("rid", "earlier")
+    pairs = shared.groupBy("rid", "earlier").agg(F.count("*").alias("shared"), F.min(F.least("n", "n2")).alias("least"), F.max(F.col("fp").bitwiseAND(1)).alias("alone")).where((F.col("alone") == 1) | (F.col("shared") >= F.greatest(F.lit(1), F.ceil(F.col("least") * COVERAGE)))).select("rid", "earlier")
     cols = [c for c in store.forms.columns if c not in ("stored", "asked")]
     known = store.forms.select(cols).unionByName(new.select(cols))
     left = papers.side(new.select(cols), 1)

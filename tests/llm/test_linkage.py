@@ -164,6 +164,22 @@ def test_new_batches(spark):
     assert rows(history.repeated_rows(candidates(spark), batch.limit(0))) == []
 
 
+def test_fingerprints_meet_by_any_name_and_by_the_title_alone():
+    title, names = "deep learning for triage of septic shock in rural mice", "fizonorad gokatonen zemorin kelenor tamatere vekesired bremeskino zunadored".split()
+    stored = set(history.fingerprints(title, names)[0])
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            anchored = {x for x in history.fingerprints(title, [a, b])[1] if not x & 1}
+            assert anchored and anchored <= stored
+    for other in ([], ["fizonrad", "gokatnen"]):
+        assert stored & set(history.fingerprints("deep learning for triage of septic shock in rurl mice", other)[1])
+
+
+def test_altered_title_with_misspelt_names_repeats(spark):
+    batch = spark.createDataFrame([(1, "n1", "Deep learning for triage of septic shock in rurl mice", "T Fizonrad, Ana Gokatnen", "2021", "Journal of Hearts", 0), (2, "n2", "Deep learning for triage of septic shock in rurl mice", None, "2021", "Journal of Hearts", 0)], CANDIDATE)
+    assert rows(history.repeated_rows(candidates(spark), batch)) == [(1,), (2,)]
+
+
 def test_store_takes_in_what_a_batch_brought(spark):
     from paperweave.operators.durable import Scratch
 
