@@ -2,12 +2,13 @@
 
 Records and the words of their attributes form a graph. Random walks over it (record, word, record, ...)
 train skip-gram vectors of words; a table of letter-run vectors made of them gives every word of every
-record a vector, seen in training or not. Hyperplane codes of the title's vector (several tables) and of the
-vector of each telling name word are the blocks. Pairs that share a block and whose title signatures are
-near enough in angle are reranked by the exact comparison of their fields, and the cosine of the signatures is
-calibrated to a confidence on a bounded sample of reranked pairs.
+record a vector, seen in training or not. Hyperplane codes of the title's vector (several tables) and
+of the vector of each telling name word are the blocks. All pairs that share a block
+and about half of their title's words are reranked by the exact comparison of their fields, and the cosine of
+the signatures is calibrated to a confidence on a bounded sample of reranked pairs.
 
-The vectors are fitted on at most SAMPLE records; every record is indexed and compared.
+The vectors are fitted on at most SAMPLE records; every record is indexed and compared. Codes of titles
+get longer with the number of records, so their blocks don't grow with it.
 """
 
 from __future__ import annotations
@@ -23,23 +24,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.durable import Scratch
-from ..tables import width
 from . import papers
 
 #: Records that the vectors are fitted on; walks from each, and their steps.
 SAMPLE, WALKS, STEPS = 8_000, 2, 6
 #: Size of a vector, and cells of the table of letter runs.
 DIM, CELLS = 48, 1 << 14
-#: Title tables, bits of a code in each, bits of a name word's code.
-TABLES, TABLE_BITS, NAME_BITS = 4, 18, 44
-#: Bits of 64 in which the title signatures of a pair may differ; more where one title is cut or short.
-NEAR_BITS, NEAR_BITS_CUT = 25, 31
-#: A block of a name with more candidate rows than this is split by the words of the title.
+#: Tables of titles, and bits of a name word's code.
+TABLES, NAME_BITS = 6, 44
+#: A block with more rows than this on a side is split by the words of the title.
 HOT_BLOCK = 4_000
 #: Pairs that the calibration is fitted on.
 CALIBRATION = 20_000
 
 
+#: Marks of blocks: of a name's word, of equal letters; other blocks are below.
+NAMED, LETTERS = 1 << 60, 1 << 61
+
+
+def _mixed(code: int, text: str) -> int:
+    """A block of a code together with a text."""
+    return (code * 0x9E3779B97F4A7C15 ^ zlib.crc32(text.encode()) * 0x632BE59BD9B4E019) & ((1 << 59) - 1)
+
+
 def _runs(word: str) -> list[int]:
     w = f"<{word}>"
     return [zlib.crc32(w[i : i + n].encode()) % CELLS for n in (3, 4) for i in range(len(w) - n + 1)] + [zlib.crc32(w.encode()) % CELLS]
@@ -117,16 +124,31 @@ def train(records: list[list[str]], seed: int = 11) -> tuple[np.ndarray, np.ndar
 class Index:
     """Word vectors, weights and hyperplanes in one Python worker."""
 
-    def __init__(self, vectors: np.ndarray, counts: np.ndarray, total: int):
+    def __init__(self, vectors: np.ndarray, counts: np.ndarray, total: int, bits: int):
         self.table = _identity() + 4.0 * vectors
-        self.counts, self.total = counts, max(total, 1)
+        self.counts, self.total, self.bits = counts, max(total, 1), bits
         rng = np.random.default_rng(23)
-        self.title_planes = rng.standard_normal((DIM, TABLES * TABLE_BITS)).astype(np.float32)
         self.name_planes = rng.standard_normal((DIM, NAME_BITS)).astype(np.float32)
         self.sign_planes = rng.standard_normal((DIM, 64)).astype(np.float32)
+        self.title_planes = rng.standard_normal((DIM, TABLES * bits)).astype(np.float32)
         self.words: dict[str, np.ndarray] = {}
         self.codes: dict[str, int] = {}
 
+    def _sums(self, lists: list[list[str]]) -> np.ndarray:
+        """The sum of the vectors of each list of words."""
+        out = np.zeros((len(lists), DIM), np.float32)
+        flat = [self.vector(w) for x in lists for w in x]
+        if flat:
+            sizes = np.array([len(x) for x in lists])
+            some = np.flatnonzero(sizes)
+            out[some] = np.add.reduceat(np.stack(flat), (np.cumsum(sizes) - sizes)[some], axis=0)
+        return out
+
+    def _codes(self, vectors: np.ndarray) -> np.ndarray:
+        """A code for every table, marked with the table's number."""
+        low = (vectors @ self.title_planes > 0).reshape(len(vectors), TABLES, self.bits).astype(np.int64)
+        return (low << np.arange(self.bits)).sum(2) | (np.arange(1, TABLES + 1, dtype=np.int64) << 50)
+
     def vector(self, word: str) -> np.ndarray:
         v = self.words.get(word)
         if v is None:
@@ -145,24 +167,24 @@ class Index:
             if len(self.codes) > 200_000:
                 self.codes.clear()
             bits = self.vector(word) @ self.name_planes > 0
-            code = self.codes[word] = int(bits @ (1 << np.arange(NAME_BITS, dtype=np.int64))) | 1 << 60
+            code = self.codes[word] = int(bits @ (1 << np.arange(NAME_BITS, dtype=np.int64))) | NAMED
         return code
 
     def describe(self, words: list[str], keys: list[list[str]]) -> tuple[np.ndarray, list[list[int]]]:
         """(64-bit signatures, block codes) of a batch of forms. A title's words count once, in any order."""
-        titles = np.zeros((len(words), DIM), np.float32)
-        for i, t in enumerate(words):
-            if t:
-                titles[i] = np.sum([self.vector(w) for w in sorted(set(t.split()))], axis=0)
+        titles = self._sums([sorted(set(t.split())) for t in words])
         bits = (titles @ self.sign_planes > 0).astype(np.uint64)
         signature = (bits << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).astype(np.int64)
-        low = (titles @ self.title_planes > 0).reshape(len(words), TABLES, TABLE_BITS).astype(np.int64)
-        codes = (low << np.arange(TABLE_BITS)).sum(2) | (np.arange(1, TABLES + 1, dtype=np.int64) << 40)
+        codes = self._codes(titles)
         blocks = []
         for i, k in enumerate(keys):
-            own = {self.name_code(w) for w in k}
-            # short titles are shared by many papers; they are found through names only
-            blocks.append(sorted(own) + ([] if own and len(words[i]) < 22 else codes[i].tolist()))
+            letters = words[i].replace(" ", "").encode()
+            whole = zlib.crc32(letters) << 24 ^ zlib.adler32(letters)  # equal letters meet whatever their words
+            if len(words[i]) >= 22:
+                blocks.append([*{self.name_code(w) for w in k}, whole | LETTERS, *codes[i].tolist()])
+            else:
+                # short titles are shared by many papers, and match only with a name: their letters count with its beginning
+                blocks.append([*{self.name_code(w) for w in k}, *{_mixed(whole, w[:3]) for w in k}])
         return signature, blocks
 
 
@@ -191,44 +213,59 @@ def fit(samples: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     return vectors, counts, int(got["total"].max()) if len(got) else 0
 
 
-def index(content: DataFrame, names: np.ndarray, model: tuple[np.ndarray, np.ndarray, int]) -> DataFrame:
+def index(content: DataFrame, counts: papers.Counts, model: tuple[np.ndarray, np.ndarray, int], bits: int) -> DataFrame:
     """FORM rows with signature and blocks."""
-    shared = content.sparkSession.sparkContext.broadcast((names, *model))  # CELLS x DIM and COUNT_CELLS numbers
+    shared = content.sparkSession.sparkContext.broadcast((counts, *model))  # CELLS x DIM and COUNT_CELLS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, vectors, cells, total = shared.value
         key = id(shared.value)
         if key not in _indexes:
             _indexes.clear()
-            _indexes[key] = Index(vectors, cells, total)
+            _indexes[key] = Index(vectors, cells, total, bits)
         for batch in batches:
             lists, arrays = papers.form_arrays(batch, counts)
             signature, blocks = _indexes[key].describe(lists["words"], lists["keys"])
             yield pa.RecordBatch.from_pydict(arrays | {"signature": pa.array(signature), "blocks": pa.array(blocks, pa.list_(pa.int64()))})
 
-    return content.repartition(width(content.sparkSession), "rid").mapInArrow(run, _FORM).where("words <> ''")
+    return content.mapInArrow(run, _FORM).where("words <> ''")
 
 
-def _blocks(forms: DataFrame, hot: DataFrame, suffix: str) -> DataFrame:
-    """(block, rid, signature, loose): one row per block; hot blocks are split by every telling title word."""
-    loose = (F.col("cut") | (F.length("words") < 40)).alias("loose")
-    rows = forms.select("rid", "signature", loose, "words", F.explode("blocks").alias("block"))
+def _blocks(forms: DataFrame, hot: DataFrame, number: int) -> DataFrame:
+    """(block, rid, mask, n_words, marker): one row per block of a form.
+
+    Hot blocks are split: those of a name by every telling word of the title, those of a title by the first and
+    the last three letters of every name (and one part for rows without names, which meet all others).
+    """
+    rows = forms.select("rid", "mask", "n_words", F.xxhash64("marker").alias("marker"), "words", "keys", F.explode("blocks").alias("block"))
     marked = rows.join(hot.select("block", F.lit(True).alias("is_hot")), "block", "left")
     light = F.array(*[F.lit(w) for w in sorted(papers.LIGHT)])
-    cool = marked.where("is_hot is null").select("block", "rid", "signature", "loose")
-    split = marked.where("is_hot").select(F.explode(F.array_except(F.split("words", " "), light)).alias("word"), "block", "rid", "signature", "loose")
-    split = split.select(F.xxhash64("block", "word").alias("block"), "rid", "signature", "loose")
-    return cool.unionByName(split).select("block", *[F.col(c).alias(c + suffix) for c in ("rid", "signature", "loose")])
+    telling = F.array_except(F.split("words", " "), light)
+    ends = F.array_distinct(F.concat(F.transform("keys", lambda k: F.substring(k, 1, 3)), F.transform("keys", lambda k: F.concat(F.lit("-"), F.right(k, F.lit(3))))))
+    # a row without names on one side meets every row of the other
+    own, others = F.lit(f"{number}"), F.lit(f"{3 - number}")
+    by_names = F.when(F.size("keys") > 0, F.concat(ends, F.array(others))).otherwise(F.array(own, others))
+    parts = F.when(F.col("is_hot").isNull(), F.array(F.lit(None).cast("string"))).when(F.col("block").bitwiseAND(NAMED) != 0, telling).otherwise(by_names)
+    split = marked.withColumn("part", F.explode(parts))
+    mark = F.col("block").bitwiseAND(LETTERS)
+    block = F.when(F.col("part").isNull(), F.col("block")).otherwise(F.xxhash64("block", "part").bitwiseAND(~LETTERS).bitwiseOR(mark))
+    return split.select(block.alias("block"), *[F.col(c).alias(f"{c}{number}") for c in ("rid", "mask", "n_words", "marker")])
 
 
 def block_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
-    """(rid1, rid2, differ) of rows that share a block and whose signatures are near; differ is in bits."""
-    sizes = left.select(F.explode("blocks").alias("block")).groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > HOT_BLOCK)
+    """(rid1, rid2) of all rows that share a block and may share about half of the words of the shorter title."""
+    sizes = left.select(F.explode("blocks").alias("block"), F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(right.select(F.explode("blocks").alias("block"), F.lit(0).alias("a"), F.lit(1).alias("b")))
+    sizes = sizes.groupBy("block").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.greatest("a", "b") > HOT_BLOCK) & (F.least("a", "b") > 0))
     hot = scratch.keep(sizes.select("block"), "hot")
-    pairs = _blocks(left, hot, "1").join(_blocks(right, hot, "2"), "block")
-    differ = F.bit_count(F.col("signature1").bitwiseXOR(F.col("signature2")))
-    limit = F.when(F.col("loose1") | F.col("loose2"), NEAR_BITS_CUT).otherwise(NEAR_BITS)
-    return pairs.withColumn("differ", differ).where(F.col("differ") <= limit).groupBy("rid1", "rid2").agg(F.min("differ").alias("differ"))
+    pairs = _blocks(left, hot, 1).join(_blocks(right, hot, 2), "block")
+    near = pairs.where("marker1 = marker2").where(papers.alike_masks() | (F.col("block").bitwiseAND(LETTERS) != 0))
+    return near.select("rid1", "rid2").distinct()
+
+
+def differing_bits(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """pairs (rid1, rid2, ...) with differ, the bits in which their signatures differ."""
+    a, b = left.select(F.col("rid").alias("rid1"), F.col("signature").alias("s1")), right.select(F.col("rid").alias("rid2"), F.col("signature").alias("s2"))
+    return pairs.join(a, "rid1").join(b, "rid2").withColumn("differ", F.bit_count(F.col("s1").bitwiseXOR(F.col("s2")))).drop("s1", "s2")
 
 
 def calibrate(cosines: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -243,37 +280,35 @@ def calibrate(cosines: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def match(candidates: DataFrame, dump: DataFrame, with_confidence: bool = True) -> DataFrame:
+def match(candidates: DataFrame, dump: DataFrame) -> DataFrame:
     """(candidate_id, record_id, confidence): pairs that are the same paper, one row per distinct pair.
 
     Titles without letters or digits match nothing. Names, year and venue may be null, blank or broken
     JSON, and then count as unknown. Repeated rows don't repeat pairs. Empty tables give no rows.
-    confidence is null if with_confidence is false.
     """
-    scratch = Scratch(candidates.sparkSession, "match")
+    spark = candidates.sparkSession
+    scratch = Scratch(spark, "match")
     rows1 = candidates.select("id", "candidate_id", F.col("raw_title").alias("title"), F.col("raw_authors").alias("names"), F.col("year_guess").alias("year"), F.col("venue_guess").alias("venue"))
     rows2 = dump.select(F.col("record_id").alias("id"), "title", papers.names_of_json("authors_json").alias("names"), "year", "venue")
     titled = F.col("title").rlike(r"[\p{L}\p{N}]")
-    content1, link1 = papers.contents(rows1.where(titled).where("candidate_id is not null"), scratch, ("candidate_id",))
-    content2, link2 = papers.contents(rows2.where(titled), scratch)
-    both = content1.unionByName(content2)
-    names = papers.name_counts(both, "names")
-    n = both.count()
-    sample = both.where(F.pmod(F.xxhash64("title", "rid"), F.lit(max(1, math.ceil(n / SAMPLE)))) == 0).limit(2 * SAMPLE)
+    rows1, rows2 = rows1.where(titled).where("candidate_id is not null"), rows2.where(titled)
+    both = rows1.drop("candidate_id").unionByName(rows2)
+    counts = papers.count_words(both)
+    n = int(counts.titles[-1])
+    sample = both.where(F.pmod(F.xxhash64("title", "id"), F.lit(max(1, math.ceil(n / SAMPLE)))) == 0).limit(2 * SAMPLE)
     model = fit(sample)
-    forms1 = scratch.keep(index(content1, names, model), "candidates")
-    forms2 = scratch.keep(index(content2, names, model), "records")
-    pairs = block_pairs(forms1, forms2, scratch)
-    cols = [c for c in forms1.columns if c not in ("signature", "blocks")]
-    joined = pairs.join(papers.side(forms2.select(cols), 2), "rid2").join(papers.side(forms1.select(cols), 1), "rid1")
-    same = scratch.keep(papers.verify(joined, ["rid1", "rid2", "differ"]), "same")
-    confidence = F.lit(None).cast("double")
-    if with_confidence:
-        some = F.pmod(F.xxhash64("rid1", "rid2"), F.lit(max(1, math.ceil(n / CALIBRATION)))) == 0
-        pairs_cut = pairs.where(some).limit(2 * CALIBRATION)
-        labelled = pairs_cut.join(same.select("rid1", "rid2", F.lit(1).alias("label")), ["rid1", "rid2"], "left").select("differ", F.coalesce("label", F.lit(0)).alias("label")).toPandas()  # at most 2 x CALIBRATION rows
-        if len(labelled):
-            slope, offset = calibrate(np.cos(np.pi * labelled["differ"].to_numpy() / 64), labelled["label"].to_numpy())
-            confidence = 1 / (1 + F.exp(-(F.lit(slope) * F.cos(F.col("differ") * (math.pi / 64)) + F.lit(offset))))
-    found = same.join(link1.select("candidate_id", F.col("rid").alias("rid1")).distinct(), "rid1").join(link2.select(F.col("id").alias("record_id"), F.col("rid").alias("rid2")), "rid2")
+    # one bit more for twice the records
+    bits = min(40, max(8, math.ceil(math.log2(n + 2))))
+    forms1 = scratch.keep(index(papers.contents(rows1), counts, model, bits), "candidates")
+    forms2 = scratch.keep(index(papers.contents(rows2), counts, model, bits), "records")
+    pairs = scratch.keep(block_pairs(forms1, forms2, scratch), "pairs")
+    same = scratch.keep(papers.verify(pairs, forms1, forms2, counts), "same")
+    n_pairs = pairs.count()
+    some = F.pmod(F.xxhash64("rid1", "rid2"), F.lit(max(1, math.ceil(n_pairs / CALIBRATION)))) == 0
+    asked = pairs.where(some).limit(2 * CALIBRATION).join(same.withColumn("label", F.lit(1)), ["rid1", "rid2"], "left")
+    labelled = differing_bits(asked, forms1, forms2).select("differ", F.coalesce("label", F.lit(0)).alias("label")).toPandas()  # at most 2 x CALIBRATION rows
+    slope, offset = calibrate(np.cos(np.pi * labelled["differ"].to_numpy(np.float64) / 64), labelled["label"].to_numpy(np.float64)) if len(labelled) else (0.0, 0.0)
+    confidence = 1 / (1 + F.exp(-(F.lit(slope) * F.cos(F.col("differ") * (math.pi / 64)) + F.lit(offset))))
+    scored = differing_bits(same, forms1, forms2)
+    found = scored.join(papers.links(rows1, forms1, ("candidate_id",)).select("candidate_id", F.col("rid").alias("rid1")).distinct(), "rid1").join(papers.links(rows2, forms2).select(F.col("id").alias("record_id"), F.col("rid").alias("rid2")), "rid2")
     return found.groupBy("candidate_id", "record_id").agg(F.min("differ").alias("differ")).select("candidate_id", "record_id", F.round(confidence, 6).alias("confidence"))

@@ -1,11 +1,15 @@
-"""Deduplicating new batches against all history with fingerprints and partitioned Bloom filters.
-
-The content of a row is its title and its names. Fingerprints are hashes of a winnowed letter run of the
-title together with a telling word of a name, and of pairs of runs of the title alone; runs are winnowed in
-the first letters and in the rest of the title apart, so that cut titles keep fingerprints. A store of accepted rows holds their forms, their
-fingerprints and one Bloom filter per partition of the fingerprint space. A batch sends its fingerprints to
-their partitions, drops those that the filter excludes, looks the others up in the store, keeps pairs with
-enough shared coverage, verifies them exactly, and adds what it brought to store and filters.
+"""Deduplicating new batches against all history with winnowed fingerprints and partitioned Bloom filters.
+
+The content of a row is its title and its names. The letters of a title are winnowed: of every window of
+runs the one with the smallest hash is kept, wherever in the title it lies. Fingerprints are hashes of a kept
+run together with a telling word of a name, of two kept runs that follow one another together with the initials
+of the venue (rows whose names are missing or misspelt match by that, or by equal words), and of the set of words.
+
+A ``Store`` is a folder: the forms of accepted contents with their fingerprints, one Bloom filter per partition
+of the fingerprint space, and the counts of words that forms depend on, frozen when the store was built. Each
+accepted batch adds a generation of forms and filters; nothing of the raw history is read again. A batch sends
+its fingerprints to their partitions, drops those that all filters exclude, looks the others up in the store,
+keeps pairs whose words cover one another, verifies them exactly, and is added.
 """
 
 from __future__ import annotations
@@ -16,21 +20,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.durable import Scratch
 from ..tables import width
 from . import papers
 
-#: Letters of a run, letters of the first part of a title, runs kept of each part with names and without.
-RUN, FIRST, KEEP_RUNS, KEEP_ALONE = 6, 22, 2, 3
-#: Bits of a Bloom filter, hashes per fingerprint, and fingerprints that one filter is made for.
-BLOOM_BITS, BLOOM_HASHES, BLOOM_LOAD = 1 << 23, 4, 800_000
-#: Least share of the smaller set of fingerprints that a pair has in common; one of the title alone is enough.
-COVERAGE = 0.12
-#: Ids of a batch are moved beyond those of the history, so an earlier row has the smaller number.
-BATCH = 1 << 40
+#: Letters of a run, and runs in a window of winnowing.
+RUN, WINDOW = 6, 24
+#: Hashes per fingerprint and bits of a filter per fingerprint; fingerprints that one partition is made for.
+BLOOM_HASHES, BLOOM_RATE, PART_LOAD = 4, 12, 400_000
 
 
 def _mix(x: int) -> int:
@@ -41,167 +41,211 @@ def _mix(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def winnow(letters: str) -> tuple[list[int], list[int]]:
-    """Hashes of the runs kept: the smallest of the first letters and the smallest of the rest."""
-    if len(letters) <= RUN:
-        return [zlib.crc32(letters.encode())], []
-    runs = [zlib.crc32(letters[i : i + RUN].encode()) for i in range(len(letters) - RUN + 1)]
-    head, rest = runs[: FIRST - RUN + 1], runs[FIRST - RUN + 1 :]
-    return sorted(set(head))[:KEEP_ALONE], sorted(set(rest))[:KEEP_ALONE]
+def winnow(letters: str) -> list[int]:
+    """Hashes of the runs kept, in their order: the smallest (the last of equal ones) of every window.
 
-
-def fingerprints(words: str, keys: list[str]) -> tuple[list[int], list[int]]:
-    """(stored, asked) fingerprints of a form.
-
-    Every telling word of the names is an anchor of every run. Fingerprints of the title alone (a run of its
-    first letters with one of the rest) are odd, all others even. Stored and asked are the same but for whole
-    titles: a title without names asks for its words as a
-    whole among titles with and without names, and a title with names among those without.
+    Texts that share RUN + WINDOW - 1 letters in a row keep a run in common.
     """
+    b = letters.encode("utf-32-le")
+    runs = [zlib.crc32(b[i : i + 4 * RUN]) for i in range(0, max(1, len(b) - 4 * RUN + 4), 4)]
+    kept, at = [], -1
+    for start in range(max(1, len(runs) - WINDOW + 1)):
+        end = min(start + WINDOW, len(runs))
+        if at < start:
+            low = min(runs[start:end])
+            at = max(i for i in range(start, end) if runs[i] == low)
+        elif runs[end - 1] <= runs[at]:
+            at = end - 1
+        else:
+            continue
+        kept.append(runs[at])
+    return list(dict.fromkeys(kept))
+
+
+def fingerprints(words: str, keys: list[str], venue: str) -> list[int]:
+    """The fingerprints of a form."""
     letters = words.replace(" ", "")
-    whole = zlib.crc32(" ".join(sorted(set(words.split()))).encode()) << 3 if len(letters) >= 20 else None
-    head, rest = winnow(letters)
-    alone = [_mix((h << 32 | r) ^ 0x2545F4914F6CDD1D) | 1 for h in head for r in rest]
-    if not len(keys):
-        bare = alone + ([] if whole is None else [_mix(whole | 5) | 1])
-        return bare, bare + ([] if whole is None else [_mix(whole | 6) | 1])
-    anchored = [_mix((zlib.crc32(k.encode()) << 32 | r) ^ 0x5851F42D4C957F2D) & ~1 for k in keys for r in sorted({*head[:KEEP_RUNS], *rest[:KEEP_RUNS]})]
-    both = anchored + alone
-    return both + ([] if whole is None else [_mix(whole | 6) | 1]), both + ([] if whole is None else [_mix(whole | 5) | 1])
+    kept = winnow(letters)
+    out = {_mix((zlib.crc32(k.encode()) << 32 | r) ^ 0x5851F42D4C957F2D) for k in keys for r in kept}
+    if venue:
+        at = zlib.crc32(papers.venue_initials(venue).encode())
+        out |= {_mix((r << 32 | q) ^ at * 0x2545F491) for r, q in zip(kept, kept[1:] or kept, strict=False)}
+    if len(letters) >= 20:
+        out.add(_mix(zlib.crc32(" ".join(sorted(set(words.split()))).encode()) << 3 | 5))
+    return list(out)
 
 
-_FORM = papers.FORM + ", stored array<bigint>, asked array<bigint>"
+_FORM = papers.FORM + ", prints array<bigint>"
 
 
-def _forms(content: DataFrame, counts: np.ndarray) -> DataFrame:
-    shared = content.sparkSession.sparkContext.broadcast(counts)  # COUNT_CELLS numbers
+def _forms(content: DataFrame, counts: papers.Counts) -> DataFrame:
+    shared = content.sparkSession.sparkContext.broadcast(counts)  # two tables of COUNT_CELLS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists, arrays = papers.form_arrays(batch, shared.value)
-            both = [fingerprints(w, k) for w, k in zip(lists["words"], lists["keys"], strict=True)]
-            arrays |= {"stored": pa.array([b[0] for b in both], pa.list_(pa.int64())), "asked": pa.array([b[1] for b in both], pa.list_(pa.int64()))}
-            yield pa.RecordBatch.from_pydict(arrays)
+            prints = [fingerprints(w, k, v) if w else [] for w, k, v in zip(lists["words"], lists["keys"], lists["venue"], strict=True)]
+            yield pa.RecordBatch.from_pydict(arrays | {"prints": pa.array(prints, pa.list_(pa.int64()))})
+
+    return content.mapInArrow(run, _FORM).where("words <> ''")
 
-    return content.repartition(width(content.sparkSession), "rid").mapInArrow(run, _FORM)
 
+def _listed(forms: DataFrame, parts: int, *columns: str) -> DataFrame:
+    """(part, fp, columns...): the fingerprints of forms and the partitions that they belong to."""
+    out = forms.select(*columns, F.explode("prints").alias("fp"))
+    return out.select(F.pmod(F.shiftright("fp", 7), F.lit(parts)).cast("int").alias("part"), "fp", *columns)
 
-def _positions(fp: np.ndarray) -> np.ndarray:
+
+def _positions(fp: np.ndarray, bits: int) -> np.ndarray:
     h = fp.astype(np.uint64)
     a, b = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
-    return (a[:, None] + np.arange(BLOOM_HASHES, dtype=np.uint64) * b[:, None]) % np.uint64(BLOOM_BITS)
+    return (a[:, None] + np.arange(BLOOM_HASHES, dtype=np.uint64) * b[:, None]) % np.uint64(bits)
 
 
-def build_filters(stored: DataFrame, parts: int) -> DataFrame:
-    """(part, bits): the Bloom filter of each partition of (part, fp)."""
+def build_filters(listed: DataFrame, parts: int, total: int) -> DataFrame:
+    """(part, bits): the Bloom filter of each partition of (part, fp), sized for total fingerprints in all."""
+    bits = max(1 << 12, int(BLOOM_RATE * total / parts * 1.3) // 8 * 8)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits: dict[int, np.ndarray] = {}
+        filters: dict[int, np.ndarray] = {}
         for pdf in batches:
             for part, own in pdf.groupby("part"):
-                b = bits.setdefault(part, np.zeros(BLOOM_BITS // 8, np.uint8))
-                at = _positions(own["fp"].to_numpy()).ravel()
+                b = filters.setdefault(part, np.zeros(bits // 8, np.uint8))
+                at = _positions(own["fp"].to_numpy(), bits).ravel()
                 np.bitwise_or.at(b, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
-        if bits:
-            yield pd.DataFrame({"part": list(bits), "bits": [b.tobytes() for b in bits.values()]})
+        if filters:
+            yield pd.DataFrame({"part": list(filters), "bits": [b.tobytes() for b in filters.values()]})
 
-    return stored.select("part", "fp").repartition(parts, "part").mapInPandas(run, "part int, bits binary")
+    return listed.select("part", "fp").repartition(min(parts, width(listed.sparkSession)), "part").mapInPandas(run, "part int, bits binary")
 
 
-def merge_filters(a: DataFrame, b: DataFrame) -> DataFrame:
-    """The filters that hold what either holds. There is one row per partition on each side."""
+def prescreen(asked: DataFrame, filters: DataFrame) -> DataFrame:
+    """The rows of asked (part, fp, rid) whose fingerprint any filter of its partition may hold."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pdf["bits"]])
-        return pd.DataFrame({"part": pdf["part"][:1], "bits": [bits.tobytes()]})
+    def run(own: pd.DataFrame, filt: pd.DataFrame) -> pd.DataFrame:
+        hit = np.zeros(len(own), bool)
+        for one in filt["bits"]:
+            bits = np.frombuffer(one, np.uint8)
+            at = _positions(own["fp"].to_numpy(), 8 * len(bits))
+            hit |= ((bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+        return own[hit]
 
-    return a.unionByName(b).groupBy("part").applyInPandas(run, "part int, bits binary")
+    return asked.groupBy("part").cogroup(filters.groupBy("part")).applyInPandas(run, "part int, fp bigint, rid bigint")
 
 
-def prescreen(asked: DataFrame, filters: DataFrame) -> DataFrame:
-    """The rows of asked (part, fp, rid, n) whose fingerprint the filter of its partition may hold."""
+class Store:
+    """Accepted contents in a folder: generations of forms and of filters, and the counts they were built with.
 
-    def run(own: pd.DataFrame, filt: pd.DataFrame) -> pd.DataFrame:
-        if own.empty or filt.empty:
-            return own.iloc[:0]
-        bits = np.frombuffer(filt["bits"].iloc[0], np.uint8)
-        at = _positions(own["fp"].to_numpy())
-        hit = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-        return own[hit.all(axis=1)]
+    Ids of the history are kept as even numbers and those of batches as odd ones, so they can't clash.
+    """
 
-    return asked.groupBy("part").cogroup(filters.groupBy("part")).applyInPandas(run, "part int, fp bigint, rid bigint, n int")
+    def __init__(self, spark: SparkSession, folder: str, counts: papers.Counts, parts: int, generations: int):
+        self.spark, self.folder, self.counts, self.parts, self.generations = spark, folder, counts, parts, generations
+
+    @property
+    def forms(self) -> DataFrame:
+        return self.spark.read.schema(_FORM).parquet(*[f"{self.folder}/forms-{g}" for g in range(self.generations)])
+
+    @property
+    def filters(self) -> DataFrame:
+        return self.spark.read.schema("part int, bits binary").parquet(*[f"{self.folder}/filters-{g}" for g in range(self.generations)])
+
+    def add(self, forms: DataFrame) -> None:
+        """Accept forms as a new generation."""
+        g = self.generations
+        forms.write.parquet(f"{self.folder}/forms-{g}")
+        kept = self.spark.read.schema(_FORM).parquet(f"{self.folder}/forms-{g}")
+        total = kept.agg(F.sum(F.size("prints"))).head()[0] or 0
+        if not self.parts:  # the first generation sets the partitions
+            self.parts = max(width(self.spark), int(total / PART_LOAD) + 1)
+        build_filters(_listed(kept, self.parts), self.parts, total).write.parquet(f"{self.folder}/filters-{g}")
+        self.generations = g + 1
+        self._note()
+
+    def _note(self) -> None:
+        row = (self.generations, self.parts)
+        self.spark.createDataFrame([row], "generations int, parts int").write.mode("overwrite").parquet(f"{self.folder}/state")
+
+    @classmethod
+    def build(cls, content: DataFrame, counts: papers.Counts, folder: str) -> Store:
+        """A store of distinct contents; its counts stay as they are from now on."""
+        spark = content.sparkSession
+        table = pa.table({"names": counts.names, "titles": counts.titles, "cell": np.arange(len(counts.names))})
+        spark.createDataFrame(table).write.parquet(f"{folder}/counts")
+        store = cls(spark, folder, counts, 0, 0)
+        store.add(_forms(content, counts))
+        return store
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> Store:
+        """The store kept in a folder."""
+        got = spark.read.parquet(f"{folder}/counts").toArrow().sort_by("cell")  # COUNT_CELLS rows
+        state = spark.read.parquet(f"{folder}/state").head()
+        return cls(spark, folder, papers.Counts(got.column("names").to_numpy(), got.column("titles").to_numpy()), state["parts"], state["generations"])
+
+
+def screen(store: Store, content: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """((rid) of the batch's contents that are the same paper as one in the store or an earlier one of the batch, forms).
+
+    The batch's fingerprints that pass the filters, and then its candidate pairs, are written, so Spark knows
+    their size: where they are small the store is read without being shuffled, else both sides are.
+    """
+    new = scratch.keep(_forms(content, store.counts), "new")
+    asked = _listed(new, store.parts, "rid")
+    positive = scratch.keep(prescreen(asked, store.filters).select("fp", F.col("rid").alias("rid1")), "positive")
+    mine = new.select(F.col("rid").alias("rid1"), F.col("mask").alias("mask1"), F.col("n_words").alias("n_words1"))
+    side = lambda f: _listed(f, store.parts, "rid", "mask", "n_words").select("fp", F.col("rid").alias("rid2"), F.col("mask").alias("mask2"), F.col("n_words").alias("n_words2"))
+    old = side(store.forms).join(positive, "fp")
+    fresh = side(new).join(asked.select("fp", F.col("rid").alias("rid1")), "fp").where("rid2 < rid1")
+    covered = lambda df: df.join(mine, "rid1").where(papers.alike_masks()).select("rid1", "rid2").distinct()
+    pairs = scratch.keep(covered(old).unionByName(covered(fresh)), "pairs")
+    alike = papers.verify(pairs, new, store.forms.unionByName(new), store.counts).select("rid1")
+    literal = new.select(F.col("rid").alias("rid1"), "h1", "h2").join(store.forms.select("h1", "h2"), ["h1", "h2"]).select("rid1")
+    return scratch.keep(alike.unionByName(literal).distinct().select(F.col("rid1").alias("rid")), "repeated"), new
+
+
+def update(store: Store, new: DataFrame) -> None:
+    """Accept the forms of a batch, in place: a generation of forms and filters is written, the others stay."""
+    store.add(new)
+
+
+def _rows(table: DataFrame, odd: int) -> DataFrame:
+    cols = [F.col("raw_title").alias("title"), F.col("raw_authors").alias("names"), F.col("year_guess").alias("year"), F.col("venue_guess").alias("venue")]
+    return table.select((F.col("id") * 2 + odd).alias("id"), *cols).where(F.col("title").rlike(r"[\p{L}\p{N}]"))
 
 
-class Store:
-    """Forms, fingerprints and filters of the accepted rows, as tables in the shared folder."""
-
-    def __init__(self, forms: DataFrame, stored: DataFrame, filters: DataFrame, parts: int, counts: np.ndarray, scratch: Scratch):
-        self.forms, self.stored, self.filters, self.parts, self.counts, self.scratch = forms, stored, filters, parts, counts, scratch
-
-
-def _listed(forms: DataFrame, column: str, parts: int) -> DataFrame:
-    # n is the size that coverage is a share of: long lists of names don't make it stricter
-    odd = F.size(F.filter(column, lambda x: x.bitwiseAND(1) == 1))
-    even = F.size(column) - odd
-    n = F.when(odd <= 1, F.least(even, F.lit(8)) + odd).otherwise(F.least(even, F.lit(15)) + 1)
-    out = forms.select("rid", n.cast("int").alias("n"), F.explode(column).alias("fp"))
-    return out.select(F.pmod(F.shiftright("fp", 7), F.lit(parts)).cast("int").alias("part"), "fp", "rid", "n")
-
-
-def build_store(content: DataFrame, counts: np.ndarray, scratch: Scratch) -> Store:
-    """A store of distinct contents (rid, title, names, year, venue)."""
-    forms = scratch.keep(_forms(content, counts).where("words <> ''"), "forms")
-    total = forms.agg(F.sum(F.size("stored"))).head()[0] or 0
-    # partitions for growth: each filter begins at most half full
-    parts = max(width(content.sparkSession), int(2 * total / BLOOM_LOAD) + 1)
-    stored = scratch.keep(_listed(forms, "stored", parts), "fingerprints")
-    return Store(forms, stored, scratch.keep(build_filters(stored, parts), "filters"), parts, counts, scratch)
-
-
-def screen(store: Store, content: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((rid, earlier) pairs of the batch's contents with the same paper in the store or earlier in the batch, forms)."""
-    scratch = store.scratch
-    new = scratch.keep(_forms(content, store.counts).where("words <> ''"), "new")
-    asked = _listed(new, "asked", store.parts)
-    positive = prescreen(asked, store.filters).drop("part")
-    old = store.stored.select("fp", F.col("rid").alias("earlier"), F.col("n").alias("n2"))
-    fresh = _listed(new, "stored", store.parts).select("fp", F.col("rid").alias("earlier"), F.col("n").alias("n2"))
-    shared = positive.join(old, "fp").unionByName(asked.drop("part").join(fresh, "fp").where("earlier < rid"))
-    pairs = shared.groupBy("rid", "earlier").agg(F.count("*").alias("shared"), F.min(F.least("n", "n2")).alias("least"), F.max(F.col("fp").bitwiseAND(1)).alias("alone")).where((F.col("alone") == 1) | (F.col("shared") >= F.greatest(F.lit(1), F.ceil(F.col("least") * COVERAGE)))).select("rid", "earlier")
-    cols = [c for c in store.forms.columns if c not in ("stored", "asked")]
-    known = store.forms.select(cols).unionByName(new.select(cols))
-    left = papers.side(new.select(cols), 1)
-    right = papers.side(known, 2).withColumnRenamed("rid2", "earlier")
-    joined = pairs.join(left, pairs.rid == left.rid1).drop("rid1").join(right, "earlier")
-    return papers.verify(joined, ["rid", "earlier"]), new
-
-
-def update(store: Store, new: DataFrame) -> Store:
-    """The store with the forms of a batch added: fingerprints appended, filters merged."""
-    added = store.scratch.keep(_listed(new, "stored", store.parts), "added")
-    filters = store.scratch.keep(merge_filters(store.filters, build_filters(added, store.parts)), "filters")
-    return Store(store.forms.unionByName(new), store.stored.unionByName(added), filters, store.parts, store.counts, store.scratch)
+def accept_batch(store: Store, batch: DataFrame) -> DataFrame:
+    """(id) of the rows of a batch that are no new paper; the batch's contents are added to the store."""
+    scratch = Scratch(store.spark, "batch")
+    rows = _rows(batch, 1)
+    repeated, new = screen(store, papers.contents(rows), scratch)
+    link = papers.links(rows, new)
+    update(store, new)
+    literal = link.where("id > rid").select("id")
+    near = link.join(repeated, "rid").select("id")
+    return scratch.keep(literal.unionByName(near).distinct().select(F.shiftright("id", 1).alias("id")), "ids")
+
+
+def open_history(history: DataFrame, folder: str | None = None) -> Store:
+    """A store of the accepted rows, in a folder of its own unless one is given."""
+    folder = folder or Scratch(history.sparkSession, "store").root
+    rows = _rows(history, 0)
+    return Store.build(papers.contents(rows), papers.count_words(rows), folder)
 
 
 def repeated_rows(history: DataFrame, batches: DataFrame) -> DataFrame:
     """(id) of batch rows that are the same paper as a history row or a batch row with a smaller id.
 
-    Rows without a title are no case. Null and blank names or venues are unknown: such rows repeat a
-    paper only by an equal long title. Rows with an equal title, names, year and venue are copies and count
-    from the second on; so do batch rows whose copy is in the history. Further columns are ignored; empty
-    tables give no rows.
+    Batches are taken one after the other in the order of batch_no (null last); each meets the store that the
+    ones before left. Ids must rise with batch_no and lie within 62 bits. Rows without a title are no case. Null
+    and blank names or venues are unknown: such rows repeat a paper only by an equal long title. Rows with an
+    equal title, names, year and venue are copies and count from the second on; so do batch rows whose copy is
+    in the history. Further columns are ignored; empty tables give no rows.
     """
-    scratch = Scratch(history.sparkSession, "history")
-    cols = [F.col("raw_title").alias("title"), F.col("raw_authors").alias("names"), F.col("year_guess").alias("year"), F.col("venue_guess").alias("venue")]
-    titled = F.col("title").rlike(r"[\p{L}\p{N}]")
-    both = history.select("id", *cols).unionByName(batches.select((F.col("id") + BATCH).alias("id"), *cols)).where(titled)
-    content, link = papers.contents(both, scratch)
-    link = scratch.keep(link.where(F.col("id") >= BATCH), "link")
-    counts = papers.name_counts(content, "names")
-    store = build_store(content.where(F.col("rid") < BATCH), counts, scratch)
-    pairs, new = screen(store, content.where(F.col("rid") >= BATCH))
-    repeated = scratch.keep(pairs.select("rid").distinct(), "repeated")
-    update(store, new)
-    literal = link.where("id > rid").select("id")
-    near = link.join(repeated, link.id == repeated.rid, "left_semi").select("id")
-    return literal.unionByName(near).select((F.col("id") - BATCH).alias("id"))
+    store = open_history(history)
+    numbers = sorted((r[0] for r in batches.select("batch_no").distinct().collect()), key=lambda n: (n is None, n or 0))  # one row per batch
+    out = None
+    for n in numbers:
+        found = accept_batch(store, batches.where(F.col("batch_no").eqNullSafe(F.lit(n))))
+        out = found if out is None else out.unionByName(found)
+    return batches.select("id").limit(0) if out is None else out

@@ -15,8 +15,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..tables import width
-
 #: Counts of name words are kept in a table of this many cells, whatever the corpus.
 COUNT_CELLS = 1 << 18
 #: A name word in more than this share of all names is taken for a given name or a title.
@@ -36,13 +34,21 @@ _EDGE = " \t\n\r\xa0\u2003\u2009\"'“”«»*_‘’"
 _END = _EDGE + ".;!,]"
 _VENUE_TAIL = regex.compile(r"\s[-–—‐]\s*(?:the\s+)?(?:" + "|".join(SERIAL.split()) + r")\b[^:]{0,70}$", regex.I)
 _WORDS = regex.compile(r"[\p{L}\p{N}]+")
+_DIGIT = regex.compile(r"\d")
 _HIDDEN = regex.compile(r"[\p{Cf}\p{M}]+")
+# Nouns that a number or numeral belongs to, so that it counts no parts.
+_NUMBERED = "type|types|grade|grades|class|classes|stage|stages|phase|phases|level|levels|factor|category|covid|cov|version|tier|il|cox|complex|world war|angiotensin|collagen|interleukin|figure|table"
 _MARKER = [
     ("erratum", regex.compile(r"^(?:erratum|corrigendum|correction|addendum|retraction|publisher correction|author correction)\b(?=.{8})|\b(?:erratum|corrigendum|correction|retraction)$")),
-    ("cohort", regex.compile(r"\b(?:a )?(?:second|third|2nd|3rd|new|independent) cohort\b|\bcohort (?:2|3|ii|iii)\b|\breplication (?:study|cohort)\b")),
-    ("part", regex.compile(r"\bpart (?:2|3|4|ii|iii|iv|two|three)\b|\b(?:ii|iii|iv)\b|\bextended follow ?up\b|\b(?:2|3)$")),
-    ("reply", regex.compile(r"^(?:re|reply to|comment on|response to|commentary on)\b(?=.{8})")),
+    ("cohort", regex.compile(r"\b(?:second|third|2nd|3rd|new|independent|replication) cohort$|\bcohort (?:2|3|ii|iii)\b|\breplication study$")),
+    ("part", regex.compile(rf"\bpart (?:2|3|4|ii|iii|iv|two|three)\b|(?<!\b(?:{_NUMBERED}) )\b(?:ii|iii|iv)\b(?=(?: \S+){{0,3}}$)|\bextended follow ?up$")),
+    ("reply", regex.compile(r"^(?:reply to|comment on|response to|commentary on)\b(?=.{8})")),
 ]
+# a number at the end counts parts only if it stands alone there (not "CoV-2") and belongs to no noun
+_NUMBER_END = regex.compile(rf"(?<!\b(?:{_NUMBERED}))\s*[\s:,.;–—]\s*[23]$")
+_REPLY = regex.compile(r"^re\s*:(?=.{8})")
+# Beginnings that turn a word into its opposite, or into another one, by an edit or two.
+_OPPOSED = [("hyper", "hypo"), ("inter", "intra"), ("macro", "micro"), ("endo", "exo"), ("endo", "ecto"), ("ante", "anti"), ("ab", "ad"), ("poly", "oligo"), ("supra", "infra"), ("super", "supra"), ("iso", "aniso"), ("normo", "hypo"), ("eu", "dys"), ("un", ""), ("in", ""), ("non", ""), ("im", ""), ("dis", "")]
 
 
 def plain(text: str) -> str:
@@ -89,12 +95,17 @@ def title_form(title: str | None) -> tuple[str, bool, str]:
     for a, b in SAME_WORDS.items():
         if a in words:
             words = words.replace(a, b)
-    marker = ""
+    return words, cut, _marker(words, t, cut)
+
+
+def _marker(words: str, text: str, cut: bool) -> str:
+    """What a title says about being no first paper; the end of a cut title says nothing."""
+    if text.startswith("re") and _REPLY.match(text):
+        return "reply"
     for name, pattern in _MARKER:
-        if pattern.search(words):
-            marker = name
-            break
-    return words, cut, marker
+        if (m := pattern.search(words)) and not (cut and m.end() == len(words) and name != "erratum"):
+            return name
+    return "part" if text[-1:] in ("2", "3") and not cut and _NUMBER_END.search(text) else ""
 
 
 _split_names: dict[str, list[str]] = {}
@@ -120,36 +131,53 @@ def cell(word: str) -> int:
     return zlib.crc32(word.encode()) % COUNT_CELLS
 
 
-def name_counts(names: DataFrame, column: str) -> np.ndarray:
-    """Names in which the words of each cell occur, over all rows, as a table of COUNT_CELLS counts.
+class Counts:
+    """How many names and how many titles have the words of each cell, over all rows (two tables of COUNT_CELLS).
 
-    The last entry is the number of names. What the driver gets is bounded by COUNT_CELLS.
+    The last entry of each table is the number of names, or of titles.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(COUNT_CELLS + 1, dtype=np.int64)
+    def __init__(self, names: np.ndarray, titles: np.ndarray):
+        self.names, self.titles = names, titles
+        #: From so many titles on a word is no typing error.
+        self.usual = 30 + 0.0003 * float(titles[-1])
+
+
+def count_words(rows: DataFrame) -> Counts:
+    """The counts of (title, names). What the driver gets is bounded by COUNT_CELLS."""
+    size = COUNT_CELLS + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * size, dtype=np.int64)
         known: dict[str, int] = {}
-        for pdf in batches:
+
+        def at(w: str) -> int:
+            c = known.get(w)
+            if c is None:
+                if len(known) > 500_000:
+                    known.clear()
+                c = known[w] = cell(w)
+            return c
+
+        for batch in batches:
             found: list[int] = []
-            for x in pdf["names"]:
-                for ws in name_words(x):
+            for x in batch.column(0).to_pylist():
+                if x:
                     total[-1] += 1
-                    for w in set(ws):
-                        c = known.get(w)
-                        if c is None:
-                            c = known[w] = cell(w)
-                        found.append(c)
-            total[:-1] += np.bincount(np.array(found, dtype=np.int64), minlength=COUNT_CELLS)
-            if len(known) > 500_000:
-                known.clear()
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"cell": at, "n": total[at]})
-
-    counted = names.select(F.col(column).alias("names")).where("names is not null").mapInPandas(run, "cell bigint, n bigint")
-    out = np.zeros(COUNT_CELLS + 1, dtype=np.int64)
-    for r in counted.groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[r["cell"]] = r["n"]
-    return out
+                    found += [size + at(w) for w in set(_WORDS.findall(plain(x)))]
+            for x in batch.column(1).to_pylist():
+                for ws in name_words(x):
+                    total[COUNT_CELLS] += 1
+                    found += [at(w) for w in set(ws)]
+            total += np.bincount(np.array(found, dtype=np.int64), minlength=2 * size)
+        where = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(where), "n": pa.array(total[where])})
+
+    counted = rows.select("title", "names").mapInArrow(run, "cell bigint, n bigint")
+    out = np.zeros(2 * size, dtype=np.int64)
+    got = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    return Counts(out[:size], out[size:])
 
 
 class KeyFinder:
@@ -210,14 +238,21 @@ def _venue_words(venue: str | None) -> str:
 def near(a: str, b: str) -> bool:
     """Whether two words differ by typing only: by one edit, by two from six letters on, by three from eleven on.
 
-    An edit is a letter more, less or other, or two neighbours swapped.
+    An edit is a letter more, less or other, or two neighbours swapped. Digits must be equal, and beginnings of
+    opposite meaning are no typing.
     """
-    if a == b:
-        return True
+    return a == b or (_edits_near(a, b) and not _opposed(a, b))
+
+
+def _opposed(a: str, b: str) -> bool:
+    return min(len(a), len(b)) > 5 and any((a.startswith(x) and b.startswith(y) and a[len(x) :] == b[len(y) :]) or (a.startswith(y) and b.startswith(x) and a[len(y) :] == b[len(x) :]) for x, y in _OPPOSED)
+
+
+def _edits_near(a: str, b: str) -> bool:
     la, lb = len(a), len(b)
     n = min(la, lb)
     limit = 1 if n < 6 else 2 if n < 11 else 3
-    if abs(la - lb) > limit or n < 2 or a.isdigit() or b.isdigit():
+    if abs(la - lb) > limit or n < 2 or not (a.isalpha() and b.isalpha()) and _DIGIT.findall(a) != _DIGIT.findall(b):
         return False
     i = 0
     while i < n and a[i] == b[i]:
@@ -246,7 +281,24 @@ def near(a: str, b: str) -> bool:
     return row[-1] <= limit
 
 
-def _explained(left: list[str], right: list[str], known: set[str]) -> tuple[list[str], list[str]]:
+_cells: dict[str, int] = {}
+
+
+def _titles_with(counts: Counts, word: str) -> int:
+    c = _cells.get(word)
+    if c is None:
+        if len(_cells) > 500_000:
+            _cells.clear()
+        c = _cells[word] = cell(word)
+    return int(counts.titles[c])
+
+
+def _mistyped(a: str, b: str, counts: Counts | None) -> bool:
+    """Whether one of two words is the other with typing errors: not if both are usual words of titles."""
+    return near(a, b) and (counts is None or min(_titles_with(counts, a), _titles_with(counts, b)) < counts.usual)
+
+
+def _explained(left: list[str], right: list[str], known: set[str], counts: Counts | None) -> tuple[list[str], list[str]]:
     """What remains of two lists of words after pairing off words that differ by typing.
 
     known are words of both titles; a word may also have run together with one of them.
@@ -254,7 +306,7 @@ def _explained(left: list[str], right: list[str], known: set[str]) -> tuple[list
     right = list(right)
     rest = []
     for w in left:
-        hit = next((v for v in right if near(w, v)), None)
+        hit = next((v for v in right if _mistyped(w, v, counts)), None)
         if hit is None:
             rest.append(w)
         else:
@@ -281,12 +333,15 @@ def _explained(left: list[str], right: list[str], known: set[str]) -> tuple[list
     return rest, right
 
 
-def same_title(a: str, b: str, cut_a: bool, cut_b: bool) -> int:
-    """2: equal letters; 1: equal but for typing, order, repeated or light words, or a missing end; 0: not."""
+def same_title(a: str, b: str, cut_a: bool, cut_b: bool, counts: Counts | None = None) -> int:
+    """3: equal letters; 2: equal but for typing, order, repeated or light words, or a missing end; 1: one word inside is missing too; 0: not.
+
+    Titles of different letters share at least about half of the words of the shorter one (see ``alike_masks``).
+    """
     if a == b:
-        return 2
+        return 3
     if a.replace(" ", "") == b.replace(" ", ""):
-        return 2
+        return 3
     wa, wb = a.split(), b.split()
     sa, sb = set(wa), set(wb)
     both = sa & sb
@@ -294,13 +349,11 @@ def same_title(a: str, b: str, cut_a: bool, cut_b: bool) -> int:
         return 0
     left = [w for w in dict.fromkeys(wa) if w not in sb]
     right = [w for w in dict.fromkeys(wb) if w not in sa]
-    if min(len(left), len(right)) > 5:
-        return 0
-    left, right = _explained(left, right, both) if left or right else (left, right)
+    left, right = _explained(left, right, both, counts) if left or right else (left, right)
     heavy_l = [w for w in left if w not in LIGHT]
     heavy_r = [w for w in right if w not in LIGHT]
     if not heavy_l and not heavy_r:
-        return 1
+        return 2
     if heavy_l and heavy_r:
         # a word that the shorter text was cut in
         if (cut_a or cut_b) and len(heavy_l) == 1 and heavy_r[0].startswith(heavy_l[0]) and wa[-1] == heavy_l[0]:
@@ -309,19 +362,24 @@ def same_title(a: str, b: str, cut_a: bool, cut_b: bool) -> int:
             heavy_r = []
         else:
             joined_l, joined_r = "".join(left), "".join(right)
-            return 1 if len(joined_l) > 6 and (joined_l == joined_r or near(joined_l, joined_r)) else 0
+            return 2 if len(joined_l) > 6 and (joined_l == joined_r or _mistyped(joined_l, joined_r, counts)) else 0
     extra, words, short = (heavy_l, wa, wb) if heavy_l else (heavy_r, wb, wa)
     if len(short) < 4 and not (cut_a or cut_b):
         return 0
     # the longer title goes on after the shorter one, or one word inside is missing
     known = set(short)
     end = len(words)
-    while end and (words[end - 1] not in known or words[end - 1] in LIGHT) :
+    while end and (words[end - 1] not in known or words[end - 1] in LIGHT):
         end -= 1
     inner = [w for w in extra if w in words[:end]]
-    if len(inner) <= 1 and len(short) >= 4:
-        return 1
-    return 0
+    if not inner and len(short) >= 4:
+        return 2
+    return 1 if len(inner) == 1 and len(short) >= 5 else 0
+
+
+def venue_initials(venue: str) -> str:
+    """The first letters of the words of a venue; agreeing venues mostly have the same."""
+    return "".join(w[0] for w in venue.split() if w not in LIGHT)
 
 
 def same_venue(a: str, b: str) -> bool | None:
@@ -349,35 +407,70 @@ def same_names(a: list[str], b: list[str]) -> float:
     return hits / len(a)
 
 
-def same_paper(t1: str, t2: str, cut1: bool, cut2: bool, m1: str, m2: str, k1, k2, y1: int, y2: int, v1: str, v2: str) -> bool:
-    """Whether two forms are the same paper."""
+def same_paper(t1: str, t2: str, cut1: bool, cut2: bool, m1: str, m2: str, k1, k2, y1: int, y2: int, v1: str, v2: str, counts: Counts | None = None) -> bool:
+    """Whether two forms are the same paper. A word missing inside asks for more agreement of everything else."""
     if m1 != m2 or not t1 or not t2:
         return False
-    titles = same_title(t1, t2, cut1, cut2)
+    titles = same_title(t1, t2, cut1, cut2, counts)
     if not titles:
         return False
     names = same_names(k1, k2)
     gap = abs(y1 - y2) if y1 and y2 else 0
     venue = same_venue(v1, v2)
     short = min(len(t1), len(t2)) < 22
+    if titles == 1 and not (names >= 0.6 and venue is not False and gap <= 1 and (venue or (y1 and y1 == y2) or len(k1) > 1 < len(k2))):
+        return False
     if names < 0:
-        return not short and venue is not False and gap <= 1 and (titles == 2 or venue is True)
+        return not short and venue is not False and gap <= 1 and (titles == 3 or venue is True)
     if short:
-        return names >= 0.5 and titles >= 1 and venue is not False and gap <= 2
-    if titles == 2:
+        return names >= 0.5 and venue is not False and gap <= 2
+    if titles == 3:
         return names >= 0.25
     if cut1 or cut2:
         return names >= 0.4 and (venue is not False or gap == 0)
     return names >= 0.3 and (gap <= 1 or venue is not False)
 
 
-FORM = "rid bigint, words string, cut boolean, marker string, keys array<string>, year int, venue string"
+FORM = "rid bigint, h1 bigint, h2 bigint, words string, cut boolean, marker string, keys array<string>, year int, venue string, mask bigint, n_words int"
 _YEAR = regex.compile(r"(?:19|20)\d\d")
+_bits: dict[str, int] = {}
+
+
+def _bit(word: str) -> int:
+    b = _bits.get(word)
+    if b is None:
+        if len(_bits) > 500_000:
+            _bits.clear()
+        b = _bits[word] = 1 << (zlib.adler32(word.encode()) * 0x9E3779B1 >> 13 & 63)
+    return b
+
 
+def masks(words: list[str]) -> tuple[np.ndarray, list[int]]:
+    """(64-bit mask with one bit for each word, number of distinct words) of titles."""
+    out, sizes = np.zeros(len(words), np.uint64), []
+    for i, t in enumerate(words):
+        m, own = 0, set(t.split())
+        for w in own:
+            m |= _bit(w)
+        out[i] = m
+        sizes.append(len(own))
+    return out.astype(np.int64), sizes
 
-def form_lists(titles: list, names: list, years: list, venues: list, counts: np.ndarray) -> dict[str, list]:
-    """The columns of FORM (but rid) for a batch."""
-    finder = _finder(counts)
+
+def alike_masks():
+    """Condition on mask1, n_words1, mask2, n_words2 that no pair fails whose titles share about half of their words.
+
+    Two titles share at most as many words as their masks share bits, plus the words that fell on one bit
+    within the title that has fewer of these.
+    """
+    clash = lambda i: F.col(f"n_words{i}") - F.bit_count(f"mask{i}")
+    shared = F.bit_count(F.col("mask1").bitwiseAND(F.col("mask2"))) + F.least(clash(1), clash(2))
+    return 2 * shared >= F.least("n_words1", "n_words2") - 1
+
+
+def form_lists(titles: list, names: list, years: list, venues: list, counts: Counts) -> dict[str, list]:
+    """The columns of FORM (but rid and hashes) for a batch."""
+    finder = _finder(counts.names)
     seen: dict[str | None, tuple[str, bool, str]] = {}
     forms = []
     for t in titles:
@@ -385,29 +478,28 @@ def form_lists(titles: list, names: list, years: list, venues: list, counts: np.
         if form is None:
             form = seen[t] = title_form(t)
         forms.append(form)
+    words = [t[0] for t in forms]
+    mask, n_words = masks(words)
     return {
-        "words": [t[0] for t in forms],
+        "words": words,
         "cut": [t[1] for t in forms],
         "marker": [t[2] for t in forms],
         "keys": [finder.keys(x) for x in names],
         "year": [int(m.group()) if y and (m := _YEAR.search(y)) else 0 for y in years],
         "venue": [_venue_words(v) for v in venues],
+        "mask": mask,
+        "n_words": n_words,
     }
 
 
-_ARROW = {"words": pa.string(), "cut": pa.bool_(), "marker": pa.string(), "keys": pa.list_(pa.string()), "year": pa.int32(), "venue": pa.string()}
+_ARROW = {"words": pa.string(), "cut": pa.bool_(), "marker": pa.string(), "keys": pa.list_(pa.string()), "year": pa.int32(), "venue": pa.string(), "mask": pa.int64(), "n_words": pa.int32()}
 
 
-def form_arrays(batch: pa.RecordBatch, counts: np.ndarray) -> tuple[dict[str, list], dict[str, pa.Array]]:
-    """(lists, Arrow columns) of FORM for a batch with columns rid, title, names, year, venue."""
+def form_arrays(batch: pa.RecordBatch, counts: Counts) -> tuple[dict[str, list], dict[str, pa.Array]]:
+    """(lists, Arrow columns) of FORM for a batch with columns rid, h1, h2, title, names, year, venue."""
     column = lambda c: batch.column(batch.schema.get_field_index(c))
     lists = form_lists(*(column(c).to_pylist() for c in ("title", "names", "year", "venue")), counts)
-    return lists, {"rid": column("rid")} | {c: pa.array(lists[c], t) for c, t in _ARROW.items()}
-
-
-def form_frame(pdf: pd.DataFrame, counts: np.ndarray) -> pd.DataFrame:
-    """FORM rows of a frame with columns rid, title, names, year, venue."""
-    return pd.DataFrame({"rid": pdf["rid"]} | form_lists(*(list(pdf[c]) for c in ("title", "names", "year", "venue")), counts))
+    return lists, {c: column(c) for c in ("rid", "h1", "h2")} | {c: pa.array(lists[c], t) for c, t in _ARROW.items()}
 
 
 # Placeholders of a venue.
@@ -419,40 +511,47 @@ def names_of_json(column):
     return F.array_join(F.transform(F.from_json(column, "array<string>"), lambda x: F.regexp_replace(x, ",", " ")), ", ")
 
 
-def verify(pairs: DataFrame, ids: list[str]) -> DataFrame:
-    """The pairs whose forms are the same paper, with the columns ids.
+_COMPARED = ["words", "cut", "marker", "keys", "year", "venue"]
+
+
+def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, counts: Counts) -> DataFrame:
+    """The pairs (rid1, rid2) whose forms are the same paper; left and right are the forms of the two sides.
 
-    pairs has the columns of FORM (but rid) with the suffixes 1 and 2.
+    Pairs travel as ids; the forms join them only here.
     """
-    cols = ["words", "cut", "marker", "keys", "year", "venue"]
-    schema = ", ".join(f"{i} {dict(pairs.dtypes)[i]}" for i in ids)
+    shared = pairs.sparkSession.sparkContext.broadcast(counts)  # two tables of COUNT_CELLS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
         for batch in batches:
-            columns = [batch.column(len(ids) + i).to_pylist() for i in range(2 * len(cols))]
-            at = 2 * cols.index("keys")
+            columns = [batch.column(2 + i).to_pylist() for i in range(2 * len(_COMPARED))]
+            at = 2 * _COMPARED.index("keys")
             columns[at], columns[at + 1] = [x.split() for x in columns[at]], [x.split() for x in columns[at + 1]]
-            keep = pa.array([same_paper(*x) for x in zip(*columns, strict=True)], pa.bool_())
-            yield batch.select(range(len(ids))).filter(keep)
+            keep = pa.array([same_paper(*x, counts) for x in zip(*columns, strict=True)], pa.bool_())
+            yield batch.select([0, 1]).filter(keep)
 
-    sent = [F.array_join(f"{c}{i}", " ").alias(f"{c}{i}") if c == "keys" else F.col(f"{c}{i}") for c in cols for i in (1, 2)]
-    return pairs.select(*ids, *sent).mapInArrow(run, schema)
+    form = lambda df, i: df.select(*[(F.array_join(c, " ") if c == "keys" else F.col(c)).alias(f"{c}{i}") for c in ("rid", *_COMPARED)])
+    joined = pairs.select("rid1", "rid2").join(form(right, 2), "rid2").join(form(left, 1), "rid1").where("marker1 = marker2")
+    return joined.select("rid1", "rid2", *[f"{c}{i}" for c in _COMPARED for i in (1, 2)]).mapInArrow(run, "rid1 bigint, rid2 bigint")
 
 
-def side(forms: DataFrame, number: int) -> DataFrame:
-    """The forms with suffixed columns, for joins."""
-    return forms.select([F.col(c).alias(f"{c}{number}") for c in forms.columns])
+def keyed(rows: DataFrame) -> DataFrame:
+    """rows with h1 and h2, 128 bits of hash of title, names, year and venue."""
+    cols = ["title", "names", "year", "venue"]
+    whole = [F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in cols]
+    return rows.withColumn("h1", F.xxhash64(*whole)).withColumn("h2", F.xxhash64(F.lit(71), *whole))
 
 
-def contents(rows: DataFrame, scratch, extra: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Distinct contents (rid, title, names, year, venue) and, per row (id, extra...), its rid.
+def contents(rows: DataFrame) -> DataFrame:
+    """Distinct contents (rid, h1, h2, title, names, year, venue) of rows (id, title, names, year, venue).
 
-    rows has id, title, names, year, venue; exact copies share the smallest id as rid. Contents are keyed
-    by 128 bits of hash, so texts are shuffled once.
+    Exact copies share the smallest id as rid; they are merged on the map side, and texts are shuffled once.
     """
     cols = ["title", "names", "year", "venue"]
-    keyed = rows.withColumn("h1", F.xxhash64(*cols)).withColumn("h2", F.xxhash64(F.lit(71), *cols))
-    first = keyed.groupBy("h1", "h2").agg(F.min(F.struct("id", *cols)).alias("x")).select("h1", "h2", F.col("x.id").alias("rid"), *[f"x.{c}" for c in cols])
-    first = scratch.keep(first, "contents")
-    link = keyed.select("id", *extra, "h1", "h2").join(first.select("h1", "h2", "rid"), ["h1", "h2"]).select("id", *extra, "rid")
-    return first.drop("h1", "h2"), link
+    first = keyed(rows).groupBy("h1", "h2").agg(F.min("id").alias("rid"), *[F.any_value(c).alias(c) for c in cols])
+    return first.select("rid", "h1", "h2", *cols)
+
+
+def links(rows: DataFrame, forms: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(id, extra..., rid): the content of every row."""
+    return keyed(rows).select("id", *extra, "h1", "h2").join(forms.select("h1", "h2", "rid"), ["h1", "h2"]).select("id", *extra, "rid")

@@ -27,7 +27,7 @@ def p3_canonical(s, d):
 
 
 def p5_found(s, d):
-    return entity_match.match(_t(s, d, "paper_candidate"), _t(s, d, "provider_dump"), with_confidence=False).select("candidate_id", "record_id")
+    return entity_match.match(_t(s, d, "paper_candidate"), _t(s, d, "provider_dump")).select("candidate_id", "record_id")
 
 
 def p5_matches(s, d):
