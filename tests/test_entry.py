@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SLOW = {"p4_found", "p2_found"}
+
 
 
 def plain(v):
@@ -20,7 +20,7 @@ def test_entry_runs(spark, data):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_sql_agrees(spark, data, name):
     con = duckdb.connect()
     for f in glob.glob(f"{data}/*.parquet"):

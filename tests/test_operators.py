@@ -111,3 +111,40 @@ def test_batches_count_on_over_parts(spark):
     df = spark.createDataFrame([(f"{'abc'[i % 3]}query{i:03}",) for i in range(130)] + [(None,)], "q string")
     got = {r.key: r.batch_no for r in reports.batch_numbers(df, "q").collect()}
     assert got == {k: i // 50 for i, k in enumerate(sorted(got))}
+
+
+def test_ranges_decide_what_repeats(spark):
+    m = spark.createDataFrame([(i, f"u{i}", f"<Prod-{i % 40}@h>" if i % 5 else f"odd{i % 10}") for i in range(1, 101)], "id long, mail_uid string, message_id string")
+    want = rows(delivery.repeats(m))
+    assert want == sorted([(i,) for i in range(1, 101) if (i > 10 if i % 5 == 0 else i > 40)], key=str)
+
+    class Forgets(delivery.Seen):
+        def take(self, batch):
+            self.ranges = None
+            return super().take(batch)
+
+    lost = delivery.messages(m, Forgets(delivery.Scratch(spark, "test"))).where("id > first_id").select("id")
+    assert set(rows(lost)) < set(want)
+
+
+def test_messages_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    made = [(i, rng.choice([None, " ", f"u{rng.randrange(60)}"]), rng.choice([None, f"P-{rng.randrange(50)}@h", f"<x{rng.randrange(50)}>"])) for i in range(200)]
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for i, u, k in made:
+        for n in ([("u", u)] if u and u.strip() else []) + ([("k", k)] if k else []):
+            a, b = find(("i", i)), find(n)
+            up[a] = b
+    first = {}
+    for i, _, _ in made:
+        first.setdefault(find(("i", i)), i)
+    df = spark.createDataFrame(made, "id long, mail_uid string, message_id string")
+    assert rows(delivery.messages(df).select("id", "first_id")) == sorted([(i, first[find(("i", i))]) for i, _, _ in made], key=str)
