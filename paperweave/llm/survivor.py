@@ -1,9 +1,10 @@
 """Best representative of each duplicate group, by iterative truth discovery.
 
-Rows vote for the values of their fields. A vote weighs the reliability of its source, which is
-estimated from how often the source agrees with the values chosen so far, times a prior that falls
-steeply with the trust rank, times a factor that grows with recency within the candidate. Choosing values
-and estimating reliabilities alternate until the reliabilities stop moving.
+Rows vote for the values of their fields. A vote weighs the odds that its source is right, times a factor
+that grows with recency within the candidate. How reliable a source is, is estimated from how often it agrees
+with the values chosen so far where values differ (where all agree nothing can be learnt); its trust rank gives
+the value that the estimate starts from, worth a few fields. Choosing values and estimating reliabilities
+alternate until the reliabilities stop moving.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from ..operators.durable import Scratch
 
 # Placeholders that stand for a missing value, after trimming, in lower case.
 PLACEHOLDERS = ["-", "--", "...", "…", "?", "n/a", "na", "n.d.", "nd", "nil", "none", "null", "nan", "pending", "tba", "tbd", "unknown", "not available", "unavailable", "missing", "[no journal]", "no journal", "unknown venue", "unknown journal", "abstract", "no abstract", "no abstract available", "abstract unavailable", "abstract not available"]
-#: Weight of a trust rank against the next lower one. Above the number of rows that oppose one.
-RANK_STEP = 16.0
+#: Reliability that a source of the best rank starts with, how much a rank takes off, and how many fields the start is worth.
+START, RANK_STEP, START_FIELDS = 0.8, 0.05, 5.0
+#: Power of the odds that a vote weighs, and bounds of the reliability in them.
+POWER, LEAST, MOST = 1.5, 0.02, 0.98
 #: A row of the latest created_at of its candidate weighs this much more than one of the earliest.
 RECENT = 4.0
 _CUT = r"(?U)\s*(\.\.\.|…|\[\s*(truncated|more|…|\.\.\.)\s*\]|\(\s*(more|truncated)\s*\)?)\s*$"
@@ -51,13 +54,25 @@ def _drop_shortened(votes: DataFrame) -> DataFrame:
     In the order of the distinct abstracts of a candidate, one that begins another is followed directly
     by an abstract that it begins; repeats were merged before, so a window holds distinct texts only.
     """
+    # votes is read twice, so it should be a written table
     texts = votes.where("field_name = 'abstract'").groupBy("candidate_id", "key").agg(F.lit(1).alias("one"))
     w = Window.partitionBy("candidate_id").orderBy(F.col("key"))
     short = texts.withColumn("next", F.lead("key").over(w)).where("startswith(next, key)").select("candidate_id", "key", F.lit("abstract").alias("field_name"))
     return votes.join(short, ["candidate_id", "field_name", "key"], "left_anti")
 
 
-def discover(records: DataFrame, trust: DataFrame, max_rounds: int = 8, tolerance: float = 1e-3) -> DataFrame:
+def _chosen(tally: DataFrame, reliability: DataFrame) -> DataFrame:
+    """(candidate_id, field_name, key, id, support, holders, n_rows): the value of most support of each field."""
+    r = reliability.select(F.col("source_name").alias("rs"), F.least(F.greatest("r", F.lit(LEAST)), F.lit(MOST)).alias("r"))
+    vote = F.pow(F.col("r") / (1 - F.col("r")), F.lit(POWER)) * (1 + (RECENT - 1) * F.col("fresh"))
+    weighed = tally.join(r, F.col("source_name").eqNullSafe(F.col("rs"))).withColumn("w", vote)
+    # one source speaks once for a value, so repeats of it add nothing
+    support = weighed.groupBy("candidate_id", "field_name", "key").agg(F.sum("w").alias("support"), F.min("id").alias("id"), F.sum("n").alias("holders"), F.max("n_rows").alias("n_rows"))
+    best = support.groupBy("candidate_id", "field_name").agg(F.max(F.struct(F.col("support"), (-F.col("id")).alias("neg"), F.col("key"), F.col("holders"), F.col("n_rows"))).alias("b"))
+    return best.select("candidate_id", "field_name", "b.key", (-F.col("b.neg")).alias("id"), "b.support", "b.holders", "b.n_rows")
+
+
+def discover(records: DataFrame, trust: DataFrame, max_rounds: int = 30, tolerance: float = 1e-3) -> DataFrame:
     """(candidate_id, field_name, id, support, holders, n_rows) of the chosen value of each field.
 
     Only matched rows of candidates with at least two of them vote. A value is usable unless it is null,
@@ -66,33 +81,32 @@ def discover(records: DataFrame, trust: DataFrame, max_rounds: int = 8, toleranc
     how many rows hold it. Ties of support go to the smaller id. Sources that are not in ``trust`` rank
     behind all that are; null sources too. An empty table gives no rows.
     """
-    spark = records.sparkSession
-    scratch = Scratch(spark, "truth")
+    scratch = Scratch(records.sparkSession, "truth")
     ranks = trust.where("source_name is not null").groupBy("source_name").agg(F.min("trust_rank").alias("trust_rank"))
     last = ranks.agg(F.coalesce(F.max("trust_rank"), F.lit(0)).alias("last"))
-    votes = scratch.keep(_drop_shortened(_votes(records)), "votes")
+    votes = _drop_shortened(scratch.keep(_votes(records), "votes")).withColumn("key", F.xxhash64("key"))
     tally = votes.groupBy("candidate_id", "field_name", "key", "source_name").agg(F.min("id").alias("id"), F.max("fresh").alias("fresh"), F.count("*").alias("n"), F.max("n_rows").alias("n_rows"))
-    known = ranks.crossJoin(last)  # one row on the right
-    sources = votes.select("source_name").distinct().join(known.drop("last"), "source_name", "left").crossJoin(last).select("source_name", F.pow(F.lit(RANK_STEP), -F.least(F.coalesce("trust_rank", F.col("last") + 1), F.lit(60)).cast("double")).alias("prior"))
-    sources = scratch.keep(sources, "sources")
-    tally = scratch.keep(tally.join(sources, tally.source_name.eqNullSafe(sources.source_name), "left").drop(sources.source_name), "tally")
-    reliability = sources.select("source_name", F.lit(0.8).alias("r"))
-    chosen = None
+    tally = scratch.keep(tally, "tally")
+    differ = tally.groupBy("candidate_id", "field_name").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("candidate_id", "field_name")
+    contested = scratch.keep(tally.join(differ, ["candidate_id", "field_name"], "left_semi"), "contested")
+    # one row per source; last is one row
+    sources = tally.select("source_name").distinct().join(ranks, "source_name", "left").crossJoin(last)
+    start = F.greatest(F.lit(LEAST), START - RANK_STEP * (F.coalesce("trust_rank", F.col("last") + 1) - 1))
+    sources = scratch.keep(sources.select("source_name", start.cast("double").alias("start")), "sources")
+    reliability = sources.select("source_name", F.col("start").alias("r"))
     for _ in range(max_rounds):
-        r = reliability.withColumnRenamed("source_name", "rs")
-        weighed = tally.join(r, F.col("source_name").eqNullSafe(F.col("rs")), "left").withColumn("w", F.col("prior") * F.col("r") * (1 + (RECENT - 1) * F.col("fresh")))
-        # one source speaks once for a value, so repeats of it add nothing
-        support = weighed.groupBy("candidate_id", "field_name", "key").agg(F.sum("w").alias("support"), F.min("id").alias("id"), F.sum("n").alias("holders"), F.max("n_rows").alias("n_rows"))
-        best = support.groupBy("candidate_id", "field_name").agg(F.max(F.struct(F.col("support"), (-F.col("id")).alias("neg"), F.col("key"), F.col("holders"), F.col("n_rows"))).alias("b"))
-        chosen = scratch.keep(best.select("candidate_id", "field_name", F.col("b.key").alias("best_key"), (-F.col("b.neg")).alias("id"), "b.support", "b.holders", "b.n_rows"), "chosen")
-        agree = tally.join(chosen.select("candidate_id", "field_name", "best_key"), ["candidate_id", "field_name"]).groupBy("source_name").agg(((F.sum((F.col("key") == F.col("best_key")).cast("double")) + 4) / (F.count("*") + 5)).alias("r"))
-        agree = scratch.keep(agree, "reliability")
-        old = reliability.select(F.col("source_name").alias("rs"), F.col("r").alias("old"))
-        moved = agree.join(old, F.col("source_name").eqNullSafe(F.col("rs"))).agg(F.max(F.abs(F.col("r") - F.col("old")))).head()[0]
-        reliability = agree
+        chosen = _chosen(contested, reliability).select("candidate_id", "field_name", F.col("key").alias("best"))
+        agree = contested.join(chosen, ["candidate_id", "field_name"]).groupBy("source_name").agg(F.sum((F.col("key") == F.col("best")).cast("double")).alias("agree"), F.count("*").alias("of"))
+        agree = agree.select(F.col("source_name").alias("rs"), "agree", "of")
+        old = reliability.select(F.col("source_name").alias("os"), F.col("r").alias("old"))
+        new = sources.join(agree, F.col("source_name").eqNullSafe(F.col("rs")), "left").join(old, F.col("source_name").eqNullSafe(F.col("os")))
+        new = new.select("source_name", ((F.coalesce("agree", F.lit(0.0)) + START_FIELDS * F.col("start")) / (F.coalesce("of", F.lit(0)) + START_FIELDS)).alias("r"), "old")
+        new = scratch.keep(new, "reliability")
+        moved = new.agg(F.max(F.abs(F.col("r") - F.col("old")))).head()[0]
+        reliability = new.select("source_name", "r")
         if moved is None or moved < tolerance:
             break
-    return chosen.select("candidate_id", "field_name", "id", "support", "holders", "n_rows")
+    return _chosen(tally, reliability).drop("key")
 
 
 def surviving_fields(records: DataFrame, trust: DataFrame) -> DataFrame:
