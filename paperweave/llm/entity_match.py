@@ -48,8 +48,8 @@ def _mixed(code: int, text: str) -> int:
 
 
 def _runs(word: str) -> list[int]:
-    w = f"<{word}>"
-    return [zlib.crc32(w[i : i + n].encode()) % CELLS for n in (3, 4) for i in range(len(w) - n + 1)] + [zlib.crc32(w.encode()) % CELLS]
+    w = f"<{word}>".encode()
+    return [zlib.crc32(w[i : i + 3]) % CELLS for i in range(len(w) - 2)] + [zlib.crc32(w) % CELLS]
 
 
 def _identity(seed: int = 5) -> np.ndarray:
@@ -232,12 +232,12 @@ def index(content: DataFrame, counts: papers.Counts, model: tuple[np.ndarray, np
 
 
 def _blocks(forms: DataFrame, hot: DataFrame, number: int) -> DataFrame:
-    """(block, rid, mask, n_words, marker): one row per block of a form.
+    """(block, rid, masks, marker), suffixed: one row per block of a form.
 
     Hot blocks are split: those of a name by every telling word of the title, those of a title by the first and
     the last three letters of every name (and one part for rows without names, which meet all others).
     """
-    rows = forms.select("rid", "mask", "n_words", F.xxhash64("marker").alias("marker"), "words", "keys", F.explode("blocks").alias("block"))
+    rows = forms.select("rid", *papers.MASKS, F.xxhash64("marker").alias("marker"), "words", "keys", F.explode("blocks").alias("block"))
     marked = rows.join(hot.select("block", F.lit(True).alias("is_hot")), "block", "left")
     light = F.array(*[F.lit(w) for w in sorted(papers.LIGHT)])
     telling = F.array_except(F.split("words", " "), light)
@@ -249,16 +249,19 @@ def _blocks(forms: DataFrame, hot: DataFrame, number: int) -> DataFrame:
     split = marked.withColumn("part", F.explode(parts))
     mark = F.col("block").bitwiseAND(LETTERS)
     block = F.when(F.col("part").isNull(), F.col("block")).otherwise(F.xxhash64("block", "part").bitwiseAND(~LETTERS).bitwiseOR(mark))
-    return split.select(block.alias("block"), *[F.col(c).alias(f"{c}{number}") for c in ("rid", "mask", "n_words", "marker")])
+    return split.select(block.alias("block"), *[F.col(c).alias(f"{c}{number}") for c in ("rid", *papers.MASKS, "marker")])
 
 
 def block_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
-    """(rid1, rid2) of all rows that share a block and may share about half of the words of the shorter title."""
+    """(rid1, rid2) of all rows that share a block and may share about half of the words of the shorter title.
+
+    Names, where both have some, must begin or end alike in one word.
+    """
     sizes = left.select(F.explode("blocks").alias("block"), F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(right.select(F.explode("blocks").alias("block"), F.lit(0).alias("a"), F.lit(1).alias("b")))
     sizes = sizes.groupBy("block").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.greatest("a", "b") > HOT_BLOCK) & (F.least("a", "b") > 0))
     hot = scratch.keep(sizes.select("block"), "hot")
     pairs = _blocks(left, hot, 1).join(_blocks(right, hot, 2), "block")
-    near = pairs.where("marker1 = marker2").where(papers.alike_masks() | (F.col("block").bitwiseAND(LETTERS) != 0))
+    near = pairs.where("marker1 = marker2").where(papers.alike_words() | (F.col("block").bitwiseAND(LETTERS) != 0)).where(papers.alike_names())
     return near.select("rid1", "rid2").distinct()
 
 

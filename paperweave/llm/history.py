@@ -193,11 +193,11 @@ def screen(store: Store, content: DataFrame, scratch: Scratch) -> tuple[DataFram
     new = scratch.keep(_forms(content, store.counts), "new")
     asked = _listed(new, store.parts, "rid")
     positive = scratch.keep(prescreen(asked, store.filters).select("fp", F.col("rid").alias("rid1")), "positive")
-    mine = new.select(F.col("rid").alias("rid1"), F.col("mask").alias("mask1"), F.col("n_words").alias("n_words1"))
-    side = lambda f: _listed(f, store.parts, "rid", "mask", "n_words").select("fp", F.col("rid").alias("rid2"), F.col("mask").alias("mask2"), F.col("n_words").alias("n_words2"))
+    mine = new.select(*[F.col(c).alias(f"{c}1") for c in ("rid", *papers.MASKS)])
+    side = lambda f: _listed(f, store.parts, "rid", *papers.MASKS).select("fp", *[F.col(c).alias(f"{c}2") for c in ("rid", *papers.MASKS)])
     old = side(store.forms).join(positive, "fp")
     fresh = side(new).join(asked.select("fp", F.col("rid").alias("rid1")), "fp").where("rid2 < rid1")
-    covered = lambda df: df.join(mine, "rid1").where(papers.alike_masks()).select("rid1", "rid2").distinct()
+    covered = lambda df: df.join(mine, "rid1").where(papers.alike_words() & papers.alike_names()).select("rid1", "rid2").distinct()
     pairs = scratch.keep(covered(old).unionByName(covered(fresh)), "pairs")
     alike = papers.verify(pairs, new, store.forms.unionByName(new), store.counts).select("rid1")
     literal = new.select(F.col("rid").alias("rid1"), "h1", "h2").join(store.forms.select("h1", "h2"), ["h1", "h2"]).select("rid1")

@@ -311,6 +311,9 @@ def _explained(left: list[str], right: list[str], known: set[str], counts: Count
             rest.append(w)
         else:
             right.remove(hit)
+    if rest and right and not (_parts_of(rest, right, known) or _parts_of(right, rest, known)):
+        a, b = "".join(rest), "".join(right)
+        return ([], []) if len(a) > 5 and _mistyped(a, b, counts) else (rest, right)
     for one, other in ((rest, right), (right, rest)):
         for w in list(one):
             if len(w) < 5 or w not in one:
@@ -328,15 +331,25 @@ def _explained(left: list[str], right: list[str], known: set[str], counts: Count
                     break
     if rest and right:
         a, b = "".join(rest), "".join(right)
-        if len(a) > 5 and near(a, b):
+        if len(a) > 5 and _mistyped(a, b, counts):
             return [], []
     return rest, right
 
 
+def _parts_of(some: list[str], other: list[str], known: set[str]) -> bool:
+    """Whether every telling word of some may have run together of other words, or be light or a part of one."""
+    for w in some:
+        if w in LIGHT or any(v.startswith(w) or v.endswith(w) for v in other):
+            continue
+        if len(w) < 5 or not (any(w.startswith(v) or w.endswith(v) for v in other) or any(w.startswith(k) or w.endswith(k) for k in known if len(k) > 1)):
+            return False
+    return True
+
+
 def same_title(a: str, b: str, cut_a: bool, cut_b: bool, counts: Counts | None = None) -> int:
     """3: equal letters; 2: equal but for typing, order, repeated or light words, or a missing end; 1: one word inside is missing too; 0: not.
 
-    Titles of different letters share at least about half of the words of the shorter one (see ``alike_masks``).
+    Titles of different letters share at least about half of the words of the shorter one (see ``alike_words``).
     """
     if a == b:
         return 3
@@ -411,10 +424,12 @@ def same_paper(t1: str, t2: str, cut1: bool, cut2: bool, m1: str, m2: str, k1, k
     """Whether two forms are the same paper. A word missing inside asks for more agreement of everything else."""
     if m1 != m2 or not t1 or not t2:
         return False
+    names = same_names(k1, k2)
+    if 0 <= names < 0.25:
+        return False
     titles = same_title(t1, t2, cut1, cut2, counts)
     if not titles:
         return False
-    names = same_names(k1, k2)
     gap = abs(y1 - y2) if y1 and y2 else 0
     venue = same_venue(v1, v2)
     short = min(len(t1), len(t2)) < 22
@@ -431,41 +446,72 @@ def same_paper(t1: str, t2: str, cut1: bool, cut2: bool, m1: str, m2: str, k1, k
     return names >= 0.3 and (gap <= 1 or venue is not False)
 
 
-FORM = "rid bigint, h1 bigint, h2 bigint, words string, cut boolean, marker string, keys array<string>, year int, venue string, mask bigint, n_words int"
+FORM = "rid bigint, h1 bigint, h2 bigint, words string, cut boolean, marker string, keys array<string>, year int, venue string, low bigint, high bigint, n_words int, ends bigint"
 _YEAR = regex.compile(r"(?:19|20)\d\d")
 _bits: dict[str, int] = {}
 
 
 def _bit(word: str) -> int:
+    """One of 128 bits for a word."""
     b = _bits.get(word)
     if b is None:
         if len(_bits) > 500_000:
             _bits.clear()
-        b = _bits[word] = 1 << (zlib.adler32(word.encode()) * 0x9E3779B1 >> 13 & 63)
+        b = _bits[word] = 1 << (zlib.crc32(word.encode()) * 0x9E3779B1 >> 13 & 127)
     return b
 
 
-def masks(words: list[str]) -> tuple[np.ndarray, list[int]]:
-    """(64-bit mask with one bit for each word, number of distinct words) of titles."""
-    out, sizes = np.zeros(len(words), np.uint64), []
-    for i, t in enumerate(words):
+_ends: dict[str, int] = {}
+
+
+def _end_bits(word: str) -> int:
+    """Two of 64 bits, for the first and for the last three letters of a word."""
+    b = _ends.get(word)
+    if b is None:
+        if len(_ends) > 500_000:
+            _ends.clear()
+        b = _ends[word] = 1 << (zlib.crc32(word[:3].encode()) % 61) | 1 << (zlib.crc32(b"-" + word[-3:].encode()) % 61)
+    return b
+
+
+def masks(words: list[str], keys: list[list[str]]) -> dict[str, list]:
+    """The columns low and high (128 bits, one for each word of a title), n_words (distinct) and ends (of names)."""
+    low, high, sizes, ends = [], [], [], []
+    cut = (1 << 63) - 1
+    for t, k in zip(words, keys, strict=True):
         m, own = 0, set(t.split())
         for w in own:
             m |= _bit(w)
-        out[i] = m
+        low.append((m & cut) - (m & 1 << 63))
+        m >>= 64
+        high.append((m & cut) - (m & 1 << 63))
         sizes.append(len(own))
-    return out.astype(np.int64), sizes
+        e = 0
+        for w in k:
+            e |= _end_bits(w)
+        ends.append(e)
+    return {"low": low, "high": high, "n_words": sizes, "ends": ends}
 
 
-def alike_masks():
-    """Condition on mask1, n_words1, mask2, n_words2 that no pair fails whose titles share about half of their words.
+#: Columns of a form that ``alike_masks`` needs, suffixed with 1 and 2.
+MASKS = ("low", "high", "n_words", "ends")
+
+
+def alike_words():
+    """Condition on the suffixed MASKS that no pair fails whose titles share about half of their words.
 
     Two titles share at most as many words as their masks share bits, plus the words that fell on one bit
     within the title that has fewer of these.
     """
-    clash = lambda i: F.col(f"n_words{i}") - F.bit_count(f"mask{i}")
-    shared = F.bit_count(F.col("mask1").bitwiseAND(F.col("mask2"))) + F.least(clash(1), clash(2))
-    return 2 * shared >= F.least("n_words1", "n_words2") - 1
+    bits = lambda i: F.bit_count(f"low{i}") + F.bit_count(f"high{i}")
+    clash = lambda i: F.col(f"n_words{i}") - bits(i)
+    both = F.bit_count(F.col("low1").bitwiseAND(F.col("low2"))) + F.bit_count(F.col("high1").bitwiseAND(F.col("high2")))
+    return 2 * (both + F.least(clash(1), clash(2))) >= F.least("n_words1", "n_words2") - 1
+
+
+def alike_names():
+    """Condition on the suffixed MASKS that no pair fails of which some names begin or end alike, or one has none."""
+    return (F.col("ends1") == 0) | (F.col("ends2") == 0) | (F.col("ends1").bitwiseAND(F.col("ends2")) != 0)
 
 
 def form_lists(titles: list, names: list, years: list, venues: list, counts: Counts) -> dict[str, list]:
@@ -479,20 +525,18 @@ def form_lists(titles: list, names: list, years: list, venues: list, counts: Cou
             form = seen[t] = title_form(t)
         forms.append(form)
     words = [t[0] for t in forms]
-    mask, n_words = masks(words)
+    keys = [finder.keys(x) for x in names]
     return {
         "words": words,
         "cut": [t[1] for t in forms],
         "marker": [t[2] for t in forms],
-        "keys": [finder.keys(x) for x in names],
+        "keys": keys,
         "year": [int(m.group()) if y and (m := _YEAR.search(y)) else 0 for y in years],
         "venue": [_venue_words(v) for v in venues],
-        "mask": mask,
-        "n_words": n_words,
-    }
+    } | masks(words, keys)
 
 
-_ARROW = {"words": pa.string(), "cut": pa.bool_(), "marker": pa.string(), "keys": pa.list_(pa.string()), "year": pa.int32(), "venue": pa.string(), "mask": pa.int64(), "n_words": pa.int32()}
+_ARROW = {"words": pa.string(), "cut": pa.bool_(), "marker": pa.string(), "keys": pa.list_(pa.string()), "year": pa.int32(), "venue": pa.string(), "low": pa.int64(), "high": pa.int64(), "n_words": pa.int32(), "ends": pa.int64()}
 
 
 def form_arrays(batch: pa.RecordBatch, counts: Counts) -> tuple[dict[str, list], dict[str, pa.Array]]:
@@ -532,7 +576,9 @@ def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, counts: Counts)
 
     form = lambda df, i: df.select(*[(F.array_join(c, " ") if c == "keys" else F.col(c)).alias(f"{c}{i}") for c in ("rid", *_COMPARED)])
     joined = pairs.select("rid1", "rid2").join(form(right, 2), "rid2").join(form(left, 1), "rid1").where("marker1 = marker2")
-    return joined.select("rid1", "rid2", *[f"{c}{i}" for c in _COMPARED for i in (1, 2)]).mapInArrow(run, "rid1 bigint, rid2 bigint")
+    part = lambda c, end: F.transform(F.split(c, " "), lambda x: end(x, F.lit(3)))
+    alike = F.expr("keys1 = '' or keys2 = ''") | F.arrays_overlap(part("keys1", F.left), part("keys2", F.left)) | F.arrays_overlap(part("keys1", F.right), part("keys2", F.right))
+    return joined.where(alike).select("rid1", "rid2", *[f"{c}{i}" for c in _COMPARED for i in (1, 2)]).mapInArrow(run, "rid1 bigint, rid2 bigint")
 
 
 def keyed(rows: DataFrame) -> DataFrame:

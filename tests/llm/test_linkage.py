@@ -127,11 +127,11 @@ def test_masks_never_reject_titles_that_share_half_their_words(spark):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(40)]
     titles = [" ".join(rng.sample(vocabulary, rng.randrange(1, 30))) for _ in range(60)]
-    mask, size = papers.masks(titles)
-    made = [(int(mask[i]), size[i], int(mask[j]), size[j], 2 * len(set(titles[i].split()) & set(titles[j].split())) >= min(size[i], size[j]) - 1) for i in range(60) for j in range(60)]
-    df = spark.createDataFrame(made, "mask1 long, n_words1 int, mask2 long, n_words2 int, share boolean")
-    assert df.where("share").where(~papers.alike_masks()).count() == 0
-    assert df.where("not share").where(~papers.alike_masks()).count() > 0
+    m = papers.masks(titles, [[]] * 60)
+    made = [(*[m[c][i] for c in papers.MASKS], *[m[c][j] for c in papers.MASKS], 2 * len(set(titles[i].split()) & set(titles[j].split())) >= min(m["n_words"][i], m["n_words"][j]) - 1) for i in range(60) for j in range(60)]
+    df = spark.createDataFrame(made, ", ".join(f"{c}{i} long" for i in (1, 2) for c in papers.MASKS) + ", share boolean")
+    assert df.where("share").where(~papers.alike_words()).count() == 0
+    assert df.where("not share").where(~papers.alike_words()).count() > 0
 
 
 def test_markers_tell_papers_apart():
@@ -169,8 +169,8 @@ def test_entity_matching(spark):
 
 def _form_rows(spark, made):
     """(rid, words, keys, blocks) as forms with masks."""
-    mask, size = papers.masks([m[1] for m in made])
-    return spark.createDataFrame([(m[0], m[1], m[2], "", int(mask[i]), size[i], m[3]) for i, m in enumerate(made)], "rid long, words string, keys array<string>, marker string, mask long, n_words int, blocks array<long>")
+    masks = papers.masks([m[1] for m in made], [m[2] for m in made])
+    return spark.createDataFrame([(m[0], m[1], m[2], "", m[3], *[masks[c][i] for c in papers.MASKS]) for i, m in enumerate(made)], "rid long, words string, keys array<string>, marker string, blocks array<long>, low long, high long, n_words int, ends long")
 
 
 def test_hot_blocks_lose_no_pair(spark, monkeypatch):
