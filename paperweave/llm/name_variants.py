@@ -22,8 +22,8 @@ from ..operators.durable import Scratch
 from ..tables import width
 from .papers import near, plain
 
-#: A word in more than this share of all names is a given name (so there are at most some hundred).
-GIVEN_SHARE = 0.001
+#: A word in more than this share of all names, and in this many more, is a given name (so there are at most some hundred).
+GIVEN_SHARE, GIVEN_LEAST = 0.001, 25
 #: Log likelihood of one typing error.
 TYPO = math.log(0.02)
 #: Likelihood ratios of a context that is the canonical form's and of one that isn't, same author against another.
@@ -37,35 +37,40 @@ COMMON_TOKEN, COMMON_LEAST = 0.002, 400
 KINDS = {"study group": "group", "study grp": "group", "group": "group", "grp": "group", "network": "network", "netw": "network", "consortium": "consortium", "consort": "consortium", "collaboration": "collaboration", "collab": "collaboration", "investigators": "investigators", "invest": "investigators", "team": "team", "initiative": "initiative"}
 TOPICS = frozenset("stroke heart kidney sleep imaging registry study the of for trial".split())
 NICKNAMES = {
-    "alex": "alexander", "sasha": "alexander", "aleks": "alexander", "ben": "benjamin", "benny": "benjamin", "charlie": "charlotte", "lottie": "charlotte", "dasha": "daria", "dima": "dmitri", "mitya": "dmitri", "ed": "edward", "ned": "edward", "ted": "edward", "eddie": "edward", "katya": "ekaterina", "liz": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "lisa": "elizabeth", "fran": "francesca", "franca": "francesca", "fred": "frederick", "freddie": "frederick", "gabi": "gabriela", "gaby": "gabriela", "gianni": "giovanni", "vanni": "giovanni", "bella": "isabella", "isa": "isabella", "izzy": "isabella", "hannes": "johannes", "hans": "johannes", "jo": "josephine", "josie": "josephine", "kate": "katherine", "kathy": "katherine", "katie": "katherine", "kat": "katherine", "maggie": "margaret", "peggy": "margaret", "meg": "margaret", "masha": "maria", "matt": "matthew", "mike": "michael", "mick": "michael", "misha": "michael", "nikos": "nikolaos", "niko": "nikolaos", "nick": "nikolaos", "pat": "patricia", "trish": "patricia", "patty": "patricia", "pasha": "pavel", "renate": "renata", "rick": "richard", "dick": "richard", "rich": "richard", "bob": "robert", "rob": "robert", "bobby": "robert", "sam": "samuel", "sue": "susanna", "susie": "susanna", "theo": "theodora", "dora": "theodora", "tom": "thomas", "tommy": "thomas", "volodya": "vladimir", "vova": "vladimir", "vlad": "vladimir", "bill": "william", "will": "william", "billy": "william", "liam": "william",
+    "alex": "alexander", "sasha": "alexander", "aleks": "alexander", "ben": "benjamin", "benny": "benjamin", "charlie": "charlotte", "lottie": "charlotte", "dasha": "daria", "dima": "dmitri", "mitya": "dmitri", "ed": "edward", "ned": "edward", "ted": "edward", "eddie": "edward", "katya": "ekaterina", "liz": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "lisa": "elizabeth", "fran": "francesca", "franca": "francesca", "fred": "frederick", "freddie": "frederick", "gabi": "gabriela", "gaby": "gabriela", "gianni": "giovanni", "vanni": "giovanni", "bella": "isabella", "isa": "isabella", "izzy": "isabella", "hannes": "johannes", "hans": "johannes", "jo": "josephine", "josie": "josephine", "kate": "katherine", "kathy": "katherine", "katie": "katherine", "kat": "katherine", "maggie": "margaret", "peggy": "margaret", "meg": "margaret", "masha": "maria", "matt": "matthew", "mike": "michael", "mick": "michael", "misha": "michael", "nikos": "nikolaos", "niko": "nikolaos", "nick": "nikolaos", "pat": "patricia", "trish": "patricia", "patty": "patricia", "pasha": "pavel", "renate": "renata", "rick": "richard", "dick": "richard", "rich": "richard", "bob": "robert", "rob": "robert", "bobby": "robert", "sam": "samuel", "sue": "susanna", "susie": "susanna", "theo": "theodora", "dora": "theodora", "tom": "thomas", "tommy": "thomas", "jim": "james", "jimmy": "james", "jack": "john", "johnny": "john", "joe": "joseph", "pepe": "jose", "paco": "francisco", "tony": "anthony", "dan": "daniel", "danny": "daniel", "dave": "david", "steve": "steven", "chris": "christopher", "andy": "andrew", "drew": "andrew", "greg": "gregory", "jeff": "jeffrey", "jen": "jennifer", "jenny": "jennifer", "becky": "rebecca", "debbie": "deborah", "sandy": "sandra", "vicky": "victoria", "volodya": "vladimir", "vova": "vladimir", "vlad": "vladimir", "bill": "william", "will": "william", "billy": "william", "liam": "william",
 }
 _SPLIT = regex.compile(r"[^\p{L}\p{N}'’\-,.]+")
 _INITIALS = regex.compile(r"^(?:[\p{Lu}]\.?-?){1,3}$|^(?:\p{L}\.){1,3}$|^\p{L}\.?$")
 _PARSED = "name string, n bigint, kind string, stem string, given string, initials string"
 
 
-def _given(word: str, lexicon: frozenset, near_cache: dict) -> str | None:
-    """The given name that a word is (spelt out, short, or with one typing error), or None."""
-    if word in lexicon:
-        return NICKNAMES.get(word, word)
+def _given(word: str, lexicon: tuple[str, ...], near_cache: dict) -> str | None:
+    """The given name that a word is (spelt out, short, or with one typing error), or None.
+
+    Of several that a mistyped word may be, the nearest is taken, then the first in the order of the alphabet.
+    """
     if word in NICKNAMES:
         return NICKNAMES[word]
     if word not in near_cache:
         if len(near_cache) > 300_000:
             near_cache.clear()
-        near_cache[word] = next((NICKNAMES.get(g, g) for g in lexicon if abs(len(g) - len(word)) <= 1 and len(word) >= 4 and near(word, g)), None)
-        if near_cache[word] is None and len(word) >= 3:
-            near_cache[word] = next((full for nick, full in NICKNAMES.items() if len(word) >= 4 and abs(len(nick) - len(word)) == 1 and _one_more(word, nick)), None)
+        found = word if word in lexicon else None
+        if found is None and len(word) >= 4:
+            found = min((g for g in lexicon if abs(len(g) - len(word)) <= 1 and near(word, g)), key=lambda g: (not _one_more(word, g), sum(a != b for a, b in zip(word, g, strict=False)), g), default=None)
+        if found is None and len(word) >= 5:
+            found = next((full for nick, full in NICKNAMES.items() if abs(len(nick) - len(word)) == 1 and _one_more(word, nick)), None)
+        near_cache[word] = found
     return near_cache[word]
 
 
 def _one_more(a: str, b: str) -> bool:
+    """Whether one word is the other with one letter more."""
     if len(a) < len(b):
         a, b = b, a
-    return any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
 
 
-def parse_name(name: str, lexicon: frozenset, near_cache: dict) -> tuple[str, str, str, str]:
+def parse_name(name: str, lexicon: tuple[str, ...], near_cache: dict) -> tuple[str, str, str, str]:
     """(kind, stem, given, initials) of a name; kind is person, a kind of group, or empty for no name."""
     low = plain(name)
     words = [w for w in regex.findall(r"[\p{L}\p{N}]+", low)]
@@ -157,9 +162,10 @@ def parsed_names(named: DataFrame) -> DataFrame:
     """The distinct names of (name, n) read as persons and groups."""
     words = named.select("n", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("name"), F.lit(r"(\p{L}{3,})"), F.lit(1)))).alias("w"))
     total = named.agg(F.sum("n")).head()[0] or 0
-    frequent = words.groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") > max(3.0, GIVEN_SHARE * total)).select("w")  # at most words per name / GIVEN_SHARE rows
-    lexicon = frozenset(plain(r["w"]) for r in frequent.collect()) - TOPICS - frozenset(w for k in KINDS for w in k.split()) if total >= 20_000 else frozenset(NICKNAMES.values())
-    lexicon = frozenset(w for w in lexicon if w not in NICKNAMES) | frozenset(NICKNAMES.values())
+    frequent = words.groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") > GIVEN_LEAST + GIVEN_SHARE * total).select("w")  # at most words per name / GIVEN_SHARE rows
+    # the same rule at every size: frequent words of names and the fixed list
+    learnt = {plain(r["w"]) for r in frequent.collect()} - TOPICS - {w for k in KINDS for w in k.split()} - NICKNAMES.keys()
+    lexicon = tuple(sorted(learnt | set(NICKNAMES.values())))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
@@ -171,17 +177,23 @@ def parsed_names(named: DataFrame) -> DataFrame:
 
 
 def near_stems(stems: DataFrame) -> DataFrame:
-    """(stem, canonical, n, m) of stems that differ by one edit, the more frequent one as canonical.
+    """(grp, stem, canonical, n, m) of stems that differ by typing, the more frequent one as canonical.
 
-    Stems meet where they are equal after one letter is left out (of either or both), which covers a
-    letter more, less, other, or two neighbours swapped.
+    Stems of three letters and more meet where they are equal after one letter is left out (of either or
+    both), which covers a letter more, less, other, or two neighbours swapped. Stems of seven letters and more
+    also meet after two letters are left out, which covers two such errors.
     """
-    short = F.transform(F.sequence(F.lit(1), F.length("stem")), lambda i: F.concat(F.substring(F.col("stem"), F.lit(1), i - 1), F.substring(F.col("stem"), i + 1, F.length("stem"))))
-    keyed = stems.where(F.length("stem") >= 5).select("grp", "stem", "n", F.explode(F.array_distinct(F.concat(F.array("stem"), short))).alias("k")).select("grp", "stem", "n", F.xxhash64("grp", "k").alias("k"))
-    a, b = keyed.select("grp", "stem", "n", "k"), keyed.select(F.col("stem").alias("canonical"), F.col("n").alias("m"), "k")
-    pairs = a.join(b, "k").where("(m, canonical) > (n, stem)").select("grp", "stem", "canonical", "n", "m").distinct()
-    # equal after leaving out one letter each may be two edits apart
-    return pairs.where((F.levenshtein("stem", "canonical") <= 1) | ((F.length("stem") == F.length("canonical")) & (F.levenshtein("stem", "canonical") == 2)))
+    without = lambda col: F.transform(F.sequence(F.lit(1), F.length(col)), lambda i: F.concat(F.substring(col, F.lit(1), i - 1), F.substring(col, i + 1, F.length(col))))
+    once = stems.where(F.length("stem") >= 3).select("grp", "stem", "n", F.array_distinct(without(F.col("stem"))).alias("short"))
+    twice = F.when(F.length("stem") >= 7, F.array_distinct(F.flatten(F.transform("short", without)))).otherwise(F.array().cast("array<string>"))
+    listed = lambda keys, left_out: F.transform(keys, lambda k: F.struct(F.xxhash64("grp", k).alias("k"), F.lit(left_out).alias("left_out")))
+    keyed = once.select("grp", "stem", "n", F.explode(F.concat(listed(F.array("stem"), 0), listed("short", 1), listed(twice, 2))).alias("x")).select("grp", "stem", "n", "x.*")
+    a, b = keyed, keyed.select(F.col("stem").alias("canonical"), F.col("n").alias("m"), "k", F.col("left_out").alias("other"))
+    met = a.join(b, "k").where("(m, canonical) > (n, stem)").groupBy("grp", "stem", "canonical", "n", "m").agg(F.min(F.greatest("left_out", "other")).alias("left_out"))
+    # equal after leaving out one letter each but for two edits: neighbours swapped
+    apart = F.levenshtein("stem", "canonical")
+    swapped = (F.col("left_out") <= 1) & (F.length("stem") == F.length("canonical"))
+    return met.withColumn("edits", F.when(apart <= 1, 1).when(apart == 2, F.when(swapped, 1).when(F.length("stem") >= 7, 2))).where("edits is not null").drop("left_out")
 
 
 def _fit(given: str, initials: str, other_given: str, other_initials: str) -> bool:
@@ -219,28 +231,35 @@ def attach(parsed: DataFrame, met: DataFrame, contents: DataFrame, scratch: Scra
     # half of the title's runs or of the co-authors make a context the canonical form's
     alike = by_paper.select("sid", "cid", F.least(F.lit(1.0), 2 * F.greatest("title", "names")).alias("alike")).groupBy("sid", "cid").agg(F.avg("alike").alias("alike"))
     scored = scratch.keep(pairs.join(paired, ["grp", "stem", "canonical"]).join(alike, ["sid", "cid"], "left"), "scored")
-    # prior: how much more frequent the canonical form is; channel: one typing error; context: papers alike, 0 where nothing is known
+    # prior: how much more frequent the canonical form is; channel: typing errors; context: papers alike, 0 where nothing is known
     context = F.coalesce(F.log(F.col("alike") * ALIKE + (1 - F.col("alike")) * STRANGE), F.lit(0.0))
-    score = F.log(F.col("m") / F.col("n")) + TYPO + context
+    score = F.log(F.col("m") / F.col("n")) + TYPO * F.col("edits") + context
     best = scored.withColumn("score", score).where("score > 0").groupBy("grp", "stem").agg(F.max(F.struct("score", "m", "canonical"))["canonical"].alias("canonical"))
     best = scratch.keep(best, "attached")
-    # a canonical form may itself be attached; three steps reach the end of any chain met in practice, each to a more frequent form
-    up = best
-    for _ in range(3):
-        nxt = best.select("grp", F.col("stem").alias("canonical"), F.col("canonical").alias("above"))
-        up = up.join(nxt, ["grp", "canonical"], "left").select("grp", "stem", F.coalesce("above", "canonical").alias("canonical"))
-    return grouped.join(up, ["grp", "stem"], "left").select("name", "n", "kind", "grp", F.coalesce("canonical", "stem").alias("canonical"), "given", "initials")
+    return grouped.join(_ends_of(best, scratch), ["grp", "stem"], "left").select("name", "n", "kind", "grp", F.coalesce("canonical", "stem").alias("canonical"), "given", "initials")
+
+
+def _ends_of(attached: DataFrame, scratch: Scratch) -> DataFrame:
+    """attached (grp, stem, canonical) with chains followed to their end.
+
+    Each form is attached to a more frequent one, so chains end; every round doubles the steps taken, until
+    nothing moves.
+    """
+    up = attached
+    while True:
+        above = up.select("grp", F.col("stem").alias("canonical"), F.col("canonical").alias("above"))
+        nxt = scratch.keep(up.join(above, ["grp", "canonical"], "left").select("grp", "stem", F.coalesce("above", "canonical").alias("canonical"), F.col("above").isNotNull().alias("moved")), "chains")
+        up = nxt.drop("moved")
+        if nxt.where("moved").isEmpty():
+            return up
 
 
-def _persons(rows: list[tuple]) -> list[int]:
-    """The entity of each (name, n, given, initials) of one canonical surname and first letter.
+def _persons(forms: dict[tuple[str, str], int]) -> dict[tuple[str, str], int]:
+    """The entity of each (given, initials) of one canonical surname and first letter, from their counts.
 
     Spelt-out and frequent forms found entities; every other form attaches to the entity of maximum
     posterior: the most frequent one that its initials and given name fit.
     """
-    forms: dict[tuple[str, str], int] = {}
-    for _, n, given, initials in rows:
-        forms[given, initials] = forms.get((given, initials), 0) + n
     seeds: list[list] = []
     where = {}
     for (given, initials), n in sorted(forms.items(), key=lambda f: (-(10 * bool(f[0][0]) + len(f[0][1])), -f[1], f[0])):
@@ -254,46 +273,53 @@ def _persons(rows: list[tuple]) -> list[int]:
             i = len(seeds)
             seeds.append([given, initials, n])
         where[given, initials] = i
-    return [where[given, initials] for _, _, given, initials in rows]
+    return where
+
+
+_FORMS = ["grp", "canonical", "given", "initials", "entity"]
 
 
 def _person_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Entities of sorted rows: the rows of one surname and first letter come together."""
-    held: list[tuple] = []
+    """Entities of sorted distinct forms: those of one surname and first letter come together."""
+    held: dict[tuple[str, str], int] = {}
     key = None
     out: list[tuple] = []
 
     def close() -> None:
-        out.extend((r[0], r[1], *key, e) for r, e in zip(held, _persons(held), strict=True))
+        out.extend((*key, *form, e) for form, e in _persons(held).items())
         held.clear()
 
-    columns = ["name", "n", "grp", "canonical", "entity"]
     for pdf in batches:
-        for name, n, grp, canonical, given, initials in zip(*(pdf[c] for c in ("name", "n", "grp", "canonical", "given", "initials")), strict=True):
+        for grp, canonical, given, initials, n in zip(*(pdf[c] for c in (*_FORMS[:4], "n")), strict=True):
             if held and key != (grp, canonical):
                 close()
             key = (grp, canonical)
-            held.append((name, n, given, initials))
+            held[given, initials] = n
         if len(out) > 10_000:
-            yield pd.DataFrame(out, columns=columns)
+            yield pd.DataFrame(out, columns=_FORMS)
             out.clear()
     if held:
         close()
     if out:
-        yield pd.DataFrame(out, columns=columns)
+        yield pd.DataFrame(out, columns=_FORMS)
 
 
 def entities(candidates: DataFrame, records: DataFrame, dump: DataFrame) -> DataFrame:
     """(name, n, grp, canonical, entity): every distinct name with the key of the author it is attached to.
 
-    What Python holds at a time are the distinct spellings of one surname with one first letter, never rows. Null lists give no names; empty tables give no rows.
+    What Python holds at a time are the distinct given names and initials met with one surname and first letter,
+    counted before; spellings and rows are joined to them. Null lists give no names; empty tables give no rows.
     """
     scratch = Scratch(candidates.sparkSession, "names")
     listed, contents = occurrences(candidates, records, dump)
     met = scratch.keep(listed.groupBy("name", "paper").agg(F.count("*").alias("n")), "met")
     named = scratch.keep(met.groupBy("name").agg(F.sum("n").alias("n")), "named")
     attached = scratch.keep(attach(parsed_names(named), met.select("name", "paper"), contents, scratch), "names")
-    persons = attached.where("kind = 'person'").repartition(width(candidates.sparkSession), "grp", "canonical").sortWithinPartitions("grp", "canonical").mapInPandas(_person_batches, "name string, n bigint, grp string, canonical string, entity int")
+    people = attached.where("kind = 'person'")
+    key = _FORMS[:4]
+    forms = people.groupBy(*key).agg(F.sum("n").alias("n")).repartition(width(candidates.sparkSession), "grp", "canonical").sortWithinPartitions("grp", "canonical")
+    told = forms.mapInPandas(_person_batches, "grp string, canonical string, given string, initials string, entity int")
+    persons = people.join(told, key).select("name", "n", "grp", "canonical", "entity")
     groups = attached.where("kind <> 'person'").select("name", "n", "grp", "canonical", F.lit(0).alias("entity"))
     return persons.unionByName(groups)
 
