@@ -131,17 +131,34 @@ class Index:
         self.name_planes = rng.standard_normal((DIM, NAME_BITS)).astype(np.float32)
         self.sign_planes = rng.standard_normal((DIM, 64)).astype(np.float32)
         self.title_planes = rng.standard_normal((DIM, TABLES * bits)).astype(np.float32)
-        self.words: dict[str, np.ndarray] = {}
-        self.codes: dict[str, int] = {}
+        self.vectors, self.used = np.zeros((1 << 12, DIM), np.float32), 0
+        self.rows = papers._Known(self._add, 1 << 40)
+        self.codes = papers._Known(lambda w: int((self._vector(w) @ self.name_planes > 0) @ (1 << np.arange(NAME_BITS, dtype=np.int64))) | NAMED)
+
+    def _vector(self, word: str) -> np.ndarray:
+        row = self.rows[word]  # may move the table of vectors
+        return self.vectors[row]
+
+    def _add(self, word: str) -> int:
+        """The row of vectors that is made for a new word."""
+        if self.used == len(self.vectors):
+            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
+        cs = _runs(word)
+        v = self.table[cs].sum(0)
+        weight = 0.2 + math.log1p(self.total / (1.0 + self.counts[cs[-1]])) / math.log1p(self.total)
+        self.vectors[self.used] = v * ((weight * (0.3 if word in papers.LIGHT else 1.0)) / max(float(np.linalg.norm(v)), 1e-9))
+        self.used += 1
+        return self.used - 1
 
     def _sums(self, lists: list[list[str]]) -> np.ndarray:
         """The sum of the vectors of each list of words."""
         out = np.zeros((len(lists), DIM), np.float32)
-        flat = [self.vector(w) for x in lists for w in x]
+        rows = self.rows
+        flat = [rows[w] for x in lists for w in x]
         if flat:
             sizes = np.array([len(x) for x in lists])
             some = np.flatnonzero(sizes)
-            out[some] = np.add.reduceat(np.stack(flat), (np.cumsum(sizes) - sizes)[some], axis=0)
+            out[some] = np.add.reduceat(self.vectors[flat], (np.cumsum(sizes) - sizes)[some], axis=0)
         return out
 
     def _codes(self, vectors: np.ndarray) -> np.ndarray:
@@ -172,6 +189,10 @@ class Index:
 
     def describe(self, words: list[str], keys: list[list[str]]) -> tuple[np.ndarray, list[list[int]]]:
         """(64-bit signatures, block codes) of a batch of forms. A title's words count once, in any order."""
+        if self.used > 300_000:
+            self.used = 0
+            self.rows.clear()
+            self.codes.clear()
         titles = self._sums([sorted(set(t.split())) for t in words])
         bits = (titles @ self.sign_planes > 0).astype(np.uint64)
         signature = (bits << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).astype(np.int64)
@@ -181,10 +202,10 @@ class Index:
             letters = words[i].replace(" ", "").encode()
             whole = zlib.crc32(letters) << 24 ^ zlib.adler32(letters)  # equal letters meet whatever their words
             if len(words[i]) >= 22:
-                blocks.append([*{self.name_code(w) for w in k}, whole | LETTERS, *codes[i].tolist()])
+                blocks.append([*{self.codes[w] for w in k}, whole | LETTERS, *codes[i].tolist()])
             else:
                 # short titles are shared by many papers, and match only with a name: their letters count with its beginning
-                blocks.append([*{self.name_code(w) for w in k}, *{_mixed(whole, w[:3]) for w in k}])
+                blocks.append([*{self.codes[w] for w in k}, *{_mixed(whole, w[:3]) for w in k}])
         return signature, blocks
 
 

@@ -44,6 +44,8 @@ _MARKER = [
     ("part", regex.compile(rf"\bpart (?:2|3|4|ii|iii|iv|two|three)\b|(?<!\b(?:{_NUMBERED}) )\b(?:ii|iii|iv)\b(?=(?: \S+){{0,3}}$)|\bextended follow ?up$")),
     ("reply", regex.compile(r"^(?:reply to|comment on|response to|commentary on)\b(?=.{8})")),
 ]
+#: What a title must hold for a marker to be looked for.
+_TRIGGER = {"erratum": ("erratum", "corr", "addendum", "retraction"), "cohort": ("cohort", "replication"), "part": ("part ", " ii", " iv", "extended"), "reply": ("reply", "comment", "response")}
 # a number at the end counts parts only if it stands alone there (not "CoV-2") and belongs to no noun
 _NUMBER_END = regex.compile(rf"(?<!\b(?:{_NUMBERED}))\s*[\s:,.;–—]\s*[23]$")
 _REPLY = regex.compile(r"^re\s*:(?=.{8})")
@@ -51,6 +53,20 @@ _REPLY = regex.compile(r"^re\s*:(?=.{8})")
 _OPPOSED = [("hyper", "hypo"), ("inter", "intra"), ("macro", "micro"), ("endo", "exo"), ("endo", "ecto"), ("ante", "anti"), ("ab", "ad"), ("poly", "oligo"), ("supra", "infra"), ("super", "supra"), ("iso", "aniso"), ("normo", "hypo"), ("eu", "dys"), ("un", ""), ("in", ""), ("non", ""), ("im", ""), ("dis", "")]
 
 
+class _Known(dict):
+    """Values of words, made once and kept; emptied when there are too many."""
+
+    def __init__(self, make, most: int = 400_000):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, word):
+        if len(self) > self.most:
+            self.clear()
+        v = self[word] = self.make(word)
+        return v
+
+
 def plain(text: str) -> str:
     """Lower-case text without accents, hidden characters, tags and escapes."""
     if "&" in text:
@@ -103,7 +119,7 @@ def _marker(words: str, text: str, cut: bool) -> str:
     if text.startswith("re") and _REPLY.match(text):
         return "reply"
     for name, pattern in _MARKER:
-        if (m := pattern.search(words)) and not (cut and m.end() == len(words) and name != "erratum"):
+        if any(x in words for x in _TRIGGER[name]) and (m := pattern.search(words)) and not (cut and m.end() == len(words) and name != "erratum"):
             return name
     return "part" if text[-1:] in ("2", "3") and not cut and _NUMBER_END.search(text) else ""
 
@@ -131,6 +147,9 @@ def cell(word: str) -> int:
     return zlib.crc32(word.encode()) % COUNT_CELLS
 
 
+_cells = _Known(cell)
+
+
 class Counts:
     """How many names and how many titles have the words of each cell, over all rows (two tables of COUNT_CELLS).
 
@@ -149,26 +168,17 @@ def count_words(rows: DataFrame) -> Counts:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * size, dtype=np.int64)
-        known: dict[str, int] = {}
-
-        def at(w: str) -> int:
-            c = known.get(w)
-            if c is None:
-                if len(known) > 500_000:
-                    known.clear()
-                c = known[w] = cell(w)
-            return c
-
+        at = _Known(cell)
         for batch in batches:
             found: list[int] = []
             for x in batch.column(0).to_pylist():
                 if x:
                     total[-1] += 1
-                    found += [size + at(w) for w in set(_WORDS.findall(plain(x)))]
+                    found += [size + at[w] for w in set(_WORDS.findall(plain(x)))]
             for x in batch.column(1).to_pylist():
                 for ws in name_words(x):
                     total[COUNT_CELLS] += 1
-                    found += [at(w) for w in set(ws)]
+                    found += [at[w] for w in set(ws)]
             total += np.bincount(np.array(found, dtype=np.int64), minlength=2 * size)
         where = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(where), "n": pa.array(total[where])})
@@ -186,6 +196,7 @@ class KeyFinder:
     def __init__(self, counts: np.ndarray):
         self.counts, self.limit = counts, max(40.0, COMMON_NAME * float(counts[-1]))
         self.known: dict[str, list[str]] = {}
+        self.lists = _Known(lambda names: sorted({w for n in names.split(",") for w in self.of_name(n.strip())}), 100_000)
 
     def of_name(self, name: str) -> list[str]:
         found = self.known.get(name)
@@ -206,7 +217,7 @@ class KeyFinder:
         """The words that few names have, or else the rarest word, of every name of a list."""
         if not names:
             return []
-        return sorted({w for n in names.split(",") for w in self.of_name(n.strip())})
+        return self.lists[names]
 
 
 _finders: dict[int, KeyFinder] = {}
@@ -238,10 +249,10 @@ def _venue_words(venue: str | None) -> str:
 def near(a: str, b: str) -> bool:
     """Whether two words differ by typing only: by one edit, by two from six letters on, by three from eleven on.
 
-    An edit is a letter more, less or other, or two neighbours swapped. Digits must be equal, and beginnings of
-    opposite meaning are no typing.
+    An edit is a letter more, less or other, or two neighbours swapped. The words begin or end with the same
+    letter, digits must be equal, and beginnings of opposite meaning are no typing.
     """
-    return a == b or (_edits_near(a, b) and not _opposed(a, b))
+    return a == b or ((a[:1] == b[:1] or a[-1:] == b[-1:]) and _edits_near(a, b) and not _opposed(a, b))
 
 
 def _opposed(a: str, b: str) -> bool:
@@ -281,16 +292,8 @@ def _edits_near(a: str, b: str) -> bool:
     return row[-1] <= limit
 
 
-_cells: dict[str, int] = {}
-
-
 def _titles_with(counts: Counts, word: str) -> int:
-    c = _cells.get(word)
-    if c is None:
-        if len(_cells) > 500_000:
-            _cells.clear()
-        c = _cells[word] = cell(word)
-    return int(counts.titles[c])
+    return int(counts.titles[_cells[word]])
 
 
 def _mistyped(a: str, b: str, counts: Counts | None) -> bool:
@@ -407,7 +410,10 @@ def same_venue(a: str, b: str) -> bool | None:
 
 
 def same_names(a: list[str], b: list[str]) -> float:
-    """Share of the telling name words of the shorter list that the other has, typing aside."""
+    """Share of the telling name words of the shorter list that the other has, typing aside.
+
+    Mistyped words must begin or end with the same three letters.
+    """
     if len(a) > len(b):
         a, b = b, a
     if not len(a):
@@ -416,7 +422,7 @@ def same_names(a: list[str], b: list[str]) -> float:
     hits = sum(1 for w in a if w in sb)
     if hits < len(a):
         free = [w for w in b if w not in a]
-        hits += sum(0.9 for w in a if w not in sb and any(len(w) > 4 and near(w, v) for v in free))
+        hits += sum(0.9 for w in a if w not in sb and len(w) > 4 and any((w[:3] == v[:3] or w[-3:] == v[-3:]) and near(w, v) for v in free))
     return hits / len(a)
 
 
@@ -448,47 +454,26 @@ def same_paper(t1: str, t2: str, cut1: bool, cut2: bool, m1: str, m2: str, k1, k
 
 FORM = "rid bigint, h1 bigint, h2 bigint, words string, cut boolean, marker string, keys array<string>, year int, venue string, low bigint, high bigint, n_words int, ends bigint"
 _YEAR = regex.compile(r"(?:19|20)\d\d")
-_bits: dict[str, int] = {}
-
-
-def _bit(word: str) -> int:
-    """One of 128 bits for a word."""
-    b = _bits.get(word)
-    if b is None:
-        if len(_bits) > 500_000:
-            _bits.clear()
-        b = _bits[word] = 1 << (zlib.crc32(word.encode()) * 0x9E3779B1 >> 13 & 127)
-    return b
-
-
-_ends: dict[str, int] = {}
-
-
-def _end_bits(word: str) -> int:
-    """Two of 64 bits, for the first and for the last three letters of a word."""
-    b = _ends.get(word)
-    if b is None:
-        if len(_ends) > 500_000:
-            _ends.clear()
-        b = _ends[word] = 1 << (zlib.crc32(word[:3].encode()) % 61) | 1 << (zlib.crc32(b"-" + word[-3:].encode()) % 61)
-    return b
+#: One of 128 bits for a word; two of 64 bits for the first and for the last three letters of a name's word.
+_bits = _Known(lambda w: 1 << (zlib.crc32(w.encode()) * 0x9E3779B1 >> 13 & 127))
+_ends = _Known(lambda w: 1 << (zlib.crc32(w[:3].encode()) % 61) | 1 << (zlib.crc32(b"-" + w[-3:].encode()) % 61))
 
 
 def masks(words: list[str], keys: list[list[str]]) -> dict[str, list]:
     """The columns low and high (128 bits, one for each word of a title), n_words (distinct) and ends (of names)."""
     low, high, sizes, ends = [], [], [], []
-    cut = (1 << 63) - 1
+    cut, top = (1 << 63) - 1, 1 << 63
     for t, k in zip(words, keys, strict=True):
         m, own = 0, set(t.split())
         for w in own:
-            m |= _bit(w)
-        low.append((m & cut) - (m & 1 << 63))
+            m |= _bits[w]
+        low.append((m & cut) - (m & top))
         m >>= 64
-        high.append((m & cut) - (m & 1 << 63))
+        high.append((m & cut) - (m & top))
         sizes.append(len(own))
         e = 0
         for w in k:
-            e |= _end_bits(w)
+            e |= _ends[w]
         ends.append(e)
     return {"low": low, "high": high, "n_words": sizes, "ends": ends}
 
