@@ -31,7 +31,7 @@ SAMPLE, WALKS, STEPS = 8_000, 2, 6
 #: Size of a vector, and cells of the table of letter runs.
 DIM, CELLS = 48, 1 << 14
 #: Tables of titles, and bits of a name word's code.
-TABLES, NAME_BITS = 6, 44
+TABLES, NAME_BITS = 4, 44
 #: A block with more rows than this on a side is split by the words of the title.
 HOT_BLOCK = 4_000
 #: Pairs that the calibration is fitted on.
@@ -278,9 +278,16 @@ def block_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFram
 
     Names, where both have some, must begin or end alike in one word.
     """
-    sizes = left.select(F.explode("blocks").alias("block"), F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(right.select(F.explode("blocks").alias("block"), F.lit(0).alias("a"), F.lit(1).alias("b")))
-    sizes = sizes.groupBy("block").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.greatest("a", "b") > HOT_BLOCK) & (F.least("a", "b") > 0))
-    hot = scratch.keep(sizes.select("block"), "hot")
+    sides = left.select("blocks").unionByName(right.select("blocks"))
+    least = max(2, HOT_BLOCK // max(1, sides.rdd.getNumPartitions()))
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a block with more than HOT_BLOCK rows has at least ``least`` of them in some partition
+        seen = [b.column(0).flatten().to_numpy(zero_copy_only=False) for b in batches]
+        block, n = np.unique(np.concatenate(seen) if seen else np.zeros(0, np.int64), return_counts=True)
+        yield pa.RecordBatch.from_pydict({"block": pa.array(block[n >= least], pa.int64()), "n": pa.array(n[n >= least], pa.int64())})
+
+    hot = scratch.keep(sides.mapInArrow(often, "block bigint, n bigint").groupBy("block").agg(F.sum("n").alias("n")).where(F.col("n") > HOT_BLOCK), "hot")
     pairs = _blocks(left, hot, 1).join(_blocks(right, hot, 2), "block")
     near = pairs.where("marker1 = marker2").where(papers.alike_words() | (F.col("block").bitwiseAND(LETTERS) != 0)).where(papers.alike_names())
     return near.select("rid1", "rid2").distinct()
@@ -322,7 +329,7 @@ def match(candidates: DataFrame, dump: DataFrame) -> DataFrame:
     sample = both.where(F.pmod(F.xxhash64("title", "id"), F.lit(max(1, math.ceil(n / SAMPLE)))) == 0).limit(2 * SAMPLE)
     model = fit(sample)
     # one bit more for twice the records
-    bits = min(40, max(8, math.ceil(math.log2(n + 2))))
+    bits = min(40, max(8, math.ceil(math.log2(n + 2)) - 2))
     forms1 = scratch.keep(index(papers.contents(rows1), counts, model, bits), "candidates")
     forms2 = scratch.keep(index(papers.contents(rows2), counts, model, bits), "records")
     pairs = scratch.keep(block_pairs(forms1, forms2, scratch), "pairs")

@@ -29,6 +29,8 @@ from . import papers
 
 #: Letters of a run, and runs in a window of winnowing.
 RUN, WINDOW = 6, 24
+#: Rows of ids and masks (at most 48 bytes each) up to which a batch's side of a join is broadcast.
+SMALL = 600_000
 #: Hashes per fingerprint and bits of a filter per fingerprint; fingerprints that one partition is made for.
 BLOOM_HASHES, BLOOM_RATE, PART_LOAD = 4, 12, 400_000
 
@@ -133,6 +135,11 @@ def prescreen(asked: DataFrame, filters: DataFrame) -> DataFrame:
     return asked.groupBy("part").cogroup(filters.groupBy("part")).applyInPandas(run, "part int, fp bigint, rid bigint")
 
 
+def _small(df: DataFrame, most: int = SMALL) -> DataFrame:
+    """A written table marked for broadcast if it has at most so many rows (they are counted); else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 class Store:
     """Accepted contents in a folder: generations of forms and of filters, and the counts they were built with.
 
@@ -187,20 +194,21 @@ class Store:
 def screen(store: Store, content: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """((rid) of the batch's contents that are the same paper as one in the store or an earlier one of the batch, forms).
 
-    The batch's fingerprints that pass the filters, and then its candidate pairs, are written, so Spark knows
-    their size: where they are small the store is read without being shuffled, else both sides are.
+    The batch's fingerprints that pass the filters, and then its candidate pairs, are written and counted: up to
+    SMALL rows they are broadcast and the store is read without being shuffled, beyond that both sides are shuffled.
     """
     new = scratch.keep(_forms(content, store.counts), "new")
+    few = new if new.limit(SMALL // 20 + 1).count() > SMALL // 20 else F.broadcast(new)
     asked = _listed(new, store.parts, "rid")
-    positive = scratch.keep(prescreen(asked, store.filters).select("fp", F.col("rid").alias("rid1")), "positive")
-    mine = new.select(*[F.col(c).alias(f"{c}1") for c in ("rid", *papers.MASKS)])
+    positive = _small(scratch.keep(prescreen(asked, store.filters).select("fp", F.col("rid").alias("rid1")), "positive"))
+    mine = few.select(*[F.col(c).alias(f"{c}1") for c in ("rid", *papers.MASKS)])
     side = lambda f: _listed(f, store.parts, "rid", *papers.MASKS).select("fp", *[F.col(c).alias(f"{c}2") for c in ("rid", *papers.MASKS)])
     old = side(store.forms).join(positive, "fp")
     fresh = side(new).join(asked.select("fp", F.col("rid").alias("rid1")), "fp").where("rid2 < rid1")
     covered = lambda df: df.join(mine, "rid1").where(papers.alike_words() & papers.alike_names()).select("rid1", "rid2").distinct()
-    pairs = scratch.keep(covered(old).unionByName(covered(fresh)), "pairs")
-    alike = papers.verify(pairs, new, store.forms.unionByName(new), store.counts).select("rid1")
-    literal = new.select(F.col("rid").alias("rid1"), "h1", "h2").join(store.forms.select("h1", "h2"), ["h1", "h2"]).select("rid1")
+    pairs = _small(scratch.keep(covered(old).unionByName(covered(fresh)), "pairs"))
+    alike = papers.verify(pairs, few, store.forms.unionByName(new), store.counts).select("rid1")
+    literal = store.forms.select("h1", "h2").join(few.select(F.col("rid").alias("rid1"), "h1", "h2"), ["h1", "h2"]).select("rid1")
     return scratch.keep(alike.unionByName(literal).distinct().select(F.col("rid1").alias("rid")), "repeated"), new
 
 

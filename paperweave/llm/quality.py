@@ -1,10 +1,11 @@
 """Per-document text quality: statistics and a robust distance from prose.
 
 One pass over each whole text gives its statistics. Per language, mean and covariance of prose are
-estimated robustly: starting from documents that look like running sentences, the moments of the rows
-nearest to the present centre are taken again and again (concentration steps), as sums that every
-partition contributes. A document's squared Mahalanobis distance then splits into one contribution per
-statistic, which says what makes it an outlier.
+estimated robustly: starting from the medians, the moments of the half of the documents nearest to the
+present centre are taken again and again (concentration steps) until they settle, as sums that every
+partition contributes. Only deviations away from prose count (fewer sentences, more marks, and so on). A document's
+squared Mahalanobis distance decides whether it is prose, and splits into one contribution per statistic; what
+contributes most decides whether an outlier is a list, a table or junk.
 """
 
 from __future__ import annotations
@@ -27,21 +28,32 @@ COMMON = {
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec nous ont été être cette aux d'une à après chez entre l'étude n'avons dont mais ou si leur ces n'a sans deux",
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le ha me si sin sobre este ya entre cuando todo esta ser son dos también fue había era muy hasta desde está nos durante tras fueron hubo",
 }
+COMMON |= {
+    "it": "il di che la e un in per è con non una si da al del della le dei nel alla sono come più ha anche ma gli lo o i delle dalla stato state nei tra essere questo questa hanno era",
+    "pt": "o de que e do da em um para é com não uma os no se na por mais as dos como mas foi ao das tem à seu sua ou quando muito nos já também só pelo pela até isso ela entre era depois sem mesmo foram",
+    "nl": "de het een en van in is dat op te zijn met voor niet aan er om ook als bij maar door over uit nog naar heeft hebben wordt werd deze dit die tot of geen meer was tussen worden",
+    "ru": "и в не на что с по как из у за от для к но это было были был при до или также их после все так мы не он она они более между без если",
+}
+COMMON_JA = "のはをにがとでもたてるしなれすか"
 COMMON_ZH = "的了在是和我们不有中为与者对个后于以可仍需"
 CLAUSE = "was were is are be been being has have had did does do can could will would should may might must we i it they you this that there these those which when who not whether if because although nobody wurde wurden ist sind war waren hat haben konnte konnten wir dass ob bleibt est sont été ont avons avait était nous n'a que qui fue fueron es son ha han hubo está no se"
 TERMINAL = ".!?。！？…"
 
+_LANGUAGES = list(COMMON)
 _COMMON = {k: frozenset(v.split()) for k, v in COMMON.items()}
 _CLAUSE = frozenset(CLAUSE.split())
-_ZH = frozenset(COMMON_ZH)
-_WORD = regex.compile(r"\p{Han}|[\p{L}\p{M}\p{N}]+(?:['’\-.][\p{L}\p{M}\p{N}]+)*")
+_ZH, _JA = frozenset(COMMON_ZH), frozenset(COMMON_JA)
+#: Per common word of two letters and more the languages that have it, as bits.
+_HAS = {w: sum(1 << i for i, k in enumerate(_LANGUAGES) if w in _COMMON[k]) for w in frozenset().union(*_COMMON.values()) if len(w) > 1}
+#: Least share of a language's common words in a text, and how many different ones, for it to be told; below, it counts as the first language.
+LEAST_COMMON, LEAST_DIFFERENT = 0.1, 3
+_WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}\p{N}]+(?:['’\-.][\p{L}\p{M}\p{N}]+)*")
 _MARK = regex.compile(r"^\s*(?:[-–—•*‣◦▪●○·→>»✓☐☑+]\s|\[[ xX]?\]\s|\[?\(?\d{1,3}[\])]\s?|\d{1,3}[.:]\s|\(?[a-zA-Zivx]{1,4}\)\s|[a-z]\.\s|#\d+\s|\(\d{1,3}\)|§)")
 _TAG = regex.compile(r"<[^<>\s][^<>]{0,200}>")
 _CELLTAG = regex.compile(r"<t[dhr]\b|\\begin\{tabular", regex.I)
 _URL = regex.compile(r"(?:https?://|www\.)\S+")
 _SENT = regex.compile(r"[^.!?。！？]+(?:[.!?](?=\S)[^.!?。！？]*)*[.!?。！？]+|[^.!?。！？]+$")
 _BOX = regex.compile(r"[│┃║|+\-─━═┌┐└┘├┤┬┴┼╔╗╚╝╠╣╦╩╬=:\s]+")
-_ODD = regex.compile(r"[§¶¤¬~^`|\\{}<>_�]")
 _GAP = regex.compile(r"(?<=\S) {3,}(?=\S)")
 _SEMI = regex.compile(r";(?!\s)")
 _COMMA = regex.compile(r",(?!\s)")
@@ -65,91 +77,156 @@ def _cells(line: str) -> int:
     return best
 
 
+_ALNUM, _SPACE, _DIGIT, _ALPHA, _STRANGE, _BROKEN, _HAN = (1 << i for i in range(7))
+
+
+def _flags() -> np.ndarray:
+    """What kinds of character each code point is."""
+    out = np.zeros(0x110000, np.uint8)
+    for i in range(0x30000):
+        c = chr(i)
+        out[i] = _ALNUM * c.isalnum() | _SPACE * c.isspace() | _DIGIT * c.isdigit() | _ALPHA * (c.isalpha() or c == " ")
+    for c in "§¶¤¬~^`\\{}<>_�":
+        out[ord(c)] |= _STRANGE
+    for c in "ÂÃâ€™Ÿ¼Œ�¤§¶":
+        out[ord(c)] |= _BROKEN
+    out[0x4E00:0xA000] |= _HAN
+    out[0x3040:0x3100] |= _HAN
+    return out
+
+
+_kinds: list[np.ndarray] = []
+_odd: dict[str, bool] = {}
+
+
+def _kinds_of(text: str) -> np.ndarray:
+    if not _kinds:
+        _kinds.append(_flags())
+    return _kinds[0][np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+
+
+def _odd_word(w: str) -> bool:
+    found = _odd.get(w)
+    if found is None:
+        if len(_odd) > 300_000:
+            _odd.clear()
+        vowels = any(c in "aeiouyäöüáéíóúàèêâîôûåøæœ" or ord(c) > 0x24F for c in w)
+        mixed = len(w) > 5 and any(c.isdigit() for c in w) and any(c.isalpha() for c in w)
+        found = _odd[w] = (len(w) > 3 and w.isalpha() and not vowels) or len(w) > 30 or mixed
+    return found
+
+
+def _language(lower: list[str], han: int) -> tuple[str, int]:
+    """(language, common words) of the words of a text."""
+    if han * 2 > len(lower):
+        kana = sum(1 for w in lower if "\u3040" <= w < "\u3100")
+        return ("ja", sum(1 for w in lower if w in _JA)) if kana * 5 > len(lower) else ("zh", sum(1 for w in lower if w in _ZH))
+    seen: dict[int, int] = {}
+    get = _HAS.get
+    for w in lower:
+        if (m := get(w)) is not None:
+            seen[m] = seen.get(m, 0) + 1
+    hits = [sum(n for m, n in seen.items() if m >> i & 1) for i in range(len(_LANGUAGES))]
+    best = max(range(len(hits)), key=lambda i: (hits[i], i == 0))
+    if best and (hits[best] < LEAST_COMMON * len(lower) or len(_COMMON[_LANGUAGES[best]].intersection(lower)) < LEAST_DIFFERENT):
+        best = 0
+    known = _COMMON[_LANGUAGES[best]]
+    return _LANGUAGES[best], sum(1 for w in lower if w in known)
+
+
+def _sentences(joined: str, language: str) -> int:
+    """Letters of a text that are in sentences: of 4 to 90 words, some of them common, and mostly letters."""
+    kinds = _kinds_of(joined)
+    alpha = np.concatenate([[0], np.cumsum((kinds & _ALPHA) > 0)])
+    han = np.concatenate([[0], np.cumsum((kinds & _HAN) > 0)]) if language in ("zh", "ja") else None
+    common = _COMMON.get(language, _ZH)
+    good = 0
+    for m in _SENT.finditer(joined):
+        i, j = m.span()
+        if joined[j - 1] not in ".!?。！？":
+            continue
+        if han is not None:
+            k = han[j] - han[i]
+            if k >= 5 and 2 * k > j - i:
+                good += j - i
+            continue
+        ws = m.group().lower().split()
+        k = len(ws)
+        if 4 <= k <= 90 and alpha[j] - alpha[i] > 0.75 * (j - i) and sum(1 for w in ws if w in common or w.strip(".,;:!?()\"'’") in common) >= 0.15 * k:
+            good += j - i
+    return good
+
+
 def describe(text: str) -> tuple:
     """(language, n_words, mean words per line, *STATS) of a text. Blank texts give language None and zeros."""
     if not text or not text.strip():
         return (None, 0, 0.0, *[0.0] * len(STATS))
-    tables = len(_CELLTAG.findall(text))
-    plain = regex.sub(r"</?(?:p|br|div|li|ul|ol|h\d)\b[^<>]*>", "\n", text) if "<" in text else text
-    items = len(regex.findall(r"<li\b", text))
-    plain = _TAG.sub(" ", plain) if "<" in plain else plain
-    chars = sum(1 for c in text if not c.isspace()) or 1
-    urls = sum(len(u) for u in _URL.findall(plain))
-    words = _WORD.findall(plain)
-    lower = [w.lower() for w in words]
-    n = len(words) or 1
-    han = sum(1 for w in words if "一" <= w[0] <= "鿿")
-    if han * 2 > len(words):
-        language, common = "zh", sum(1 for w in lower if w in _ZH) / n
-        clause = common
-    else:
-        hits = {k: sum(1 for w in lower if w in v) for k, v in _COMMON.items()}
-        language = max(hits, key=lambda k: (hits[k], k == "en"))
-        common, clause = hits[language] / n, sum(1 for w in lower if w in _CLAUSE) / n
-    symbols = sum(1 for c in plain if not c.isalnum() and not c.isspace()) / chars
-    digits = sum(1 for c in plain if c.isdigit()) / chars
+    plain, tables, items = text, 0, 0
+    if "<" in text or "\\" in text:
+        tables = len(_CELLTAG.findall(text))
+        items = text.count("<li")
+        plain = _TAG.sub(" ", regex.sub(r"</?(?:p|br|div|li|ul|ol|h\d)\b[^<>]*>", "\n", text))
+    kinds = _kinds_of(plain)
+    count = lambda flag: int(np.count_nonzero(kinds & flag))
+    chars = (len(plain) - count(_SPACE)) or 1
+    urls = sum(len(u) for u in _URL.findall(plain)) if "http" in plain or "www." in plain else 0
+    lower = _WORD.findall(plain.lower())
+    n = len(lower) or 1
+    language, hits = _language(lower, count(_HAN))
+    common = hits / n
+    clause = common if language in ("zh", "ja") else sum(1 for w in lower if w in _CLAUSE) / n
+    symbols = (chars - count(_ALNUM)) / chars
+    digits = count(_DIGIT) / chars
     lines = [x for x in plain.split("\n") if x.strip()] or [""]
     m = len(lines)
     terminal = sum(1 for x in lines if x.rstrip(" \"'”»)")[-1:] in TERMINAL) / m
-    size = sum(len(x) for x in lines) or 1
-    marked = sum(len(x) for x in lines if _MARK.match(x) or _LEADER.search(x)) / size
+    size = sum(map(len, lines)) or 1
+    marks = [bool(_MARK.match(x)) for x in lines]
+    marked = sum(len(x) for x, k in zip(lines, marks, strict=True) if k or (".." in x or "…" in x or ". ." in x) and _LEADER.search(x)) / size
     if items:
         marked = max(marked, min(1.0, items / max(1, m - 1)))
     # a marked entry may go on in the next line, which has no mark
     if 0.3 < marked < 0.8 and m >= 4:
-        flags = [bool(_MARK.match(x)) for x in lines]
-        covered = sum(len(x) for i, x in enumerate(lines) if flags[i] or (i and flags[i - 1] and (i + 1 == m or flags[i + 1])))
+        covered = sum(len(x) for i, x in enumerate(lines) if marks[i] or (i and marks[i - 1] and (i + 1 == m or marks[i + 1])))
         marked = max(marked, covered / size)
     entry = 0
     if m >= 3:
         for i, x in enumerate(lines):
             s = x.strip()
-            follow = lines[i + 1].strip()[:1] if i + 1 < m else ""
+            follow = lines[i + 1].lstrip()[:1] if i + 1 < m else ""
             if s[-1:] not in ".!?。！？;:,-" and not follow.islower() and len(s) < 200:
                 entry += len(x)
-    cells = [_cells(x) for x in lines]
-    rows = [c for c in cells if c >= 2]
-    usual = max(set(rows), key=rows.count) if rows else 0
-    tabular = sum(len(x) for x, c in zip(lines, cells, strict=True) if c >= 2 and (abs(c - usual) <= 1 or _BOX.fullmatch(x))) / size if m >= 2 else 0.0
-    rules = sum(len(x) for x in lines if _BOX.fullmatch(x))
-    if rules < 0.6 * size:
-        tabular = min(1.0, tabular + rules / size * (tabular > 0.2))
-    else:
-        tabular = 0.0
+    tabular = _tabular(lines, size)
     if tables >= 2:
-        tabular, seps = 1.0, 0.0
-    seps = (plain.count(";") + plain.count("|") + plain.count("·") + plain.count("•") + plain.count(",") + plain.count(" / ")) / n
-    joined = " ".join(" ".join(lines).split())
-    good = 0
-    total = len(joined) or 1
-    for s in _SENT.findall(joined):
-        t = s.strip()
-        if not t or t[-1] not in ".!?。！？":
-            continue
-        ws = _WORD.findall(t)
-        k = len(ws)
-        if language == "zh":
-            if k >= 5 and sum(1 for w in ws if "一" <= w[0] <= "鿿") > 0.5 * k:
-                good += len(s)
-            continue
-        if 4 <= k <= 90:
-            f = sum(1 for w in ws if w.lower() in _COMMON[language]) / k
-            if f >= 0.15 and sum(1 for c in t if c.isalpha() or c == " ") > 0.75 * len(t):
-                good += len(s)
-    distinct = len(set(lower))
-    repetition = 1 - distinct / n
-    expected = 1 - min(1.0, (60 + n ** 0.75) / n)
-    repetition = max(0.0, repetition - max(0.0, expected))
-    if language == "zh":
-        odd = 0.0
-    else:
-        odd = sum(1 for w in lower if (len(w) > 3 and w.isalpha() and not any(c in "aeiouyäöüáéíóúàèêâîôûåøæœ" or ord(c) > 0x24F for c in w)) or len(w) > 30 or (any(c.isdigit() for c in w) and any(c.isalpha() for c in w) and len(w) > 5)) / n
-        single = sum(1 for w in words if len(w) == 1 and w.isalpha()) / n
+        tabular = 1.0
+    seps = 0.0 if tables >= 2 else min(1.0, (plain.count(";") + plain.count("|") + plain.count("·") + plain.count("•") + plain.count(",") + plain.count(" / ")) / n)
+    joined = " ".join(plain.split())
+    good = _sentences(joined, language)
+    expected = 1 - min(1.0, (60 + n**0.75) / n)
+    repetition = max(0.0, 1 - len(set(lower)) / n - max(0.0, expected)) ** 2
+    odd = 0.0
+    if language not in ("zh", "ja"):
+        odd = sum(1 for w in lower if _odd_word(w)) / n
+        single = sum(1 for w in lower if len(w) == 1 and w.isalpha()) / n
         odd = max(odd, single if single > 0.6 else 0.0)
-    odd = max(odd, min(1.0, 4 * len(_ODD.findall(plain)) / chars) if tabular < 0.3 and marked < 0.3 else 0.0)
-    weird = sum(1 for c in plain if c in "ÂÃâ€™Ÿ¼Œ�¤§¶") / chars
-    odd = max(odd, min(1.0, 5 * weird) if weird > 0.1 else 0.0)
-    return (language, len(words), n / m, float(np.log1p(len(words))), sum(map(len, words)) / n, symbols, digits, terminal, common, clause, good / total, min(1.0, marked), entry / size, tabular, seps, repetition, odd, min(1.0, urls / chars))
+    if tabular < 0.3 and marked < 0.3:
+        odd = max(odd, min(1.0, 4 * count(_STRANGE) / chars))
+    broken = count(_BROKEN) / chars
+    odd = max(odd, min(1.0, 5 * broken) if broken > 0.1 else 0.0)
+    return (language, len(lower), n / m, float(np.log1p(len(lower))), sum(map(len, lower)) / n, symbols, digits, terminal, common, clause, good / (len(joined) or 1), min(1.0, marked), entry / size, tabular, seps, repetition, odd, min(1.0, urls / chars))
+
+
+def _tabular(lines: list[str], size: int) -> float:
+    """Share of the text in rows of cells."""
+    if len(lines) < 2:
+        return 0.0
+    cells = [_cells(x) if "\t" in x or "|" in x or "│" in x or ";" in x or "," in x or "   " in x else 1 for x in lines]
+    rows = [c for c in cells if c >= 2]
+    boxed = [bool(_BOX.fullmatch(x)) for x in lines]
+    usual = max(set(rows), key=rows.count) if rows else 0
+    tabular = sum(len(x) for x, c, b in zip(lines, cells, boxed, strict=True) if c >= 2 and (abs(c - usual) <= 1 or b)) / size
+    rules = sum(len(x) for x, b in zip(lines, boxed, strict=True) if b)
+    return min(1.0, tabular + rules / size * (tabular > 0.2)) if rules < 0.6 * size else 0.0
 
 
 def _describe_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,96 +241,128 @@ def statistics(documents: DataFrame) -> DataFrame:
     """(doc_id, language, n_words, mean_words_per_line, STATS...): one row per document.
 
     Null, empty and blank texts get language null and zeros. language is told from the text itself
-    (en, de, fr, es, zh), not from the column lang.
+    (en, de, fr, es, it, pt, nl, ru, zh, ja), not from the column lang.
     """
     n = width(documents.sparkSession)
     return documents.select("doc_id", "text").repartition(n, "doc_id").mapInPandas(_describe_batches, _SCHEMA)
 
 
-#: Variances are at least this share of the statistic's square scale, so a constant one can't explode.
-FLOOR = dict(zip(STATS, [0.6, 0.5, 0.03, 0.03, 0.3, 0.06, 0.04, 0.15, 0.1, 0.25, 0.1, 0.15, 0.1, 0.05, 0.1], strict=True))
-#: Squared distance beyond which a document is no prose (fixed; about the 0.999 quantile of chi2 with 15 degrees).
-CUTOFF = 37.7
+#: Scale of each statistic: its square is added to the variances, so a constant one can't explode.
+FLOOR = dict(zip(STATS, [0.6, 0.5, 0.03, 0.03, 0.3, 0.06, 0.04, 0.15, 0.1, 0.25, 0.1, 0.15, 0.05, 0.05, 0.1], strict=True))
+#: Which deviations lead away from prose: larger values (1), smaller ones (-1), neither (0: length of text and words).
+AWAY = dict(zip(STATS, [0, 0, 1, 1, 0, -1, -1, -1, 1, 1, 1, 1, 1, 1, 1], strict=True))
+#: Squared distance beyond which a document is no prose.
+CUTOFF = 42.0
+#: Contribution from which strange words and the like make junk; outliers with less of everything are items, unless
+#: the repetition itself is beyond REPEATED.
+TELLING, REPEATED = 5.0, 0.6
+#: Documents that the estimate of all languages together counts as in that of each, and bins of the distance.
+POOLED, BINS = 50.0, 96
+_SIGN = np.array([AWAY[k] for k in STATS], float)
+_RIDGE = np.array([FLOOR[k] for k in STATS], float) ** 2
 
 
-def _moments(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, float]]:
-    """Per language, mean and covariance of the statistics; the result has one row per language (five at most)."""
-    k = len(STATS)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    aggs = [F.count("*").alias("n"), *[F.sum(s).alias(f"s{i}") for i, s in enumerate(STATS)], *[F.sum(F.col(STATS[i]) * F.col(STATS[j])).alias(f"q{i}_{j}") for i, j in pairs]]
-    out = {}
-    for r in rows.groupBy("language").agg(*aggs).collect():
-        n = r["n"]
-        mean = np.array([r[f"s{i}"] for i in range(k)]) / n
-        cov = np.zeros((k, k))
-        for i, j in pairs:
-            cov[i, j] = cov[j, i] = r[f"q{i}_{j}"] / n - mean[i] * mean[j]
-        out[r["language"]] = (mean, cov, n)
-    return out
+def _parts(x: np.ndarray, mean: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """The contribution of each statistic to the squared distance of each row of x."""
+    d = np.where(_SIGN == 0, 0.0, (x - mean) * _SIGN).clip(min=0) * _SIGN
+    return d * (d @ inverse)
 
 
-def _model(moments: dict) -> dict[str, tuple[list[float], list[list[float]]]]:
-    floor = np.array([FLOOR[s] for s in STATS])
-    out = {}
-    for language, (mean, cov, _n) in moments.items():
-        out[language] = (mean.tolist(), np.linalg.inv(cov * 1.5 + np.diag(floor**2)).tolist())
-    return out
+def _bin(d2: np.ndarray) -> np.ndarray:
+    """Bins of equal ratio, so that half of the rows can be told from counts."""
+    return np.clip(np.log2(np.maximum(d2, 1e-6)) * 4 + 56, 0, BINS - 1).astype(np.int64)
 
 
-def _with_distance(stats: DataFrame, model: dict) -> DataFrame:
-    """Adds d2 and contributions (array in the order of STATS, which sums to d2)."""
-    any_language = model.get("en") or next(iter(model.values()))
+def _moments(stats: DataFrame, model: dict) -> dict[str, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """Per language and bin of the distance the count, sums and products; BINS rows per language reach the driver."""
+    k = len(STATS)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[tuple[str, int], np.ndarray] = {}
         for pdf in batches:
-            x = pdf[STATS].to_numpy()
-            parts = np.zeros_like(x)
-            for language in pdf["language"].unique():
-                at = (pdf["language"] == language).to_numpy() if language is not None else pdf["language"].isna().to_numpy()
-                mean, inverse = model.get(language, any_language)
-                d = x[at] - np.array(mean)
-                parts[at] = d * (d @ np.array(inverse))
-            yield pdf.assign(d2=parts.sum(axis=1), contributions=list(parts))
-
-    return stats.mapInPandas(score, _SCHEMA + ", d2 double, contributions array<double>")
+            for language, own in pdf.groupby("language"):
+                x = own[STATS].to_numpy(float)
+                b = _bin(_parts(x, *model[language]).sum(1))
+                for at in np.unique(b):
+                    y = x[b == at]
+                    row = np.concatenate([[len(y)], y.sum(0), (y.T @ y).ravel()])
+                    total[language, int(at)] = total.get((language, int(at)), 0) + row
+        if total:
+            yield pd.DataFrame({"language": [t[0] for t in total], "bin": [t[1] for t in total], "sums": list(total.values())})
+
+    out: dict[str, dict[int, np.ndarray]] = {}
+    for r in stats.select("language", *STATS).mapInPandas(run, "language string, bin int, sums array<double>").toLocalIterator():
+        own = out.setdefault(r["language"], {})
+        own[r["bin"]] = own.get(r["bin"], 0) + np.array(r["sums"])
+    found: dict[str, list] = {}
+    for language, bins in out.items():
+        found[language] = [(bins[b][0], bins[b][1 : k + 1], bins[b][k + 1 :].reshape(k, k)) for b in sorted(bins)]
+    return found
+
+
+def _nearest_half(bins: list[tuple]) -> tuple[float, np.ndarray, np.ndarray]:
+    """Count, sums and products of the nearest bins that hold half of the rows."""
+    need = sum(b[0] for b in bins) / 2
+    n, total, products = 0.0, 0, 0
+    for count, sums, squares in bins:
+        n, total, products = n + count, total + sums, products + squares
+        if n >= need:
+            break
+    return n, total, products
+
+
+def _model(halves: dict[str, tuple]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Mean and inverse covariance per language; that of all languages counts as POOLED documents in each."""
+    n = sum(h[0] for h in halves.values())
+    mean, square = sum(h[1] for h in halves.values()) / n, sum(h[2] for h in halves.values()) / n
+    out = {}
+    for language, (own, sums, products) in halves.items():
+        m = (sums + POOLED * mean) / (own + POOLED)
+        cov = (products + POOLED * square) / (own + POOLED) - np.outer(m, m)
+        out[language] = (m, np.linalg.inv(cov + np.diag(_RIDGE)))
+    return out
 
 
-def distances(documents: DataFrame, steps: int = 3) -> DataFrame:
-    """The statistics with d2 and contributions; blank texts are left out.
+def distances(documents: DataFrame, steps: int = 20, tolerance: float = 0.01) -> DataFrame:
+    """The statistics with d2 and contributions (array in the order of STATS, which sums to d2); blank texts are left out.
 
-    The first estimate takes documents with most of their text in sentences and without marks or cells;
-    each step keeps, of all documents, those within the cutoff and estimates again. With no such
-    document at all, distances are taken from the mean of all documents.
+    More than half of the documents of a language must be prose for its estimate to be one of prose. Steps end
+    when no mean moves by more than ``tolerance`` of the statistic's scale.
     """
     scratch = Scratch(documents.sparkSession, "quality")
     stats = scratch.keep(statistics(documents).where("language is not null"), "stats")
-    moments = _moments(stats.where("sentence_share > 0.7 and marked_lines < 0.1 and cell_lines < 0.1 and odd_words < 0.1 and n_words >= 5")) or _moments(stats)
-    if not moments:
+    medians = stats.groupBy("language").agg(*[F.percentile_approx(k, 0.5).alias(k) for k in STATS]).collect()  # a row per language
+    if not medians:
         return stats.selectExpr("*", "0D as d2", "array() :: array<double> as contributions")
+    model = {r["language"]: (np.array([r[k] for k in STATS], float), np.diag(1 / (4 * _RIDGE))) for r in medians}
     for _ in range(steps):
-        near = _with_distance(stats, _model(moments)).where(f"d2 <= {CUTOFF} and sentence_share > 0.5")
-        moments |= {k: v for k, v in _moments(near).items() if v[2] >= 20}
-    return _with_distance(stats, _model(moments))
+        new = _model({language: _nearest_half(bins) for language, bins in _moments(stats, model).items()})
+        moved = max(float((np.abs(new[k][0] - model[k][0]) / np.sqrt(_RIDGE)).max()) for k in new)
+        model = new
+        if moved < tolerance:
+            break
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            parts = np.zeros((len(pdf), len(STATS)))
+            for language, at in pdf.groupby("language").indices.items():
+                parts[at] = _parts(pdf[STATS].to_numpy(float)[at], *model[language])
+            yield pdf.assign(d2=parts.sum(axis=1), contributions=list(parts))
+
+    return stats.mapInPandas(score, _SCHEMA + ", d2 double, contributions array<double>")
 
 
 def classify(rows: DataFrame) -> DataFrame:
-    """Adds text_class: prose, list, table or junk.
+    """Adds text_class: prose within the cutoff; else what contributes most to the distance decides.
 
-    Within the cutoff a text is prose unless its lines are marked, entries or cells. A text that is mostly
-    running sentences without list marks or cells is prose at any distance (what makes it odd is then its length or its case, say); otherwise the
-    statistics that contribute decide: cells, then marks, entries or separators, else junk.
+    Rows of cells make a table; marks, entries and separators a list; strange words and signs, links and repeated words
+    junk, if they contribute more than TELLING. Strange and repeated words weigh less than marks, as lists have short forms
+    and headings, and symbols don't tell one from the other.
     """
-    running = F.expr("sentence_share >= 0.5 and marked_lines < 0.5 and cell_lines < 0.5 and odd_words < 0.35")
-    near = F.expr("sentence_share >= 0.25 and entry_lines < 0.5 and marked_lines < 0.5 and cell_lines < 0.5 and odd_words < 0.35")
-    kind = (
-        F.when((F.col("d2") <= CUTOFF) & near, "prose")
-        .when(running, "prose")
-        .when(F.expr("cell_lines >= 0.5 and odd_words < 0.6"), "table")
-        .when(F.expr("odd_words >= 0.35 or url_share > 0.5 or (repetition > 0.6)"), "junk")
-        .when(F.expr("marked_lines >= 0.4"), "list")
-        .when(F.expr("n_words >= 3 and common_words + clause_words > 0 or separators > 0.1 or entry_lines >= 0.5"), "list")
-        .otherwise("junk")
-    )
+    part = lambda *names: sum((F.element_at("contributions", STATS.index(k) + 1) for k in names), F.lit(0.0))
+    cells, marks = 3 * part("cell_lines"), part("marked_lines", "entry_lines", "separators")
+    junk = 0.5 * part("odd_words") + part("url_share") + 0.15 * part("repetition")
+    kind = F.when(F.col("d2") <= CUTOFF, "prose").when((cells > 0) & (cells >= F.greatest(marks, junk)), "table").when((junk > F.greatest(marks, F.lit(TELLING))) | ((marks <= TELLING) & (F.col("repetition") > REPEATED)), "junk").otherwise("list")
     return rows.withColumn("text_class", kind)
 
 
