@@ -63,7 +63,8 @@ class Encoder:
         vocab = model["vocab"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.byte_id = np.array([vocab[c] for c in _byte_letters()], dtype=np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        # batches of words are bounded, so nothing needs to be spilt to a disk of the worker
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         merges = pa.table({"l": pa.array([vocab[a] for a, _ in pairs], pa.int32()), "r": pa.array([vocab[b] for _, b in pairs], pa.int32()), "rank": pa.array(range(len(pairs)), pa.int32()), "merged": pa.array([vocab[a + b] for a, b in pairs], pa.int32())})
         self.db.register("merges_in", merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")

@@ -118,7 +118,9 @@ def build_filters(listed: DataFrame, parts: int, total: int) -> DataFrame:
         if filters:
             yield pd.DataFrame({"part": list(filters), "bits": [b.tobytes() for b in filters.values()]})
 
-    return listed.select("part", "fp").repartition(min(parts, width(listed.sparkSession)), "part").mapInPandas(run, "part int, bits binary")
+    # a task for every 200,000 fingerprints, so small batches start few
+    tasks = max(1, min(parts, width(listed.sparkSession), total // 200_000 + 1))
+    return listed.select("part", "fp").repartition(tasks, "part").mapInPandas(run, "part int, bits binary")
 
 
 def prescreen(asked: DataFrame, filters: DataFrame) -> DataFrame:
@@ -207,7 +209,7 @@ def screen(store: Store, content: DataFrame, scratch: Scratch) -> tuple[DataFram
     fresh = side(new).join(asked.select("fp", F.col("rid").alias("rid1")), "fp").where("rid2 < rid1")
     covered = lambda df: df.join(mine, "rid1").where(papers.alike_words() & papers.alike_names()).select("rid1", "rid2").distinct()
     pairs = _small(scratch.keep(covered(old).unionByName(covered(fresh)), "pairs"))
-    alike = papers.verify(pairs, few, store.forms.unionByName(new), store.counts).select("rid1")
+    alike = papers.verify(pairs, few, store.forms.unionByName(new), store.counts, gather=True).select("rid1")
     literal = store.forms.select("h1", "h2").join(few.select(F.col("rid").alias("rid1"), "h1", "h2"), ["h1", "h2"]).select("rid1")
     return scratch.keep(alike.unionByName(literal).distinct().select(F.col("rid1").alias("rid")), "repeated"), new
 

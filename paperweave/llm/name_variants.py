@@ -177,23 +177,17 @@ def parsed_names(named: DataFrame) -> DataFrame:
 
 
 def near_stems(stems: DataFrame) -> DataFrame:
-    """(grp, stem, canonical, n, m) of stems that differ by typing, the more frequent one as canonical.
+    """(grp, stem, canonical, n, m) of stems that differ by one typing error, the more frequent one as canonical.
 
     Stems of three letters and more meet where they are equal after one letter is left out (of either or
-    both), which covers a letter more, less, other, or two neighbours swapped. Stems of seven letters and more
-    also meet after two letters are left out, which covers two such errors.
+    both), which covers a letter more, less, other, or two neighbours swapped.
     """
-    without = lambda col: F.transform(F.sequence(F.lit(1), F.length(col)), lambda i: F.concat(F.substring(col, F.lit(1), i - 1), F.substring(col, i + 1, F.length(col))))
-    once = stems.where(F.length("stem") >= 3).select("grp", "stem", "n", F.array_distinct(without(F.col("stem"))).alias("short"))
-    twice = F.when(F.length("stem") >= 7, F.array_distinct(F.flatten(F.transform("short", without)))).otherwise(F.array().cast("array<string>"))
-    listed = lambda keys, left_out: F.transform(keys, lambda k: F.struct(F.xxhash64("grp", k).alias("k"), F.lit(left_out).alias("left_out")))
-    keyed = once.select("grp", "stem", "n", F.explode(F.concat(listed(F.array("stem"), 0), listed("short", 1), listed(twice, 2))).alias("x")).select("grp", "stem", "n", "x.*")
-    a, b = keyed, keyed.select(F.col("stem").alias("canonical"), F.col("n").alias("m"), "k", F.col("left_out").alias("other"))
-    met = a.join(b, "k").where("(m, canonical) > (n, stem)").groupBy("grp", "stem", "canonical", "n", "m").agg(F.min(F.greatest("left_out", "other")).alias("left_out"))
-    # equal after leaving out one letter each but for two edits: neighbours swapped
-    apart = F.levenshtein("stem", "canonical")
-    swapped = (F.col("left_out") <= 1) & (F.length("stem") == F.length("canonical"))
-    return met.withColumn("edits", F.when(apart <= 1, 1).when(apart == 2, F.when(swapped, 1).when(F.length("stem") >= 7, 2))).where("edits is not null").drop("left_out")
+    short = F.transform(F.sequence(F.lit(1), F.length("stem")), lambda i: F.concat(F.substring(F.col("stem"), F.lit(1), i - 1), F.substring(F.col("stem"), i + 1, F.length("stem"))))
+    keyed = stems.where(F.length("stem") >= 3).select("grp", "stem", "n", F.explode(F.array_distinct(F.concat(F.array("stem"), short))).alias("k")).select("grp", "stem", "n", F.xxhash64("grp", "k").alias("k"))
+    a, b = keyed, keyed.select(F.col("stem").alias("canonical"), F.col("n").alias("m"), "k")
+    pairs = a.join(b, "k").where("(m, canonical) > (n, stem)").select("grp", "stem", "canonical", "n", "m").distinct()
+    # equal after leaving out one letter each may be two edits apart: neighbours swapped
+    return pairs.where((F.levenshtein("stem", "canonical") <= 1) | ((F.length("stem") == F.length("canonical")) & (F.levenshtein("stem", "canonical") == 2)))
 
 
 def _fit(given: str, initials: str, other_given: str, other_initials: str) -> bool:
@@ -233,7 +227,7 @@ def attach(parsed: DataFrame, met: DataFrame, contents: DataFrame, scratch: Scra
     scored = scratch.keep(pairs.join(paired, ["grp", "stem", "canonical"]).join(alike, ["sid", "cid"], "left"), "scored")
     # prior: how much more frequent the canonical form is; channel: typing errors; context: papers alike, 0 where nothing is known
     context = F.coalesce(F.log(F.col("alike") * ALIKE + (1 - F.col("alike")) * STRANGE), F.lit(0.0))
-    score = F.log(F.col("m") / F.col("n")) + TYPO * F.col("edits") + context
+    score = F.log(F.col("m") / F.col("n")) + TYPO + context
     best = scored.withColumn("score", score).where("score > 0").groupBy("grp", "stem").agg(F.max(F.struct("score", "m", "canonical"))["canonical"].alias("canonical"))
     best = scratch.keep(best, "attached")
     return grouped.join(_ends_of(best, scratch), ["grp", "stem"], "left").select("name", "n", "kind", "grp", F.coalesce("canonical", "stem").alias("canonical"), "given", "initials")

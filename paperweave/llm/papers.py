@@ -431,22 +431,29 @@ def same_paper(t1: str, t2: str, cut1: bool, cut2: bool, m1: str, m2: str, k1, k
     if m1 != m2 or not t1 or not t2:
         return False
     names = same_names(k1, k2)
-    if 0 <= names < 0.25:
-        return False
+    return not 0 <= names < LEAST_NAMES and _same_given_names(names, t1, t2, cut1, cut2, " ".join(k1), " ".join(k2), y1, y2, v1, v2, counts)
+
+
+#: Share of the telling name words of the shorter list that any two versions of a paper have in common.
+LEAST_NAMES = 0.25
+
+
+def _same_given_names(names: float, t1: str, t2: str, cut1: bool, cut2: bool, k1: str, k2: str, y1: int, y2: int, v1: str, v2: str, counts: Counts | None) -> bool:
+    """Whether two forms of one marker are the same paper; names is what ``same_names`` says of k1 and k2."""
     titles = same_title(t1, t2, cut1, cut2, counts)
     if not titles:
         return False
     gap = abs(y1 - y2) if y1 and y2 else 0
     venue = same_venue(v1, v2)
     short = min(len(t1), len(t2)) < 22
-    if titles == 1 and not (names >= 0.6 and venue is not False and gap <= 1 and (venue or (y1 and y1 == y2) or len(k1) > 1 < len(k2))):
+    if titles == 1 and not (names >= 0.6 and venue is not False and gap <= 1 and (venue or (y1 and y1 == y2) or (" " in k1 and " " in k2))):
         return False
     if names < 0:
         return not short and venue is not False and gap <= 1 and (titles == 3 or venue is True)
     if short:
         return names >= 0.5 and venue is not False and gap <= 2
     if titles == 3:
-        return names >= 0.25
+        return True
     if cut1 or cut2:
         return names >= 0.4 and (venue is not False or gap == 0)
     return names >= 0.3 and (gap <= 1 or venue is not False)
@@ -540,30 +547,36 @@ def names_of_json(column):
     return F.array_join(F.transform(F.from_json(column, "array<string>"), lambda x: F.regexp_replace(x, ",", " ")), ", ")
 
 
-_COMPARED = ["words", "cut", "marker", "keys", "year", "venue"]
+_COMPARED = ["keys", "words", "cut", "year", "venue"]
 
 
-def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, counts: Counts) -> DataFrame:
+def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, counts: Counts, gather: bool = False) -> DataFrame:
     """The pairs (rid1, rid2) whose forms are the same paper; left and right are the forms of the two sides.
 
-    Pairs travel as ids; the forms join them only here.
+    Pairs travel as ids; the forms join them only here. With gather, pairs that came from many tasks are shuffled
+    before the check, so that Spark can size its tasks (for few pairs against a large store).
     """
     shared = pairs.sparkSession.sparkContext.broadcast(counts)  # two tables of COUNT_CELLS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
+            # names first: pairs that they settle need no further columns
+            names = [same_names(a.split(), b.split()) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            open_ = [not 0 <= n < LEAST_NAMES for n in names]
+            batch = batch.filter(pa.array(open_, pa.bool_()))
             columns = [batch.column(2 + i).to_pylist() for i in range(2 * len(_COMPARED))]
-            at = 2 * _COMPARED.index("keys")
-            columns[at], columns[at + 1] = [x.split() for x in columns[at]], [x.split() for x in columns[at + 1]]
-            keep = pa.array([same_paper(*x, counts) for x in zip(*columns, strict=True)], pa.bool_())
-            yield batch.select([0, 1]).filter(keep)
+            k1, k2, t1, t2, cut1, cut2, y1, y2, v1, v2 = columns
+            left = [n for n, o in zip(names, open_, strict=True) if o]
+            keep = [_same_given_names(*x, counts) for x in zip(left, t1, t2, cut1, cut2, k1, k2, y1, y2, v1, v2, strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    form = lambda df, i: df.select(*[(F.array_join(c, " ") if c == "keys" else F.col(c)).alias(f"{c}{i}") for c in ("rid", *_COMPARED)])
+    form = lambda df, i: df.select(*[(F.array_join(c, " ") if c == "keys" else F.col(c)).alias(f"{c}{i}") for c in ("rid", "marker", *_COMPARED)])
     joined = pairs.select("rid1", "rid2").join(form(right, 2), "rid2").join(form(left, 1), "rid1").where("marker1 = marker2")
     part = lambda c, end: F.transform(F.split(c, " "), lambda x: end(x, F.lit(3)))
     alike = F.expr("keys1 = '' or keys2 = ''") | F.arrays_overlap(part("keys1", F.left), part("keys2", F.left)) | F.arrays_overlap(part("keys1", F.right), part("keys2", F.right))
-    return joined.where(alike).select("rid1", "rid2", *[f"{c}{i}" for c in _COMPARED for i in (1, 2)]).mapInArrow(run, "rid1 bigint, rid2 bigint")
+    joined = joined.where(alike)
+    return (joined.repartition("rid1", "rid2") if gather else joined).select("rid1", "rid2", *[f"{c}{i}" for c in _COMPARED for i in (1, 2)]).mapInArrow(run, "rid1 bigint, rid2 bigint")
 
 
 def keyed(rows: DataFrame) -> DataFrame:
