@@ -92,3 +92,34 @@ def token_jaccard(a, b):
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z0-9]+"), lambda x: x != ""))
     either = F.size(F.array_union(words(a), words(b)))
     return F.when(either > 0, F.size(F.array_intersect(words(a), words(b))) / either).otherwise(0.0)
+
+
+def acquired_id(*parts):
+    """Id of an acquired mail from its parts, of which empty ones keep their place."""
+    return F.concat(F.lit("local163_"), F.sha1(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])))
+
+
+def message_part(message_id):
+    """What stands before the host in a message id."""
+    return _full(F.regexp_extract(message_id, r"^<?\s*([^@<>\s]+)@", 1))
+
+
+def last_number(text):
+    """The last run of digits of a text."""
+    return _full(F.regexp_extract(text, r"([0-9]+)(?:[^0-9]*)$", 1))
+
+
+def subject_key(subject):
+    """A subject without white space in lower case; empty for null (X11)."""
+    return F.lower(F.regexp_replace(F.coalesce(subject, F.lit("")), r"\s+", ""))
+
+
+def dates_agree(a, b):
+    """Whether two date texts are the same or one holds the other; a blank agrees with all (X11)."""
+    return (a == "") | (b == "") | a.contains(b) | b.contains(a)
+
+
+def request_url(base, **params):
+    """A URL with encoded parameters; null and blank ones are left out."""
+    given = [F.when(F.coalesce(F.trim(v), F.lit("")) != "", F.concat(F.lit(f"{k}="), F.url_encode(F.trim(v)))) for k, v in params.items()]
+    return F.concat(base, F.lit("?"), F.concat_ws("&", *given))

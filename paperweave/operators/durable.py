@@ -2,8 +2,9 @@
 
 Iterative operators write each round as parquet below the folder named in ``spark.checkpoint.dir``
 and read it back. The files outlive executors, keep statistics for AQE, and are columnar, so they
-take less disk than RDD checkpoints. Only where the setting is unset (tests, a single machine) a
-local temporary folder is made.
+take less disk than RDD checkpoints. Only where the setting is unset on a single machine (tests) a
+local temporary folder is made; on a cluster that is an error. What a session wrote is deleted when the
+driver ends; long sessions may call ``clean`` once their results are written.
 """
 
 from __future__ import annotations
@@ -26,18 +27,47 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="paperweave-")
         atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
     return _own[app]
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_roots: set[str] = set()
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes the tables of all operator runs of this driver; results that still read them must be written before."""
+    while _roots:
+        _delete(spark, _roots.pop())
+
+
+def _clean_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _roots:
+        try:
+            clean(spark)
+        except Exception:  # noqa: BLE001  the session may be gone already
+            pass
+
+
+atexit.register(_clean_at_exit)
+
+
 class Scratch:
     """Tables of one operator run below the shared folder."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+        _roots.add(self.root)
 
     def keep(self, df: DataFrame, label: str = "t") -> DataFrame:
         """Write ``df`` once and return the table that was written."""
@@ -49,7 +79,4 @@ class Scratch:
         """Delete a kept table that no later stage reads."""
         files = df.inputFiles()
         if files:
-            folder = files[0].rsplit("/", 1)[0]
-            jvm = self.spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(self.spark, files[0].rsplit("/", 1)[0])

@@ -54,11 +54,28 @@ def unpivot_keys(rows: DataFrame, row_id: str, keys: list[str]) -> DataFrame:
     return rows.unpivot([row_id], keys, "key_type", "key").where("trim(key) <> ''")
 
 
-def neighbour_keys(rows: DataFrame, part: list[str], order: list[str], key: str, reach: int = 3) -> DataFrame:
-    """Adds neighbours: the keys of the rows around with their signed distance."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    near = [F.concat(F.lit(f"{i:+d}:"), F.lag(key, -i).over(w)) for i in range(-reach, reach + 1) if i]
-    return rows.withColumn("neighbours", F.concat_ws(" ### ", *near))
+def neighbour_keys(rows: DataFrame, part: str, order: str, key: str, reach: int = 3, block: int = 4096) -> DataFrame:
+    """Adds neighbours, the keys of the rows around with their signed distance, and place, the row's number.
+
+    order is an integer that is unique within part. Rows are cut into blocks of order, so that no part is one task; a
+    block also reads the last and first rows of the blocks around it, and places start at the rows before it. Blocks
+    around are found among those that hold rows, whatever the gaps between them.
+    """
+    cut = F.floor(F.col(order) / block)
+    held = rows.withColumn("_b", cut)
+    sizes = held.groupBy(part, "_b").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(part).orderBy("_b")  # one row per block
+    blocks = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    near = [F.lag("_b", -i).over(w) for i in range(-reach, reach + 1)]
+    blocks = blocks.select(F.col(part).alias("_p"), F.col("_b").alias("_c"), "_n", "_before", F.array_compact(F.array(*near)).alias("_near"))
+    numbered = held.withColumn("_r", F.row_number().over(Window.partitionBy(part, "_b").orderBy(order)))
+    placed = numbered.join(blocks, F.col(part).eqNullSafe(F.col("_p")) & (F.col("_b") == F.col("_c"))).select(*rows.columns, "_b", "_near", "_n", "_r", (F.col("_r") + F.col("_before")).alias("place"))
+    # rows at the ends of a block are needed by the blocks near it
+    edge = (F.col("_r") <= reach) | (F.col("_r") > F.col("_n") - reach)
+    sent = placed.withColumn("_to", F.explode(F.when(edge, F.col("_near")).otherwise(F.array("_b"))))
+    v = Window.partitionBy(part, "_to").orderBy("place")
+    around = [F.when(F.lag("place", -i).over(v) == F.col("place") + i, F.concat(F.lit(f"{i:+d}:"), F.lag(key, -i).over(v))) for i in range(-reach, reach + 1) if i]
+    return sent.withColumn("neighbours", F.concat_ws(" ### ", *around)).where("_to = _b").select(*rows.columns, "neighbours", F.col("place").cast("bigint").alias("place"))
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:

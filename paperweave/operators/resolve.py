@@ -31,51 +31,67 @@ def clusters(rows: DataFrame, keys: list[str] = EXACT_KEYS, order: str = "id") -
     return member.select("candidate_id", "component").distinct().join(best, "component").where("n > 1").select("candidate_id", "leader", "n")
 
 
-def _fold(rows: list[tuple], keys: int) -> Iterator[tuple]:
-    """Founders and followers of one component in order: the first rule whose key a founder holds wins."""
-    held: list[dict] = [{} for _ in range(keys)]
-    for candidate, *own in rows:
-        hit = next(((i, held[i][k]) for i, k in enumerate(own) if k and k in held[i]), None)
-        if hit is None:
+# Confidence of an assignment by identifier, by title, and of a new record.
+BY_IDENTIFIER, BY_TITLE, NEW = 0.95, 0.75, 0.6
+
+
+class _Founders:
+    """The keys of one component's founders; a row is placed by the first rule that finds its key among them."""
+
+    def __init__(self, n_keys: int):
+        self.held: list[dict] = [{} for _ in range(n_keys + 2)]
+
+    def place(self, name: str, keys: tuple, title: str | None, year: str | None, founds: bool) -> tuple[str, str, float]:
+        """(founder, rule, confidence); the row becomes a founder if no rule hits, or at once if founds."""
+        n = len(keys)
+        own = [*keys, (title, year) if title and year else None, title]
+        if not founds:
             for i, k in enumerate(own):
-                if k:
-                    held[i].setdefault(k, candidate)
-            yield candidate, candidate, "new"
-        else:
-            yield candidate, hit[1], f"rule_{hit[0] + 1}"
+                if k and k in self.held[i]:
+                    return self.held[i][k], "title_year" if i == n else "title" if i > n else f"rule_{i + 1}", BY_TITLE if i >= n else BY_IDENTIFIER
+        for i, k in enumerate(own):
+            if k:
+                self.held[i].setdefault(k, name)
+        return name, "new", NEW
 
 
-def assign(rows: DataFrame, keys: list[str], order: str = "id") -> DataFrame:
-    """(candidate_id, founder, rule): canonical assignment in order.
+def assign(rows: DataFrame, keys: list[str], order: str = "id", title: str | None = None, year: str | None = None, canonicals: DataFrame | None = None) -> DataFrame:
+    """(candidate_id, founder, rule, confidence): canonical assignment in order.
 
-    A row joins the founder with which it shares the first key in the given order of keys, else it founds a
-    record itself; only founders contribute keys. Components of shared keys are independent, so each is
-    folded alone; a task streams the sorted rows of its components and holds the keys of one component's
-    founders at a time.
+    A row joins the founder with which it shares the first key in the given order of keys, else title and year, else
+    the title alone (if these columns are given); else it founds a record itself. Only founders contribute keys.
+    canonicals (paper_id and the same columns) are founders from before, ahead of all rows. Null and blank keys tie
+    nothing. Components of shared keys are independent, so each is folded alone; a task streams the sorted rows of its
+    components and holds the keys of one component's founders at a time, never its rows.
     """
     scratch = Scratch(rows.sparkSession, "assign")
-    own = scratch.keep(rows.select("candidate_id", order, *keys), "rows")
-    edges = shared_key_edges(own, "candidate_id", keys)
-    shared = edges.groupBy("v").agg(F.count("*").alias("k")).where("k > 1").select("v")
-    labels = connected_components(edges.join(shared, "v", "left_semi"))
-    tied = own.join(labels, own.candidate_id == labels.node).drop("node")
+    extra = [title or "", year or ""]
+    col = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) if c else F.lit(None).cast("string")
+    shape = [*[col(k).alias(f"k{i}") for i, k in enumerate(keys)], col(extra[0]).alias("title"), col(extra[1]).alias("year")]
+    own = rows.select(F.col("candidate_id").alias("name"), F.col(order).cast("bigint").alias("place"), F.lit(False).alias("founds"), *shape)
+    if canonicals is not None:
+        own = own.unionByName(canonicals.select(F.col("paper_id").alias("name"), F.lit(-(1 << 62)).cast("bigint").alias("place"), F.lit(True).alias("founds"), *shape))
+    own = scratch.keep(own.withColumn("node", F.concat(F.when(F.col("founds"), "p:").otherwise("c:"), "name")), "rows")
+    names = [f"k{i}" for i in range(len(keys))]
+    edges = shared_key_edges(own, "node", [*names, "title"])
+    shared = edges.groupBy("v").agg(F.min("u").alias("a"), F.max("u").alias("b")).where("a < b").select("v")
+    labels = connected_components(edges.join(shared, "v", "left_semi")).withColumnRenamed("node", "n")
+    tied = own.join(labels, own.node == labels.n).drop("n")
+    schema = "candidate_id string, founder string, rule string, confidence double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-        at = None
+        founders, at = _Founders(len(names)), None
         for pdf in batches:
-            out: list[tuple] = []
-            for component, *row in pdf[["component", "candidate_id", *keys]].itertuples(index=False, name=None):
-                if held and component != at:
-                    out.extend(_fold(held, len(keys)))
-                    held = []
-                at = component
-                held.append(tuple(row))
+            out = []
+            for component, name, founds, *rest in pdf[["component", "name", "founds", *names, "title", "year"]].itertuples(index=False, name=None):
+                if component != at:
+                    founders, at = _Founders(len(names)), component
+                placed = founders.place(name, tuple(rest[:-2]), rest[-2], rest[-1], bool(founds))
+                if not founds:
+                    out.append((name, *placed))
             if out:
-                yield pd.DataFrame(out, columns=["candidate_id", "founder", "rule"])
-        if held:
-            yield pd.DataFrame(list(_fold(held, len(keys))), columns=["candidate_id", "founder", "rule"])
+                yield pd.DataFrame(out, columns=["candidate_id", "founder", "rule", "confidence"])
 
-    folded = tied.repartition("component").sortWithinPartitions("component", order).mapInPandas(run, "candidate_id string, founder string, rule string")
-    alone = own.join(labels, own.candidate_id == labels.node, "left_anti").select("candidate_id", F.col("candidate_id").alias("founder"), F.lit("new").alias("rule"))
+    folded = tied.repartition("component").sortWithinPartitions("component", "place", "name").mapInPandas(run, schema)
+    alone = own.where("not founds").join(labels, own.node == labels.n, "left_anti").select(F.col("name").alias("candidate_id"), F.col("name").alias("founder"), F.lit("new").alias("rule"), F.lit(NEW).alias("confidence"))
     return folded.unionByName(alone)

@@ -1,4 +1,4 @@
-"""Merging the records of several sources: field picks and conflicts (op ids G1, G2, G5, G6, M1, A11, A21)."""
+"""Merging the records of several sources: the preferred value of each field, and the form in which values are compared (op ids G1, M1)."""
 
 from __future__ import annotations
 
@@ -40,29 +40,3 @@ def conflict_value(field, value):
     doi = F.regexp_replace(F.regexp_replace(F.lower(text), r"^https://doi\.org/", ""), r"[ ./]+$", "")
     words = F.regexp_replace(F.lower(text), r"[ .]+$", "")
     return F.nullif(F.when(field == "doi", doi).when(field == "pmcid", F.upper(text)).when(field.isin("title", "venue"), words).otherwise(text), F.lit(""))
-
-
-def conflicts(records: DataFrame, fields: tuple[str, ...] = CONFLICT_FIELDS) -> DataFrame:
-    """(candidate_id, field_name, n_values, grade) of fields with more than one value among matched rows.
-
-    Identifiers conflict severely (C); years mildly (B) if at most one apart, else severely; other fields
-    get B here, and their finer grade from ``graded_texts``.
-    """
-    rows = _long(records.where("matched"), fields)
-    rows = rows.select("candidate_id", "field_name", conflict_value(F.col("field_name"), F.col("value")).alias("v")).where("v is not null")
-    year = F.when(F.col("field_name") == "year", F.expr("try_cast(v as int)"))
-    per = rows.groupBy("candidate_id", "field_name").agg(F.countDistinct("v").alias("n_values"), (F.max(year) - F.min(year)).alias("span"))
-    grade = F.when(F.col("field_name").isin(*ID_FIELDS), "C").when((F.col("field_name") == "year") & (F.coalesce("span", F.lit(99)) > 1), "C").otherwise("B")
-    return per.where("n_values > 1").select("candidate_id", "field_name", "n_values", grade.alias("grade"))
-
-
-def assessment(records: DataFrame) -> DataFrame:
-    """(candidate_id, n_conflicts, n_severe, blocked, confidence) of every candidate with matched rows."""
-    found = conflicts(records)
-    severe = F.col("grade") == "C"
-    per = found.groupBy("candidate_id").agg(F.count("*").alias("n_conflicts"), F.count_if(severe).alias("n_severe"), F.bool_or(severe & F.col("field_name").isin("doi", "pmid", "pmcid", "title", "year")).alias("hard"))
-    out = records.where("matched").select("candidate_id").distinct().join(per, "candidate_id", "left")
-    n, s = F.coalesce("n_conflicts", F.lit(0)), F.coalesce("n_severe", F.lit(0))
-    blocked = F.coalesce("hard", F.lit(False)) | (s >= 2)
-    confidence = F.when(n == 0, 0.9).when(blocked, 0.25).when(s > 0, 0.45).otherwise(0.65)
-    return out.select("candidate_id", n.alias("n_conflicts"), s.alias("n_severe"), blocked.alias("blocked"), confidence.alias("confidence"))

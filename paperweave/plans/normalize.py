@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +10,8 @@ from ..functions import identifiers as ids
 from ..functions import text
 
 
-def normalized_keys(candidates: DataFrame) -> DataFrame:
-    """Identifiers, URL and name keys of candidates, all in the JVM."""
+def normalized_keys(candidates: DataFrame, *more) -> DataFrame:
+    """Identifiers, URL and name keys of candidates, all in the JVM; more columns may be added."""
     combined = F.concat_ws("\n", "raw_title", "raw_link", "raw_snippet", "target_url")
     url = F.coalesce(F.col("target_url"), F.col("raw_link"))
     return candidates.select(
@@ -25,12 +26,27 @@ def normalized_keys(candidates: DataFrame) -> DataFrame:
         ids.find_arxiv(combined).alias("arxiv"),
         ids.canonical_url(url).alias("url"),
         ids.host(url).alias("host"),
+        *more,
     )
 
 
+@F.pandas_udf("norm_title string, norm_title_key string, norm_venue string")
+def cleaned_udf(titles: pd.Series, venues: pd.Series) -> pd.DataFrame:
+    """Cleaned title, its key and the cleaned venue; within a batch each distinct text is cleaned once."""
+    known: dict = {None: (None, None)}
+    places: dict = {None: None}
+    for t in titles.unique():
+        if t is not None and t not in known:
+            clean = text.clean_title(t)
+            known[t] = (clean, text.key_of_clean(clean))
+    for v in venues.unique():
+        if v is not None and v not in places:
+            places[v] = text.clean_venue(v)
+    pairs = [known[t] for t in titles]
+    return pd.DataFrame({"norm_title": [p[0] for p in pairs], "norm_title_key": [p[1] for p in pairs], "norm_venue": [places[v] for v in venues]}, dtype=object)
+
+
 def normalized(candidates: DataFrame) -> DataFrame:
-    """normalized_keys with cleaned title, venue and title key; texts are cleaned once per distinct value."""
-    titles = candidates.where("raw_title is not null").select("raw_title").distinct().select(F.col("raw_title").alias("t"), text.title_udf("raw_title").alias("norm_title"), text.title_key_udf("raw_title").alias("norm_title_key"))
-    venues = candidates.where("venue_guess is not null").select("venue_guess").distinct().select(F.col("venue_guess").alias("v"), text.venue_udf("venue_guess").alias("norm_venue"))
-    rows = candidates.join(titles, F.col("raw_title") == F.col("t"), "left").join(venues, F.col("venue_guess") == F.col("v"), "left")
-    return normalized_keys(candidates).join(rows.select("id", "norm_title", "norm_title_key", "norm_venue"), "id")
+    """normalized_keys with cleaned title, title key and venue, in one pass over the table."""
+    own = normalized_keys(candidates, cleaned_udf("raw_title", "venue_guess").alias("c"))
+    return own.select(*[c for c in own.columns if c != "c"], "c.*")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .functions import identifiers as ids
 from .functions import similarity as sim
 from .functions import text as tx
-from .operators import delivery, relational, reports, resolve, survivorship
+from .operators import delivery, grading, relational, reports, resolve, survivorship
 from .plans import normalize
 from .tables import table as _t
 
@@ -257,19 +257,21 @@ def run_summary(s, d):
     return c.crossJoin(p).withColumn("ratio", F.round(F.col("n_papers") / F.nullif("n_distinct", F.lit(0)), 3))  # one row each
 
 
-@query("""SELECT candidate_id, paper_id, CASE WHEN coalesce(matched_source_count, 0) = 0 THEN 2 WHEN matched_source_count <= 2 THEN 1 ELSE 0 END + CASE WHEN coalesce(merge_confidence, 0) < 0.45 THEN 2 WHEN merge_confidence < 0.7 THEN 1 ELSE 0 END + CASE WHEN coalesce(trim(year_guess), '') = '' THEN 1 ELSE 0 END + CASE WHEN coalesce(trim(norm_title), '') = '' THEN 1 ELSE 0 END AS score,
- CASE WHEN paper_id IS NOT NULL THEN count(*) OVER (PARTITION BY paper_id) END AS paper_rows FROM fallback_audit""")
+@query("""WITH k AS (SELECT candidate_id, count(DISTINCT doi) + count(DISTINCT pmid) + count(DISTINCT pmcid) AS identifiers, count(*) FILTER (WHERE NOT matched) AS unmatched, max(venue) AS venue FROM source_record GROUP BY 1)
+SELECT a.candidate_id, a.paper_id, CASE WHEN coalesce(identifiers, 0) = 0 THEN 2 ELSE 0 END + CASE WHEN coalesce(merge_confidence, 0) < 0.45 THEN 2 WHEN coalesce(merge_confidence, 0) < 0.7 THEN 1 ELSE 0 END + CASE WHEN coalesce(unmatched, 0) <= 2 THEN 1 ELSE 0 END
+ + CASE WHEN coalesce(trim(venue), '') = '' THEN 1 ELSE 0 END + CASE WHEN coalesce(trim(year_guess), '') = '' THEN 1 ELSE 0 END AS score, n AS paper_rows, n = 1 AS "unique"
+FROM fallback_audit a LEFT JOIN k ON k.candidate_id = a.candidate_id LEFT JOIN (SELECT paper_id, count(*) AS n FROM fallback_audit GROUP BY 1) p ON p.paper_id = a.paper_id""")
 def audit_scores(s, d):
-    return reports.suspicion(_t(s, d, "fallback_audit"))
+    """Suspicion of audited rows; the stored confidence stands for the similarity, which the table has not."""
+    r = _t(s, d, "source_record").groupBy("candidate_id").agg((F.countDistinct("doi") + F.countDistinct("pmid") + F.countDistinct("pmcid")).alias("identifiers"), F.count_if(~F.col("matched")).alias("unmatched"), F.max("venue").alias("venue"))
+    a = _t(s, d, "fallback_audit").select("candidate_id", "paper_id", F.col("merge_confidence").alias("similarity"), F.col("year_guess").alias("year"))
+    return reports.suspicion(a.join(r, "candidate_id", "left"))
 
 
 @query("SELECT id, mail_uid, concat_ws(' ### ', " + ", ".join(f"'{i:+d}:' || lag(candidate_id, {-i}) OVER w" for i in range(-3, 4) if i) + ") AS neighbours, row_number() OVER w AS place FROM paper_candidate WINDOW w AS (PARTITION BY mail_uid ORDER BY id)")
 def neighbour_keys(s, d):
-    from pyspark.sql.window import Window
-
     rows = _t(s, d, "paper_candidate").select("id", "mail_uid", "candidate_id")
-    out = relational.neighbour_keys(rows, ["mail_uid"], ["id"], "candidate_id")
-    return out.withColumn("place", F.row_number().over(Window.partitionBy("mail_uid").orderBy("id"))).drop("candidate_id")
+    return relational.neighbour_keys(rows, "mail_uid", "id", "candidate_id").drop("candidate_id")
 
 
 @query("SELECT candidate_id FROM (SELECT candidate_id FROM library_prelink_match WHERE paper_id IS NOT NULL EXCEPT SELECT candidate_id FROM merge_review_queue) UNION SELECT leader_candidate_id FROM candidate_resolution_status WHERE leader_candidate_id IS NOT NULL")
@@ -293,20 +295,32 @@ def picked_fields(s, d):
     return survivorship.picked_fields(_t(s, d, "source_record"))
 
 
-_CV = {"title": r"regexp_replace(lower(t), '[ .]+$', '')", "venue": r"regexp_replace(lower(t), '[ .]+$', '')", "year": "t", "doi": r"regexp_replace(regexp_replace(lower(t), '^https://doi\.org/', ''), '[ ./]+$', '')", "pmid": "t"}
+_CV = {"year": "t", "doi": r"regexp_replace(regexp_replace(lower(t), '^https://doi\.org/', ''), '[ ./]+$', '')", "pmid": "t"}
 _LONG = " UNION ALL ".join(f"SELECT candidate_id, '{f}' AS field_name, nullif({x}, '') AS v FROM (SELECT candidate_id, trim(regexp_replace({f}, '\\s+', ' ', 'g')) AS t FROM source_record WHERE matched)" for f, x in _CV.items())
-_CONFLICTS = f"SELECT candidate_id, field_name, count(DISTINCT v) AS n_values, CASE WHEN field_name IN ('doi', 'pmid') THEN 'C' WHEN field_name = 'year' AND coalesce(max(CASE WHEN field_name = 'year' THEN try_cast(v AS INT) END) - min(CASE WHEN field_name = 'year' THEN try_cast(v AS INT) END), 99) > 1 THEN 'C' ELSE 'B' END AS grade FROM ({_LONG}) WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT v) > 1"
+_CONFLICTS = f"""SELECT candidate_id, field_name, count(DISTINCT v) AS n_values, CASE WHEN field_name IN ('doi', 'pmid') THEN 'C' WHEN count(try_cast(v AS INT)) > 1 AND max(try_cast(v AS INT)) - min(try_cast(v AS INT)) <= 1 THEN 'B' ELSE 'C' END AS grade
+ FROM (SELECT DISTINCT * FROM ({_LONG})) WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT v) > 1"""
 
 
 @query(_CONFLICTS)
 def field_conflicts(s, d):
-    return survivorship.conflicts(_t(s, d, "source_record"))
+    """Conflicts of identifiers and years."""
+    return grading.graded_conflicts(_t(s, d, "source_record"), ("year", "doi", "pmid"))
+
+
+@query()
+def graded_conflicts(s, d):
+    """Conflicts of all five fields; titles and venues are graded by sequence similarity, which SQL has not."""
+    return grading.graded_conflicts(_t(s, d, "source_record"))
 
 
-@query(f"""WITH c AS (SELECT candidate_id, count(*) AS n, count(*) FILTER (WHERE grade = 'C') AS s, bool_or(grade = 'C') AS hard FROM ({_CONFLICTS}) GROUP BY 1), m AS (SELECT DISTINCT candidate_id FROM source_record WHERE matched)
-SELECT m.candidate_id, coalesce(n, 0) AS n_conflicts, coalesce(s, 0) AS n_severe, coalesce(hard, false) AS blocked, CASE WHEN coalesce(n, 0) = 0 THEN 0.9::DOUBLE WHEN hard THEN 0.25::DOUBLE WHEN s > 0 THEN 0.45::DOUBLE ELSE 0.65::DOUBLE END AS confidence FROM m LEFT JOIN c ON c.candidate_id = m.candidate_id""")
+@query()
 def merge_assessment(s, d):
-    return survivorship.assessment(_t(s, d, "source_record"))
+    return grading.assessment(_t(s, d, "source_record"))
+
+
+@query()
+def proposal_quality(s, d):
+    return grading.proposal_quality(grading.assessment(_t(s, d, "source_record")))
 
 
 def _keyed(s, d):
@@ -324,21 +338,28 @@ def exact_clusters(s, d):
 
 @query()
 def canonical_assignment(s, d):
-    return resolve.assign(_keyed(s, d), ["doi", "pmid", "pmcid"])
+    """All rules of the assignment, with the titles and names of candidates; papers linked before are founders."""
+    c = _t(s, d, "paper_candidate")
+    form = F.regexp_replace(F.lower(F.regexp_replace("raw_title", r"[^\\p{L}\\p{N}]+", " ")), r"^ | $", "")
+    first = c.where("trim(raw_title) <> ''").groupBy("candidate_id").agg(F.min_by(F.struct(form.alias("t"), tx.first_family(F.col("raw_authors")).alias("f"), F.col("year_guess").alias("y")), "id").alias("x"))
+    title = F.when((F.length("x.t") > 0) & F.col("x.f").isNotNull(), F.concat_ws("|", "x.t", F.lower("x.f")))
+    rows = _keyed(s, d).join(first.select("candidate_id", title.alias("title_family"), F.col("x.y").alias("year")), "candidate_id", "left")
+    linked = _t(s, d, "library_prelink_match").where("paper_id is not null").groupBy("paper_id").agg(F.min("candidate_id").alias("candidate_id"))
+    known = linked.join(rows.drop("id", "url"), "candidate_id").drop("candidate_id")
+    return resolve.assign(rows, ["doi", "pmid", "pmcid"], title="title_family", year="year", canonicals=known)
 
 
 # ---- further filters, orders and audits
-@query("SELECT id, doi FROM source_record WHERE doi ILIKE '%.pdf%' OR doi ILIKE '%/download%' OR doi ILIKE '%_reference.pdf%' OR doi ILIKE '%suppl%'")
+@query("SELECT id, doi FROM source_record WHERE doi ILIKE '%.pdf%' OR doi ILIKE '%/download%' OR doi ILIKE '%_reference.pdf%'")
 def untidy_dois(s, d):
-    """Values of doi with file or supplement endings."""
-    return _t(s, d, "source_record").where("doi ilike '%.pdf%' or doi ilike '%/download%' or doi ilike '%_reference.pdf%' or doi ilike '%suppl%'").select("id", "doi")
+    """Values of doi with file endings."""
+    return _t(s, d, "source_record").where("doi ilike '%.pdf%' or doi ilike '%/download%' or doi ilike '%_reference.pdf%'").select("id", "doi")
 
 
-@query(r"SELECT id, CASE WHEN regexp_matches(year_guess, '^[0-9]') THEN CAST(regexp_extract(year_guess, '^[0-9]+', 0) AS BIGINT) END AS number FROM paper_candidate WHERE length(coalesce(year_guess, '')) < 18")
+@query(r"SELECT id, CASE WHEN regexp_matches(year_guess, '^[0-9]') THEN try_cast(regexp_extract(year_guess, '^[0-9]+', 0) AS BIGINT) END AS number FROM paper_candidate")
 def leading_numbers(s, d):
-    """The leading digits of a text as a number, null without."""
-    rows = _t(s, d, "paper_candidate").where("length(coalesce(year_guess, '')) < 18")
-    return rows.select("id", F.when(F.col("year_guess").rlike("^[0-9]"), F.regexp_extract("year_guess", "^[0-9]+", 0).cast("bigint")).alias("number"))
+    """The leading digits of a text as a number, null without, or where they are no 64-bit number."""
+    return _t(s, d, "paper_candidate").select("id", F.when(F.col("year_guess").rlike("^[0-9]"), F.regexp_extract("year_guess", "^[0-9]+", 0).try_cast("bigint")).alias("number"))
 
 
 @query("SELECT * FROM ((SELECT id, 'first' AS part FROM mail_ingestion_record ORDER BY id LIMIT 25) UNION ALL (SELECT id, 'last' FROM mail_ingestion_record ORDER BY id DESC LIMIT 25))")
@@ -369,17 +390,15 @@ def run_deltas(s, d):
     return per.withColumn("d_n", F.col("n") - F.lag("n").over(w)).withColumn("d_found", F.col("found") - F.lag("found").over(w))
 
 
-@query(f"""WITH c AS (SELECT candidate_id, arg_min(raw_title, id) AS t FROM paper_candidate WHERE trim(raw_title) <> '' GROUP BY 1),
- p AS (SELECT r.candidate_id, {_TOK.format('c.t')} AS a, {_TOK.format('r.title')} AS b FROM c JOIN source_record r ON r.candidate_id = c.candidate_id WHERE r.title IS NOT NULL),
- j AS (SELECT candidate_id, max(CASE WHEN len(list_distinct(list_concat(a, b))) > 0 THEN len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) ELSE 0.0 END) AS x FROM p GROUP BY 1)
-SELECT CASE WHEN x >= 0.9 THEN 'near_exact' WHEN x >= 0.7 THEN 'close' WHEN x >= 0.4 THEN 'partial' ELSE 'far' END AS bucket, count(*) AS n FROM j GROUP BY 1""")
+@query()
 def residual_buckets(s, d):
-    """Candidates by the best word overlap with a title of their records."""
+    """Candidates by how their title fits the latest ones of openalex and crossref."""
     c = _t(s, d, "paper_candidate").where("trim(raw_title) <> ''").groupBy("candidate_id").agg(F.min_by("raw_title", "id").alias("t"))
-    r = _t(s, d, "source_record").where("title is not null").select("candidate_id", "title")
-    best = c.join(r, "candidate_id").groupBy("candidate_id").agg(F.max(ids.token_jaccard(F.col("t"), F.col("title"))).alias("x"))
-    bucket = F.when(F.col("x") >= 0.9, "near_exact").when(F.col("x") >= 0.7, "close").when(F.col("x") >= 0.4, "partial").otherwise("far")
-    return best.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    r = relational.latest(_t(s, d, "source_record").where("title is not null and source_name in ('openalex', 'crossref')").select("candidate_id", "source_name", "id", "title"), ["candidate_id", "source_name"], "id")
+    both = c.join(r, "candidate_id").withColumn("s", F.round(sim.ratio_udf("t", "title"), 4)).withColumn("j", F.round(ids.token_jaccard(F.col("t"), F.col("title")), 4))
+    of = lambda name, c: F.max(F.when(F.col("source_name") == name, F.col(c)))
+    per = both.groupBy("candidate_id").agg(reports.residual_bucket(of("openalex", "s"), of("openalex", "j"), of("crossref", "s"), of("crossref", "j")).alias("bucket"))
+    return per.groupBy("bucket").agg(F.count("*").alias("n"))
 
 
 @query(r"""SELECT signature, count(*) AS n, count(DISTINCT venue) AS n_spellings FROM (SELECT venue, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(venue), '[^a-z0-9]+'), lambda x: x NOT IN ('', 'the', 'of', 'and', 'in', 'for', 'journal')))), ' ') AS signature FROM source_record WHERE venue IS NOT NULL) GROUP BY 1""")

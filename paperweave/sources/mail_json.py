@@ -11,27 +11,32 @@ from pyspark.sql.window import Window
 
 from ..functions.identifiers import mail_uid_of
 from ..functions.text import alert_reason
+from .store import exists
 
 _TEXT = ["mail_uid", "message_id", "mail_key", "subject", "from_address", "sender", "internal_date", "date_text", "body_text", "body_html", "url", "snapshot_path", "source_path"]
 MAIL = StructType([StructField(c, StringType()) for c in _TEXT] + [StructField("is_unread", BooleanType()), StructField("headers", MapType(StringType(), StringType())), StructField("page_no", IntegerType()), StructField("row_index", IntegerType())])
 
 
-def input_path(path: str) -> str:
-    """The reconciled sibling of a JSONL file, if there is one."""
+def input_path(spark: SparkSession, path: str) -> str:
+    """The reconciled sibling of a JSONL file, if there is one in its file system."""
     stem, ending = os.path.splitext(path)
     sibling = f"{stem}_reconciled{ending}"
-    return sibling if ending == ".jsonl" and not stem.endswith("_reconciled") and os.path.exists(sibling) else path
+    return sibling if ending == ".jsonl" and not stem.endswith("_reconciled") and exists(spark, sibling) else path
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, raw_line) with 1-based numbers; byte order marks and NUL bytes are dropped (S3).
 
-    A file is read as a whole to number its lines exactly, so imports should come in files of moderate
-    size; files are read in parallel.
+    Large files are read in splits: lines are counted per split, and numbered from the count of the splits before it.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\ufeff", "").alias("value"))
-    lines = whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("p", "raw_line"))
-    return lines.select("file", (F.col("p") + 1).alias("line_no"), F.regexp_replace("raw_line", "\u0000", "").alias("raw_line"))
+    meta = F.col("_metadata")
+    rows = spark.read.text(path).select(meta["file_path"].alias("file"), meta["file_block_start"].alias("split"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw_line"))
+    sizes = rows.groupBy("file", "split").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per split
+    place = F.row_number().over(Window.partitionBy("file", "split").orderBy("at"))
+    numbered = rows.withColumn("k", place).join(sizes.select("file", "split", before.alias("before")), ["file", "split"]).withColumn("line_no", (F.col("k") + F.col("before")).cast("int"))
+    text = F.regexp_replace("raw_line", "\u0000", "")
+    return numbered.select("file", "line_no", F.when(F.col("line_no") == 1, F.regexp_replace(text, "^\ufeff", "")).otherwise(text).alias("raw_line"))
 
 
 def validate(lines: DataFrame) -> DataFrame:
@@ -70,3 +75,27 @@ def mails(validated: DataFrame) -> DataFrame:
     rows = rows.withColumn("alert_reason", alert_reason(F.col("from_address"), F.col("subject"), F.concat_ws("\n", "body_text", "body_html")))
     first = F.row_number().over(Window.partitionBy("mail_uid").orderBy("file", "line_no"))
     return rows.withColumn("k", first).where("k = 1").drop("k")
+
+
+def line_report(validated: DataFrame, strict: bool = False, shown: int = 20) -> dict:
+    """Lines in all, blank, valid and invalid, and the first numbers of invalid ones.
+
+    With strict, invalid lines are an error.
+    """
+    state = lambda x: F.count_if(F.col("state") == x).alias(x)
+    counts = validated.agg(F.count("*").alias("total"), state("blank"), state("valid"), state("invalid")).head().asDict()
+    bad = [r["line_no"] for r in validated.where("state = 'invalid'").orderBy("file", "line_no").select("line_no").limit(shown).collect()]
+    if strict and counts["invalid"]:
+        raise ValueError(f"{counts['invalid']} invalid lines, first {bad}")
+    return counts | {"invalid_lines": bad}
+
+
+def import_counts(validated: DataFrame, held: DataFrame) -> DataFrame:
+    """One row: records processed, imported, skipped (held already or repeated) and without a body."""
+    rows = mails(validated)
+    known = held.select("mail_uid", F.lit(True).alias("held")).distinct()
+    marked = rows.join(known, "mail_uid", "left").withColumn("bare", F.concat_ws("", F.trim("body_text"), F.trim("body_html")) == "")
+    new = F.col("held").isNull()
+    out = marked.agg(F.count_if(new & ~F.col("bare")).alias("imported"), F.count_if(F.col("bare")).alias("no_body"))
+    total = validated.where("state = 'valid'").agg(F.count("*").alias("processed"))
+    return total.crossJoin(out).select("processed", "imported", (F.col("processed") - F.col("imported") - F.col("no_body")).alias("skipped"), "no_body")  # one row each

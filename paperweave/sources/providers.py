@@ -1,4 +1,4 @@
-"""Provider payloads as rows of one common record, and recorded responses as a source (op ids S10, S11, N6, X8)."""
+"""Provider payloads as rows of one common record, and recorded responses as a source (op ids S10, S11)."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import inverted_text
+
 _CROSSREF = "struct<title:array<string>,author:array<struct<given:string,family:string>>,`container-title`:array<string>,`published-print`:struct<`date-parts`:array<array<int>>>,`published-online`:struct<`date-parts`:array<array<int>>>,published:struct<`date-parts`:array<array<int>>>,issued:struct<`date-parts`:array<array<int>>>,DOI:string,URL:string,type:string,abstract:string>"
 _OPENALEX = "struct<id:string,display_name:string,publication_year:int,type:string,ids:struct<doi:string,pmid:string,pmcid:string>,authorships:array<struct<author:struct<display_name:string>>>,primary_location:struct<source:struct<display_name:string,type:string>,landing_page_url:string,raw_type:string>,abstract_inverted_index:map<string,array<int>>>"
 _SCHOLAR = "struct<paperId:string,title:string,authors:array<struct<name:string>>,venue:string,year:int,externalIds:struct<DOI:string,PubMed:string,PubMedCentral:string>,url:string>"
@@ -27,12 +29,6 @@ def _bare_doi(c: Column) -> Column:
     return _full(F.regexp_replace(c, r"(?i)^https?://(dx\.)?doi\.org/", ""))
 
 
-def inverted_text(index: Column) -> Column:
-    """The text of a map from words to their positions, in order of position."""
-    placed = F.flatten(F.transform(F.map_entries(index), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    return _full(F.array_join(F.transform(F.array_sort(placed), lambda x: x["w"]), " "))
-
-
 def _record(**fields: Column) -> Column:
     return F.struct(*[(fields[c] if c in fields else F.lit(None).cast("array<string>" if c == "authors" else "string")).alias(c) for c in COMMON])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,3 +79,16 @@ def markdown(df: DataFrame, limit: int = 200) -> str:
     rows = df.limit(limit).collect()
     cell = lambda x: "" if x is None else str(x).replace("|", "\\|").replace("\n", " ")
     return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns), *["| " + " | ".join(map(cell, r)) + " |" for r in rows]])
+
+
+def exists(spark, path: str) -> bool:
+    """Whether a path exists, in whatever file system it names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at))
+
+
+def plan_document(path: str, title: str, rows: DataFrame, limit: int = 1000) -> str:
+    """A small report as JSON if the path ends in .json, else as Markdown (S13); the limit is the size of the document."""
+    if path.endswith(".json"):
+        return json.dumps({"title": title, "rows": [r.asDict() for r in rows.limit(limit).collect()]}, default=str, indent=2, ensure_ascii=False)
+    return f"# {title}\n\n{markdown(rows, limit)}\n"

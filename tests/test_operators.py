@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from paperweave.operators import delivery, graph, relational, reports, resolve, survivorship
+from paperweave.operators import delivery, grading, graph, relational, reports, resolve, survivorship
 
 
 def rows(df):
@@ -67,8 +67,18 @@ def test_relational(spark):
     assert rows(relational.unprocessed(old, new, on="k").select("k")) == [(1,)]
     text = spark.createDataFrame([(1, "x", None, 1), (1, "xx", "", 2), (1, "xx", None, 3)], "k int, a string, b string, o int")
     assert rows(relational.richest(text, ["k"], ["a", "b"], "o").select("k", "o")) == [(1, 2)]
-    near = relational.neighbour_keys(spark.createDataFrame([(1, i, f"k{i}") for i in range(3)], "p int, o int, key string"), ["p"], ["o"], "key", 1)
-    assert rows(near.select("o", "neighbours")) == [(0, "+1:k1"), (1, "-1:k0 ### +1:k2"), (2, "-1:k1")]
+    near = relational.neighbour_keys(spark.createDataFrame([(1, i, f"k{i}") for i in range(3)], "p int, o int, key string"), "p", "o", "key", 1)
+    assert rows(near.select("o", "neighbours", "place")) == [(0, "+1:k1", 1), (1, "-1:k0 ### +1:k2", 2), (2, "-1:k1", 3)]
+
+
+def test_neighbours_reach_across_blocks(spark):
+    at = [0, 1, 5, 6, 7, 40, 41, 90]
+    df = spark.createDataFrame([("p", o, f"k{o}") for o in at] + [(None, 3, "n")], "p string, o long, key string")
+    got = {(r.p, r.o): (r.neighbours, r.place) for r in relational.neighbour_keys(df, "p", "o", "key", 2, block=4).collect()}
+    for i, o in enumerate(at):
+        want = " ### ".join(f"{j:+d}:k{at[i + j]}" for j in (-2, -1, 1, 2) if 0 <= i + j < len(at))
+        assert got["p", o] == (want, i + 1)
+    assert got[None, 3] == ("", 1)
     rules = spark.createDataFrame([("doi", "d1", "p1"), ("pmid", "m1", "p2"), ("doi", "d1", "p0")], "rule string, key string, target string")
     asked = spark.createDataFrame([(1, "d1", "m1"), (2, "", "m1"), (3, None, None)], "id int, doi string, pmid string")
     assert rows(relational.first_rule(asked, rules, "id", ["doi", "pmid"])) == [(1, "p0", "doi"), (2, "p2", "pmid")]
@@ -93,7 +103,37 @@ def test_assignment_equals_the_sequential_fold(spark):
                     held[i].setdefault(k, c)
             want.append((c, c, "new"))
     df = spark.createDataFrame(data, "candidate_id string, id long, doi string, pmid string")
-    assert rows(resolve.assign(df, ["doi", "pmid"])) == sorted(want, key=str)
+    got = resolve.assign(df, ["doi", "pmid"])
+    assert rows(got.drop("confidence")) == sorted(want, key=str)
+    assert {(r.rule == "new", r.confidence) for r in got.collect()} == {(True, 0.6), (False, 0.95)}
+
+
+def test_assignment_with_titles_and_founders_from_before(spark):
+    rng = random.Random(9)
+    pick = lambda n, letters: [rng.choice([None, *letters]) for _ in range(n)]
+    data = [(f"c{i:03}", i, d, t, y) for i, (d, t, y) in enumerate(zip(pick(90, "abcdefgh"), pick(90, "pqrst"), pick(90, "12"), strict=True))]
+    before = [("P1", "a", "p", "1"), ("P2", "h", None, None)]
+    held = [{}, {}, {}]
+    keys = lambda d, t, y: [d, (t, y) if t and y else None, t]
+
+    def found(name, own):
+        for i, k in enumerate(own):
+            if k:
+                held[i].setdefault(k, name)
+
+    for p, d, t, y in before:
+        found(p, keys(d, t, y))
+    want = []
+    for c, _, d, t, y in data:
+        own = keys(d, t, y)
+        hit = next(((i, held[i][k]) for i, k in enumerate(own) if k and k in held[i]), None)
+        if hit is None:
+            found(c, own)
+        want.append((c, *((hit[1], ["rule_1", "title_year", "title"][hit[0]], [0.95, 0.75, 0.75][hit[0]]) if hit else (c, "new", 0.6))))
+    df = spark.createDataFrame(data, "candidate_id string, id long, doi string, t string, y string")
+    known = spark.createDataFrame(before, "paper_id string, doi string, t string, y string")
+    assert rows(resolve.assign(df, ["doi"], title="t", year="y", canonicals=known)) == sorted(want, key=str)
+    assert rows(resolve.assign(df.limit(0), ["doi"])) == []
 
 
 SOURCE = "candidate_id string, id long, source_name string, query_type string, matched boolean, title string, authors_json string, venue string, year string, doi string, pmid string, pmcid string, abstract string"
@@ -103,8 +143,8 @@ def test_survivorship(spark):
     df = spark.createDataFrame([("c", 1, "pubmed", "title", True, "T pub", None, "V", "2025", "10.1/a", "123", None, "abs"), ("c", 2, "crossref", "doi", True, "T cross", None, "V.", "2026", "10.1/b", None, None, None), ("c", 3, "openalex", "doi", False, "no", None, None, None, None, None, None, None), ("d", 4, None, None, True, "", None, None, None, None, None, None, None)], SOURCE)
     got = {(r.candidate_id, r.field_name): (r.value, r.source_name) for r in survivorship.picked_fields(df).collect()}
     assert got["c", "title"] == ("T cross", "crossref") and got["c", "pmid"] == ("123", "pubmed") and got["c", "abstract"] == ("abs", "pubmed")
-    assert {(r.field_name, r.grade) for r in survivorship.conflicts(df).collect()} == {("title", "B"), ("year", "B"), ("doi", "C")}
-    assert rows(survivorship.assessment(df)) == [("c", 3, 1, True, 0.25), ("d", 0, 0, False, 0.9)]
+    assert {(r.field_name, r.grade) for r in grading.graded_conflicts(df).collect()} == {("title", "C"), ("year", "B"), ("doi", "C")}
+    assert rows(grading.assessment(df)) == [("c", 3, 2, "C", True, 0.25), ("d", 0, 0, "none", False, 0.9)]
 
 
 def test_batches_count_on_over_parts(spark):

@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from paperweave.sources import alert_html, mail_json, mime, store
 from paperweave.streaming import ingest
 
@@ -12,6 +14,10 @@ def test_jsonl_import(spark, tmp_path):
     v = mail_json.validate(mail_json.read_lines(spark, str(p)))
     assert [(r.line_no, r.state) for r in v.orderBy("line_no").collect()] == [(1, "valid"), (2, "invalid"), (3, "valid"), (4, "blank"), (5, "invalid"), (6, "valid")]
     assert [r.line_no for r in mail_json.quarantine(v).orderBy("line_no").collect()] == [2, 5]
+    assert mail_json.line_report(v) == {"total": 6, "blank": 1, "valid": 3, "invalid": 2, "invalid_lines": [2, 5]}
+    with pytest.raises(ValueError):
+        mail_json.line_report(v, strict=True)
+    assert tuple(mail_json.import_counts(v, spark.createDataFrame([("m1",)], "mail_uid string")).head()) == (3, 1, 1, 1)
     got = {r.mail_uid: (r.line_no, r.alert_reason) for r in mail_json.mails(v).collect()}
     assert got.pop("m1") == (1, "subject_hint_match") and len(got) == 1 and next(iter(got)).startswith("local_")
 
@@ -23,7 +29,7 @@ def test_json_documents_and_siblings(spark, tmp_path):
     assert [r.record.mail_uid for r in mail_json.read_document(spark, str(tmp_path / "b.json")).collect()] == ["3"]
     (tmp_path / "x.jsonl").write_text("")
     (tmp_path / "x_reconciled.jsonl").write_text("")
-    assert mail_json.input_path(str(tmp_path / "x.jsonl")).endswith("x_reconciled.jsonl")
+    assert mail_json.input_path(spark, str(tmp_path / "x.jsonl")).endswith("x_reconciled.jsonl")
 
 
 def test_messages(spark, tmp_path):
