@@ -72,8 +72,13 @@ def all_copies(candidates: DataFrame, records: DataFrame) -> DataFrame:
     return a.unionByName(source_copies(records).select(F.lit("source_record").alias("table_name"), "first_id", "id"))
 
 
-def collapsed_candidates(candidates: DataFrame) -> DataFrame:
-    """(id, n_copies): the first row of every group of candidates and how many rows the group has."""
-    found = candidate_copies(candidates).groupBy(F.col("first_id").alias("id")).agg((F.count("*") + 1).alias("n"))
-    rest = candidates.select("id").join(candidate_copies(candidates).select("id"), "id", "left_anti")
-    return rest.join(found, "id", "left").select("id", F.coalesce("n", F.lit(1)).alias("n_copies"))
+def collapsed(candidates: DataFrame, records: DataFrame) -> DataFrame:
+    """(table_name, id, n_copies): the first row of every group of copies, and how many rows the group has.
+
+    Rows without a copy have 1; rows that are no case (without title, or without source or whole DOI) too.
+    """
+    found = all_copies(candidates, records)
+    n = found.groupBy("table_name", F.col("first_id").alias("id")).agg((F.count("*") + 1).alias("n"))
+    rows = candidates.select(F.lit("paper_candidate").alias("table_name"), "id").unionByName(records.select(F.lit("source_record").alias("table_name"), "id"))
+    kept = rows.join(found.select("table_name", "id"), ["table_name", "id"], "left_anti")
+    return kept.join(n, ["table_name", "id"], "left").select("table_name", "id", F.coalesce("n", F.lit(1)).alias("n_copies"))
