@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import identifiers as ids
 from ..functions import text
@@ -30,7 +31,7 @@ def normalized_keys(candidates: DataFrame, *more) -> DataFrame:
     )
 
 
-@F.pandas_udf("norm_title string, norm_title_key string, norm_venue string")
+@F.pandas_udf(StructType([StructField(c, StringType()) for c in ("norm_title", "norm_title_key", "norm_venue")]))
 def cleaned_udf(titles: pd.Series, venues: pd.Series) -> pd.DataFrame:
     """Cleaned title, its key and the cleaned venue; within a batch each distinct text is cleaned once."""
     known: dict = {None: (None, None)}

@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import identifiers as ids
 from ..functions import text as tx
@@ -88,6 +89,6 @@ def candidates(mails: DataFrame) -> DataFrame:
     rows = links.select("mail_uid", "ord", bare.alias("raw_title"), F.when(ids.unwrapped(F.col("href")).isNotNull(), F.col("href")).alias("scholar_wrapper_url"), target.alias("target_url"), tx.resource_type(F.col("anchor"), target).alias("resource_type_hint"), "context", "snippet", tx.snippet_parts(F.col("snippet")).alias("s"))
     kept = rows.where(tx.plausible_title(F.col("raw_title")) & F.col("target_url").rlike("(?i)^https?://"))
     firsts = kept.groupBy("mail_uid", F.lower("raw_title").alias("low")).agg(F.min_by(F.struct(*kept.columns[1:]), "ord").alias("x"))
-    listed = firsts.groupBy("mail_uid").agg(F.array_sort(F.collect_list("x")).alias("xs"))  # the links of one mail
-    flat = listed.select("mail_uid", F.posexplode("xs").alias("i", "x")).select("mail_uid", (F.col("i") + 1).alias("candidate_index_in_mail"), "x.*")
+    place = F.row_number().over(Window.partitionBy("mail_uid").orderBy("x.ord"))  # among the links of one mail
+    flat = firsts.select("mail_uid", place.alias("candidate_index_in_mail"), "x.*")
     return flat.select(ids.candidate_id(F.col("mail_uid"), F.col("candidate_index_in_mail"), F.col("raw_title")).alias("candidate_id"), "mail_uid", "candidate_index_in_mail", "raw_title", F.col("s.authors").alias("raw_authors"), F.col("context").alias("raw_source_text"), F.col("target_url").alias("raw_link"), F.col("snippet").alias("raw_snippet"), "scholar_wrapper_url", "target_url", "resource_type_hint", F.col("s.venue").alias("venue_guess"), F.col("s.year").alias("year_guess"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .functions import identifiers as ids
 from .functions import text as tx
 from .operators import acceptance, grading, links, lookups, relational, reports, resolve
-from .plans import normalize
+from .plans import normalize, stages
 from .queries import _CANON, _FIND_DOI, _NAMES, _SQUEEZE, _at, query
 from .tables import table as _t
 
@@ -250,6 +250,28 @@ def salvaged_titles(s, d):
     return grading.salvaged_titles(_first(s, d).select("candidate_id", "title"), _t(s, d, "source_record"))
 
 
+@query()
+def merged_records(s, d):
+    """The merged record of every candidate (M3)."""
+    return stages.merged_records(_t(s, d, "paper_candidate"), _t(s, d, "source_record"))
+
+
+@query("""WITH c AS (SELECT candidate_id, arg_min(struct_pack(t := raw_title, a := raw_authors, y := year_guess, v := venue_guess), id) AS x FROM paper_candidate GROUP BY 1), s AS (SELECT candidate_id, count(*) AS n_sources, count(*) FILTER (WHERE matched) AS n_matched, array_to_string(list_sort(list(DISTINCT source_name) FILTER (WHERE matched)), ',') AS sources, max(match_score) AS best_score, max(latency_ms) AS slowest FROM source_record GROUP BY 1),
+ a AS (SELECT candidate_id, min(paper_id) AS paper_id, min(merge_confidence) AS confidence FROM fallback_audit GROUP BY 1)
+SELECT q.candidate_id, q.reason, json_extract_string(j, '$.grade') AS grade, json_extract_string(j, '$.verdict') AS verdict, json_extract_string(j, '$.compared_with') AS compared_with, coalesce(json_array_length(j, '$.severe'), 0)::BIGINT AS n_severe, c.x.t AS raw_title, c.x.a AS raw_authors, c.x.y AS year_guess, c.x.v AS venue_guess, r.status, r.resolution_rule, r.leader_candidate_id, s.n_sources, s.n_matched, nullif(s.sources, '') AS sources, s.best_score, s.slowest, a.paper_id, a.confidence,
+ CAST(q.updated_at AS VARCHAR) AS updated_at FROM (SELECT *, CASE WHEN json_valid(assessment_json) THEN assessment_json END AS j FROM merge_review_queue) q LEFT JOIN c USING (candidate_id) LEFT JOIN s USING (candidate_id) LEFT JOIN a USING (candidate_id) LEFT JOIN candidate_resolution_status r USING (candidate_id)""")
+def review_rows(s, d):
+    """The review queue with everything that a reviewer sees: 21 columns of five tables."""
+    at = lambda f: F.get_json_object("assessment_json", f"$.{f}")
+    q = _t(s, d, "merge_review_queue").select("candidate_id", "reason", at("grade").alias("grade"), at("verdict").alias("verdict"), at("compared_with").alias("compared_with"), F.coalesce(F.json_array_length(at("severe")), F.lit(0)).cast("bigint").alias("n_severe"), F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
+    c = _t(s, d, "paper_candidate").groupBy("candidate_id").agg(F.min_by(F.struct("raw_title", "raw_authors", "year_guess", "venue_guess"), "id").alias("x")).select("candidate_id", "x.*")
+    sources = F.nullif(F.array_join(F.array_sort(F.collect_set(F.when(F.col("matched"), F.col("source_name")))), ","), F.lit(""))  # a candidate's few sources
+    r = _t(s, d, "source_record").groupBy("candidate_id").agg(F.count("*").alias("n_sources"), F.count_if("matched").alias("n_matched"), sources.alias("sources"), F.max("match_score").alias("best_score"), F.max("latency_ms").alias("slowest"))
+    a = _t(s, d, "fallback_audit").groupBy("candidate_id").agg(F.min("paper_id").alias("paper_id"), F.min("merge_confidence").alias("confidence"))
+    st = _t(s, d, "candidate_resolution_status").select("candidate_id", "status", "resolution_rule", "leader_candidate_id")
+    return q.join(c, "candidate_id", "left").join(r, "candidate_id", "left").join(a, "candidate_id", "left").join(st, "candidate_id", "left")
+
+
 # ---- reports and audits
 @query("SELECT count(*) FILTER (WHERE wall_time_ms IS NOT NULL) AS n, sum(wall_time_ms)::BIGINT AS total_ms, round(avg(wall_time_ms), 3) AS mean_ms, max(wall_time_ms) AS max_ms, round(avg(wall_time_ms) * 10000 / 3600000, 4) AS hours_for_target FROM mail_ingestion_record")
 def mail_timing(s, d):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperweave.functions import similarity
 from paperweave.operators import acceptance, durable, grading, links, lookups, reports
+from paperweave.plans import stages
 from paperweave.sources import mime, store
 
 
@@ -196,3 +197,33 @@ def test_scratch_tables_can_be_cleaned(spark):
     folder = kept.inputFiles()[0]
     durable.clean(spark)
     assert not store.exists(spark, folder)
+
+
+def test_policy_and_settings():
+    p = stages.Policy().with_overlay({"broad": "yes", "lanes": "title_core, ", "salvage_threshold": "0.9", "batch_limit": " ", "unknown": 1})
+    assert p == stages.Policy(lanes=("title_core",), broad=True, salvage_threshold=0.9)
+    values, source = stages.settings({"PAPERWEAVE_A": "1", "X": "2"}, "# c\nexport PAPERWEAVE_A=0\nPAPERWEAVE_B='b'\n")
+    assert values == {"a": "1", "b": "b"} and source == "file+environment" and stages.settings({}) == ({}, "defaults")
+
+
+def test_parse_stage(spark):
+    link = '<div><h3><a href="https://x.example/1">A title that is long enough to be one</a></h3><div>A B - V, 2020</div></div>'
+    mails = spark.createDataFrame([("m1", True), ("m2", True), ("m3", True), ("m4", False), ("m5", True)], "mail_uid string, is_alert boolean")
+    snaps = spark.createDataFrame([("m1", link), ("m2", "<p>none</p>"), ("m4", link), ("m5", link)], "mail_uid string, body_html string")
+    found, events = stages.parse_stage(mails, snaps, spark.createDataFrame([("m5",)], "mail_uid string"))
+    assert rows(events) == [("m1", "ok", 1), ("m2", "no_candidates", 0), ("m3", "missing_snapshot", 0)]
+    assert [(r.mail_uid, r.candidate_index_in_mail) for r in found.collect()] == [("m1", 1)]
+
+
+def test_merged_records(spark):
+    c = spark.createDataFrame([("a", 1, "Own title of a", "X Y", None, None, None, "Own venue", "2019", 0), ("b", 2, "Own title of b", None, None, None, None, None, None, 0)], "candidate_id string, id long, raw_title string, raw_authors string, raw_link string, raw_snippet string, target_url string, venue_guess string, year_guess string, extra int")
+    shape = "candidate_id string, id long, source_name string, query_type string, matched boolean, title string, authors_json string, venue string, year string, doi string, pmid string, pmcid string, abstract string"
+    r = spark.createDataFrame([("a", 1, "crossref", "doi", True, "T", '["X Y"]', None, "2020", "10.1000/a", None, None, None), ("a", 2, "openalex", "doi", True, "T", None, None, None, "10.1000/a", None, None, None), ("a", 3, "pubmed", "title", True, "T", None, None, None, "10.1000/z", "7", None, "abs")], shape)
+    got = {x.candidate_id: x for x in stages.merged_records(c, r).collect()}
+    assert (got["a"].title, got["a"].venue, got["a"].year, got["a"].doi, got["a"].pmid, got["a"].blocked, got["a"].confidence) == ("T", "Own venue", "2020", "10.1000/a", "7", False, 0.9)
+    assert (got["b"].title, got["b"].doi, got["b"].confidence) == ("Own title of b", None, None)
+
+
+def test_stage_log(spark):
+    log = stages.run_stages(spark, {"one": lambda: spark.range(3), "two": lambda: spark.range(5)}, lambda name, df: df)
+    assert [(r.stage, r.rows) for r in log.collect()] == [("one", 3), ("two", 5)]
