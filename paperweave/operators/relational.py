@@ -49,6 +49,15 @@ def shared_key_edges(rows: DataFrame, row_id: str, keys: list[str]) -> DataFrame
     return rows.select(F.col(row_id).alias("u"), F.explode(F.array_compact(held)).alias("v"))
 
 
+def star_edges(held: DataFrame) -> DataFrame:
+    """Edges (u, v) from each row to the smallest row that holds the same key, of edges from rows to keys.
+
+    They tie the same rows as the keys do, without vertices for keys; a key of many rows gives each one edge.
+    """
+    first = held.groupBy("v").agg(F.min("u").alias("first"), F.max("u").alias("last")).where("first < last").select("v", "first")
+    return held.join(first, "v").where("u <> first").select("u", F.col("first").alias("v")).distinct()
+
+
 def unpivot_keys(rows: DataFrame, row_id: str, keys: list[str]) -> DataFrame:
     """(row_id, key_type, key) of the non-blank keys."""
     return rows.unpivot([row_id], keys, "key_type", "key").where("trim(key) <> ''")

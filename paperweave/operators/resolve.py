@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .durable import Scratch
 from .graph import connected_components
-from .relational import shared_key_edges
+from .relational import shared_key_edges, star_edges
 
 #: Keys by which candidates are the same, the most telling first.
 EXACT_KEYS = ["doi", "pmid", "pmcid", "arxiv", "url"]
@@ -22,9 +22,8 @@ def clusters(rows: DataFrame, keys: list[str] = EXACT_KEYS, order: str = "id") -
     rows has candidate_id, the keys, and an order. The leader holds the most telling keys; of equals the
     first in order. Null and blank keys tie nothing.
     """
-    edges = shared_key_edges(rows, "candidate_id", keys)
-    shared = edges.groupBy("v").agg(F.countDistinct("u").alias("k")).where("k > 1").select("v")
-    labels = connected_components(edges.join(shared, "v", "left_semi"))
+    rows = Scratch(rows.sparkSession, "clusters").keep(rows.select("candidate_id", order, *keys), "rows")
+    labels = connected_components(star_edges(shared_key_edges(rows, "candidate_id", keys)))
     member = rows.join(labels, rows.candidate_id == labels.node).drop("node")
     has = F.array(*[F.coalesce(F.col(k) != "", F.lit(False)).cast("int") for k in keys])
     best = member.groupBy("component").agg(F.max_by("candidate_id", F.struct(has, -F.col(order))).alias("leader"), F.countDistinct("candidate_id").alias("n"))
@@ -73,9 +72,7 @@ def assign(rows: DataFrame, keys: list[str], order: str = "id", title: str | Non
         own = own.unionByName(canonicals.select(F.col("paper_id").alias("name"), F.lit(-(1 << 62)).cast("bigint").alias("place"), F.lit(True).alias("founds"), *shape))
     own = scratch.keep(own.withColumn("node", F.concat(F.when(F.col("founds"), "p:").otherwise("c:"), "name")), "rows")
     names = [f"k{i}" for i in range(len(keys))]
-    edges = shared_key_edges(own, "node", [*names, "title"])
-    shared = edges.groupBy("v").agg(F.min("u").alias("a"), F.max("u").alias("b")).where("a < b").select("v")
-    labels = connected_components(edges.join(shared, "v", "left_semi")).withColumnRenamed("node", "n")
+    labels = connected_components(star_edges(shared_key_edges(own, "node", [*names, "title"]))).withColumnRenamed("node", "n")
     tied = own.join(labels, own.node == labels.n).drop("n")
     schema = "candidate_id string, founder string, rule string, confidence double"
 

@@ -30,10 +30,11 @@ def test_components(spark):
     rng = random.Random(3)
     edges = [(f"n{i}", f"n{i + 1}") for i in range(40)] + [(f"r{rng.randrange(60)}", f"r{rng.randrange(60)}") for _ in range(40)] + [("hub", f"h{i}") for i in range(50)]
     df = spark.createDataFrame([*edges, ("a", None), ("b", "b")], "u string, v string")
-    found = {}
-    for n, c in graph.connected_components(df).collect():
-        found.setdefault(c, set()).add(n)
-    assert sorted(map(sorted, found.values())) == brute_components([e for e in edges if e[0] != e[1]])
+    for settle in (0, 30, graph.SETTLE):
+        found = {}
+        for n, c in graph.connected_components(df, settle=settle).collect():
+            found.setdefault(c, set()).add(n)
+        assert sorted(map(sorted, found.values())) == brute_components([e for e in edges if e[0] != e[1]])
     assert graph.connected_components(df.limit(0)).collect() == []
 
 
