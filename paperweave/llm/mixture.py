@@ -108,6 +108,10 @@ def _plan(blocks: pd.DataFrame, targets: pd.DataFrame, seed: int, shard_tokens:
     return uses, quotas
 
 
+#: Rows of a plan up to which it is broadcast.
+SMALL_PLAN = 200_000
+
+
 def mix(documents: DataFrame, targets: DataFrame, seed: int = 17, shard_tokens: int = SHARD_TOKENS, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, source, n_tokens, copy, shard, position): the mixed corpus, one row per use of a document.
 
@@ -127,7 +131,8 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 17, shard_tokens:
     full = uses.merge(blocks, on=["source", "block"]) if len(uses) else uses.assign(tokens=[])
     rows = list(zip(full["source"], full["block"].astype(int), full["copy"].astype(int), full["shard"].astype(int), full["fill"].astype(int), (full["fill"] >= full["tokens"]), strict=True))
     plan = spark.createDataFrame([(a, int(b), int(c), int(d), int(e), bool(w)) for a, b, c, d, e, w in rows], schema)
-    used = sized.join(F.broadcast(plan), ["source", "block"])  # at most BLOCKS x max_repeats rows per listed source
+    # max_repeats is data: a plan that is not small is shuffled
+    used = sized.join(F.broadcast(plan) if len(rows) <= SMALL_PLAN else plan, ["source", "block"])
     partial = Window.partitionBy("source", "block", "copy").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id")
     part = used.where("not whole").withColumn("before", F.sum("n_tokens").over(partial.rowsBetween(Window.unboundedPreceding, -1)))
     part = part.where(F.coalesce("before", F.lit(0)) + F.col("n_tokens") / 2 <= F.col("fill")).drop("before")
