@@ -323,7 +323,7 @@ def _model(halves: dict[str, tuple]) -> dict[str, tuple[np.ndarray, np.ndarray]]
     return out
 
 
-def distances(documents: DataFrame, steps: int = 20, tolerance: float = 0.01) -> DataFrame:
+def distances(documents: DataFrame, steps: int = 20, tolerance: float = 0.03) -> DataFrame:
     """The statistics with d2 and contributions (array in the order of STATS, which sums to d2); blank texts are left out.
 
     More than half of the documents of a language must be prose for its estimate to be one of prose. Steps end
@@ -335,8 +335,10 @@ def distances(documents: DataFrame, steps: int = 20, tolerance: float = 0.01) ->
     if not medians:
         return stats.selectExpr("*", "0D as d2", "array() :: array<double> as contributions")
     model = {r["language"]: (np.array([r[k] for k in STATS], float), np.diag(1 / (4 * _RIDGE))) for r in medians}
+    # rows of statistics are small: a task for every 20,000 of them
+    few = stats.coalesce(max(1, stats.count() // 20_000))
     for _ in range(steps):
-        new = _model({language: _nearest_half(bins) for language, bins in _moments(stats, model).items()})
+        new = _model({language: _nearest_half(bins) for language, bins in _moments(few, model).items()})
         moved = max(float((np.abs(new[k][0] - model[k][0]) / np.sqrt(_RIDGE)).max()) for k in new)
         model = new
         if moved < tolerance:
