@@ -44,11 +44,6 @@ def names_key_udf(text: pd.Series) -> pd.Series:
     return text.map(key)
 
 
-def fold_expr(col):
-    """JVM twin of ``letters`` without Unicode normalisation; exact for ASCII text."""
-    return F.regexp_replace(F.lower(col), r"[^\p{L}\p{N}\p{M}]+", "")
-
-
 def doi_expr(col):
     """The DOI in a value whatever its prefix, case, escapes and punctuation; null if it has no suffix.
 

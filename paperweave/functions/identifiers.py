@@ -9,6 +9,8 @@ DOI = r"(?i)10\.\d{4,9}/[-._;()/:A-Z0-9]+"
 PMID = r"(?i)(?:pubmed\.ncbi\.nlm\.nih\.gov/|pmid[/:\s])(\d{5,10})"
 PMCID = r"(?i)(?:pmc(?:\.ncbi\.nlm\.nih\.gov)?/articles/|pmcid[/:\s])(PMC\d+)"
 ARXIV = r"(?i)arxiv\.org/(?:abs|pdf)/([0-9]{4}\.[0-9]{4,5})(?:v\d+)?"
+#: What is taken off the end of a DOI, each once and in this order.
+DOI_ENDINGS = (r"/\d+/\d+/[^/]+\.pdf$", r"/\d{5,}/[^/]+\.pdf$", r"(/download|/full\.pdf|_reference\.pdf|\.pdf)$", r"/full$", r"/abstract$", r"/pdf$", r"[ ./;,]+$")
 URI = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 
 
@@ -19,7 +21,7 @@ def _full(col):
 def tidy_doi(col):
     """A DOI in lower case without resolver, file endings and final punctuation."""
     out = F.regexp_replace(F.lower(F.trim(col)), r"^https://doi\.org/", "")
-    for pattern in (r"/\d+/\d+/[^/]+\.pdf$", r"/\d{5,}/[^/]+\.pdf$", r"(/download|/full\.pdf|_reference\.pdf|\.pdf)$", r"/full$", r"/abstract$", r"/pdf$", r"[ ./;,]+$"):
+    for pattern in DOI_ENDINGS:
         out = F.regexp_replace(out, pattern, "")
     return _full(out)
 

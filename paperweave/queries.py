@@ -22,12 +22,12 @@ _HOST = f"nullif(lower(regexp_extract(@, '{_URI}', 2)), '')"
 
 def _tidy(x: str) -> str:
     out = f"regexp_replace(lower(trim({x})), '^https://doi\\.org/', '')"
-    for p in (r"/\d+/\d+/[^/]+\.pdf$", r"/\d{5,}/[^/]+\.pdf$", r"(/download|/full\.pdf|_reference\.pdf|\.pdf)$", r"/full$", r"/abstract$", r"/pdf$", r"[ ./;,]+$"):
+    for p in ids.DOI_ENDINGS:
         out = f"regexp_replace({out}, '{p}', '')"
     return f"nullif({out}, '')"
 
 
-_DOI = r"(?i)10\.\d{4,9}/[-._;()/:A-Z0-9]+"
+_DOI = ids.DOI
 _FIND_DOI = _tidy(f"nullif(regexp_extract(@, '{_DOI}', 0), '')")
 _UNWRAP = r"CASE WHEN regexp_matches(@, '(?i)^[^:/?#]+://scholar\.[^/?#]*/scholar_url\?') AND regexp_extract(@, '[?&]url=([^&#]*)', 1) <> '' THEN url_decode(url_decode(regexp_extract(@, '[?&]url=([^&#]*)', 1))) END"
 _CANON = f"CASE WHEN coalesce(@, '') <> '' THEN coalesce({_UNWRAP}, coalesce(nullif(lower(regexp_extract(@, '{_URI}', 1)), ''), 'https') || '://' || lower(regexp_extract(@, '{_URI}', 2)) || regexp_extract(@, '{_URI}', 3) || CASE WHEN regexp_extract(@, '{_URI}', 4) <> '' THEN '?' || regexp_extract(@, '{_URI}', 4) ELSE '' END) END"

@@ -12,7 +12,7 @@ from .queries import _CANON, _FIND_DOI, _NAMES, _SQUEEZE, _at, query
 from .tables import table as _t
 
 # ---- what candidates can be asked for: one row per candidate, from its earliest row with a title
-_PATTERNS = {"pmid": r"(?i)(?:pubmed\.ncbi\.nlm\.nih\.gov/|pmid[/:\s])(\d{5,10})", "pmcid": r"(?i)(?:pmc(?:\.ncbi\.nlm\.nih\.gov)?/articles/|pmcid[/:\s])(PMC\d+)", "arxiv": r"(?i)arxiv\.org/(?:abs|pdf)/([0-9]{4}\.[0-9]{4,5})(?:v\d+)?"}
+_PATTERNS = {"pmid": ids.PMID, "pmcid": ids.PMCID, "arxiv": ids.ARXIV}
 _FIRST = f"""first AS (SELECT candidate_id, id, {_at(_FIND_DOI, 'c')} AS doi, nullif(regexp_extract(c, '{_PATTERNS['pmid']}', 1), '') AS pmid, nullif(upper(regexp_extract(c, '{_PATTERNS['pmcid']}', 1)), '') AS pmcid, nullif(regexp_extract(c, '{_PATTERNS['arxiv']}', 1), '') AS arxiv,
  {_at(_CANON, 'u')} AS url, nullif({_SQUEEZE.format('raw_title')}, '') AS title, venue_guess AS venue, nullif(trim(year_guess), '') AS year
  FROM (SELECT *, concat_ws(chr(10), raw_title, raw_link, raw_snippet, target_url) AS c, coalesce(target_url, raw_link) AS u, row_number() OVER (PARTITION BY candidate_id ORDER BY coalesce(trim(raw_title), '') = '', id) AS k FROM paper_candidate WHERE candidate_id IS NOT NULL) WHERE k = 1)"""
