@@ -32,6 +32,8 @@ SAMPLE, WALKS, STEPS = 8_000, 2, 6
 DIM, CELLS = 48, 1 << 14
 #: Tables of titles, and bits of a name word's code.
 TABLES, NAME_BITS = 4, 44
+#: Words that are made vectors of at a time.
+PORTION = 4_096
 #: A block with more rows than this on a side is split by the words of the title.
 HOT_BLOCK = 4_000
 #: Pairs that the calibration is fitted on.
@@ -52,6 +54,24 @@ def _runs(word: str) -> list[int]:
     return [zlib.crc32(w[i : i + 3]) % CELLS for i in range(len(w) - 2)] + [zlib.crc32(w) % CELLS]
 
 
+#: What each of three bytes adds to their crc32.
+_THREE = [np.array([zlib.crc32(bytes([0] * i + [b] + [0] * (2 - i))) ^ zlib.crc32(bytes(3)) for b in range(256)], np.int64) for i in range(3)]
+
+
+def _all_runs(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(cells of the runs of all words, where each word's begin): ``_runs`` of many words at once."""
+    texts = [f"<{w}>".encode() for w in words]
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    end = np.cumsum(size)
+    b = np.frombuffer(b"".join(texts), np.uint8)
+    cells = np.zeros(len(b), np.int64)
+    cells[:-2] = (_THREE[0][b[:-2]] ^ _THREE[1][b[1:-1]] ^ _THREE[2][b[2:]] ^ zlib.crc32(bytes(3))) % CELLS
+    cells[end - 2] = np.array([zlib.crc32(t) for t in texts], np.int64) % CELLS  # the whole word, after its runs
+    used = np.ones(len(b), bool)
+    used[end - 1] = False
+    return cells[used], end - size - np.arange(len(words))
+
+
 def _identity(seed: int = 5) -> np.ndarray:
     """Random vectors of the cells; the same in every process."""
     return np.random.default_rng(seed).standard_normal((CELLS, DIM)).astype(np.float32)
@@ -128,37 +148,49 @@ class Index:
         self.table = _identity() + 4.0 * vectors
         self.counts, self.total, self.bits = counts, max(total, 1), bits
         rng = np.random.default_rng(23)
-        self.name_planes = rng.standard_normal((DIM, NAME_BITS)).astype(np.float32)
+        name_planes = rng.standard_normal((DIM, NAME_BITS)).astype(np.float32)
         self.sign_planes = rng.standard_normal((DIM, 64)).astype(np.float32)
         self.title_planes = rng.standard_normal((DIM, TABLES * bits)).astype(np.float32)
+        # which side of a plane a name is on, as sums of whole numbers: equal words have equal codes in whatever company
+        whole = lambda x: np.rint(x.astype(np.float64) * 256)
+        self.name_sides = (whole(self.table) @ whole(name_planes)).astype(np.int64)
         self.vectors, self.used = np.zeros((1 << 12, DIM), np.float32), 0
-        self.rows = papers._Known(self._add, 1 << 40)
-        self.codes = papers._Known(lambda w: int((self._vector(w) @ self.name_planes > 0) @ (1 << np.arange(NAME_BITS, dtype=np.int64))) | NAMED)
-
-    def _vector(self, word: str) -> np.ndarray:
-        row = self.rows[word]  # may move the table of vectors
-        return self.vectors[row]
+        self.rows: dict[str, int] = {}
+        self.codes: dict[str, int] = {}
 
-    def _add(self, word: str) -> int:
-        """The row of vectors that is made for a new word."""
-        if self.used == len(self.vectors):
+    def _learn(self, words: list[str]) -> None:
+        """Makes vectors of words, at self.rows in self.vectors."""
+        words = [w for w in dict.fromkeys(words) if w not in self.rows]
+        while self.used + len(words) > len(self.vectors):
             self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-        cs = _runs(word)
-        v = self.table[cs].sum(0)
-        weight = 0.2 + math.log1p(self.total / (1.0 + self.counts[cs[-1]])) / math.log1p(self.total)
-        self.vectors[self.used] = v * ((weight * (0.3 if word in papers.LIGHT else 1.0)) / max(float(np.linalg.norm(v)), 1e-9))
-        self.used += 1
-        return self.used - 1
+        for i in range(0, len(words), PORTION):
+            some = words[i : i + PORTION]
+            cells, begin = _all_runs(some)
+            v = np.add.reduceat(self.table[cells], begin, axis=0)
+            rare = np.log1p(self.total / (1.0 + self.counts[cells[np.append(begin[1:], len(cells)) - 1]])) / math.log1p(self.total)
+            weight = (0.2 + rare) * np.array([0.3 if w in papers.LIGHT else 1.0 for w in some])
+            self.vectors[self.used : self.used + len(some)] = v * (weight / np.maximum(np.linalg.norm(v, axis=1), 1e-9))[:, None]
+            self.rows.update(zip(some, range(self.used, self.used + len(some)), strict=True))
+            self.used += len(some)
+
+    def _learn_names(self, words: list[str]) -> None:
+        """Makes codes of name words, in self.codes."""
+        words = [w for w in dict.fromkeys(words) if w not in self.codes]
+        for i in range(0, len(words), PORTION):
+            some = words[i : i + PORTION]
+            cells, begin = _all_runs(some)
+            bits = np.add.reduceat(self.name_sides[cells], begin, axis=0) > 0
+            self.codes.update(zip(some, (bits @ (1 << np.arange(NAME_BITS, dtype=np.int64)) | NAMED).tolist(), strict=True))
 
     def _sums(self, lists: list[list[str]]) -> np.ndarray:
         """The sum of the vectors of each list of words."""
         out = np.zeros((len(lists), DIM), np.float32)
-        rows = self.rows
-        flat = [rows[w] for x in lists for w in x]
+        flat = [w for x in lists for w in x]
         if flat:
+            self._learn(flat)
             sizes = np.array([len(x) for x in lists])
             some = np.flatnonzero(sizes)
-            out[some] = np.add.reduceat(self.vectors[flat], (np.cumsum(sizes) - sizes)[some], axis=0)
+            out[some] = np.add.reduceat(self.vectors[[self.rows[w] for w in flat]], (np.cumsum(sizes) - sizes)[some], axis=0)
         return out
 
     def _codes(self, vectors: np.ndarray) -> np.ndarray:
@@ -166,50 +198,33 @@ class Index:
         low = (vectors @ self.title_planes > 0).reshape(len(vectors), TABLES, self.bits).astype(np.int64)
         return (low << np.arange(self.bits)).sum(2) | (np.arange(1, TABLES + 1, dtype=np.int64) << 50)
 
-    def vector(self, word: str) -> np.ndarray:
-        v = self.words.get(word)
-        if v is None:
-            if len(self.words) > 200_000:
-                self.words.clear()
-            cs = _runs(word)
-            v = self.table[cs].sum(0)
-            v /= max(float(np.linalg.norm(v)), 1e-9)
-            weight = 0.2 + math.log1p(self.total / (1.0 + self.counts[cs[-1]])) / math.log1p(self.total)
-            v = self.words[word] = v * (weight * (0.3 if word in papers.LIGHT else 1.0))
-        return v
-
-    def name_code(self, word: str) -> int:
-        code = self.codes.get(word)
-        if code is None:
-            if len(self.codes) > 200_000:
-                self.codes.clear()
-            bits = self.vector(word) @ self.name_planes > 0
-            code = self.codes[word] = int(bits @ (1 << np.arange(NAME_BITS, dtype=np.int64))) | NAMED
-        return code
-
     def describe(self, words: list[str], keys: list[list[str]]) -> tuple[np.ndarray, list[list[int]]]:
         """(64-bit signatures, block codes) of a batch of forms. A title's words count once, in any order."""
         if self.used > 300_000:
             self.used = 0
             self.rows.clear()
+        if len(self.codes) > 300_000:
             self.codes.clear()
+        self._learn_names([w for k in keys for w in k])
         titles = self._sums([sorted(set(t.split())) for t in words])
         bits = (titles @ self.sign_planes > 0).astype(np.uint64)
         signature = (bits << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).astype(np.int64)
-        codes = self._codes(titles)
-        blocks = []
+        codes = self._codes(titles).tolist()
+        blocks, names = [], self.codes
         for i, k in enumerate(keys):
             letters = words[i].replace(" ", "").encode()
             whole = zlib.crc32(letters) << 24 ^ zlib.adler32(letters)  # equal letters meet whatever their words
             if len(words[i]) >= 22:
-                blocks.append([*{self.codes[w] for w in k}, whole | LETTERS, *codes[i].tolist()])
+                blocks.append([*{names[w] for w in k}, whole | LETTERS, *codes[i]])
             else:
                 # short titles are shared by many papers, and match only with a name: their letters count with its beginning
-                blocks.append([*{self.codes[w] for w in k}, *{_mixed(whole, w[:3]) for w in k}])
+                blocks.append([*{names[w] for w in k}, *{_mixed(whole, w[:3]) for w in k}])
         return signature, blocks
 
 
 _FORM = papers.FORM + ", signature bigint, blocks array<bigint>"
+#: What a block tells of a form besides its id.
+_JOINED = ("low", "high", "n_words", "first3", "last3", "marker")
 _indexes: dict[int, Index] = {}
 
 
@@ -258,7 +273,8 @@ def _blocks(forms: DataFrame, hot: DataFrame, number: int) -> DataFrame:
     Hot blocks are split: those of a name by every telling word of the title, those of a title by the first and
     the last three letters of every name (and one part for rows without names, which meet all others).
     """
-    rows = forms.select("rid", *papers.MASKS, F.xxhash64("marker").alias("marker"), "words", "keys", F.explode("blocks").alias("block"))
+    forms = papers.ends_of_names(forms.withColumn("marker", F.xxhash64("marker")))
+    rows = forms.select("rid", *_JOINED, "words", "keys", F.explode("blocks").alias("block"))
     marked = rows.join(hot.select("block", F.lit(True).alias("is_hot")), "block", "left")
     light = F.array(*[F.lit(w) for w in sorted(papers.LIGHT)])
     telling = F.array_except(F.split("words", " "), light)
@@ -270,7 +286,7 @@ def _blocks(forms: DataFrame, hot: DataFrame, number: int) -> DataFrame:
     split = marked.withColumn("part", F.explode(parts))
     mark = F.col("block").bitwiseAND(LETTERS)
     block = F.when(F.col("part").isNull(), F.col("block")).otherwise(F.xxhash64("block", "part").bitwiseAND(~LETTERS).bitwiseOR(mark))
-    return split.select(block.alias("block"), *[F.col(c).alias(f"{c}{number}") for c in ("rid", *papers.MASKS, "marker")])
+    return split.select(block.alias("block"), *[F.col(c).alias(f"{c}{number}") for c in ("rid", *_JOINED)])
 
 
 def block_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
@@ -289,7 +305,7 @@ def block_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFram
 
     hot = scratch.keep(sides.mapInArrow(often, "block bigint, n bigint").groupBy("block").agg(F.sum("n").alias("n")).where(F.col("n") > HOT_BLOCK), "hot")
     pairs = _blocks(left, hot, 1).join(_blocks(right, hot, 2), "block")
-    near = pairs.where("marker1 = marker2").where(papers.alike_words() | (F.col("block").bitwiseAND(LETTERS) != 0)).where(papers.alike_names())
+    near = pairs.where("marker1 = marker2").where(papers.alike_words() | (F.col("block").bitwiseAND(LETTERS) != 0)).where(papers.alike_ends())
     return near.select("rid1", "rid2").distinct()
 
 
@@ -333,7 +349,7 @@ def match(candidates: DataFrame, dump: DataFrame) -> DataFrame:
     forms1 = scratch.keep(index(papers.contents(rows1), counts, model, bits), "candidates")
     forms2 = scratch.keep(index(papers.contents(rows2), counts, model, bits), "records")
     pairs = scratch.keep(block_pairs(forms1, forms2, scratch), "pairs")
-    same = scratch.keep(papers.verify(pairs, forms1, forms2, counts), "same")
+    same = scratch.keep(papers.verify(pairs, forms1, forms2, counts, met=True), "same")
     n_pairs = pairs.count()
     some = F.pmod(F.xxhash64("rid1", "rid2"), F.lit(max(1, math.ceil(n_pairs / CALIBRATION)))) == 0
     asked = pairs.where(some).limit(2 * CALIBRATION).join(same.withColumn("label", F.lit(1)), ["rid1", "rid2"], "left")

@@ -36,6 +36,8 @@ _VENUE_TAIL = regex.compile(r"\s[-–—‐]\s*(?:the\s+)?(?:" + "|".join(SERIAL
 _WORDS = regex.compile(r"[\p{L}\p{N}]+")
 _DIGIT = regex.compile(r"\d")
 _HIDDEN = regex.compile(r"[\p{Cf}\p{M}]+")
+_BLANKS = bytes(i if chr(i).isalnum() else 32 for i in range(128)) + bytes(range(128, 256))
+_BLANKS_IN_LIST = _BLANKS[:44] + b"," + _BLANKS[45:]
 # Nouns that a number or numeral belongs to, so that it counts no parts.
 _NUMBERED = "type|types|grade|grades|class|classes|stage|stages|phase|phases|level|levels|factor|category|covid|cov|version|tier|il|cox|complex|world war|angiotensin|collagen|interleukin|figure|table"
 _MARKER = [
@@ -79,6 +81,11 @@ def plain(text: str) -> str:
     return text.lower()
 
 
+def split_words(text: str) -> list[str]:
+    """The runs of letters and digits of a text."""
+    return text.encode().translate(_BLANKS).decode().split() if text.isascii() else _WORDS.findall(text)
+
+
 def title_form(title: str | None) -> tuple[str, bool, str]:
     """(words joined by blanks, cut short?, marker) of a title without decorations."""
     if not title:
@@ -107,7 +114,7 @@ def title_form(title: str | None) -> tuple[str, bool, str]:
             t = t[: m.start()]
         if t == before:
             break
-    words = " ".join(_WORDS.findall(t))
+    words = " ".join(split_words(t))
     for a, b in SAME_WORDS.items():
         if a in words:
             words = words.replace(a, b)
@@ -119,28 +126,28 @@ def _marker(words: str, text: str, cut: bool) -> str:
     if text.startswith("re") and _REPLY.match(text):
         return "reply"
     for name, pattern in _MARKER:
-        if any(x in words for x in _TRIGGER[name]) and (m := pattern.search(words)) and not (cut and m.end() == len(words) and name != "erratum"):
-            return name
+        for x in _TRIGGER[name]:
+            if x in words:
+                if (m := pattern.search(words)) and not (cut and m.end() == len(words) and name != "erratum"):
+                    return name
+                break
     return "part" if text[-1:] in ("2", "3") and not cut and _NUMBER_END.search(text) else ""
 
 
-_split_names: dict[str, list[str]] = {}
-
-
-def _words_of_name(name: str) -> list[str]:
-    ws = _split_names.get(name)
-    if ws is None:
-        if len(_split_names) > 300_000:
-            _split_names.clear()
-        ws = _split_names[name] = [w for w in _WORDS.findall(plain(name)) if len(w) >= 3 and not w.isdigit()]
-    return ws
-
-
 def name_words(names: str | None) -> list[list[str]]:
     """The words of three letters and more of every name of a comma-separated list."""
     if not names:
         return []
-    return [ws for n in names.split(",") if (ws := _words_of_name(n.strip()))]
+    if names.isascii() and "&" not in names and "<" not in names:
+        split = [n.split() for n in names.lower().encode().translate(_BLANKS_IN_LIST).decode().split(",")]
+    else:
+        split = [split_words(plain(n.strip())) for n in names.split(",")]
+    return [ws for n in split if (ws := [w for w in n if len(w) >= 3 and not w.isdigit()])]
+
+
+def values(column: pa.Array) -> list:
+    """What to_pylist gives of texts, and of numbers and flags without nulls, in a tenth of the time."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def cell(word: str) -> int:
@@ -171,15 +178,19 @@ def count_words(rows: DataFrame) -> Counts:
         at = _Known(cell)
         for batch in batches:
             found: list[int] = []
-            for x in batch.column(0).to_pylist():
-                if x:
-                    total[-1] += 1
-                    found += [size + at[w] for w in set(_WORDS.findall(plain(x)))]
-            for x in batch.column(1).to_pylist():
+            titles, names = [x for x in values(batch.column(0)) if x], 0
+            for x in titles:
+                found += [at[w] for w in set(split_words(plain(x)))]
+            of_titles = len(found)
+            for x in values(batch.column(1)):
                 for ws in name_words(x):
-                    total[COUNT_CELLS] += 1
-                    found += [at[w] for w in set(ws)]
-            total += np.bincount(np.array(found, dtype=np.int64), minlength=2 * size)
+                    names += 1
+                    found += [at[w] for w in (set(ws) if len(ws) > 1 else ws)]
+            cells = np.array(found, dtype=np.int64)
+            cells[:of_titles] += size
+            total += np.bincount(cells, minlength=2 * size)
+            total[-1] += len(titles)
+            total[COUNT_CELLS] += names
         where = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(where), "n": pa.array(total[where])})
 
@@ -191,27 +202,21 @@ def count_words(rows: DataFrame) -> Counts:
 
 
 class KeyFinder:
-    """Telling words of names under one table of counts; results are kept per name."""
+    """Telling words of names under one table of counts; results are kept per list of names."""
 
     def __init__(self, counts: np.ndarray):
-        self.counts, self.limit = counts, max(40.0, COMMON_NAME * float(counts[-1]))
-        self.known: dict[str, list[str]] = {}
-        self.lists = _Known(lambda names: sorted({w for n in names.split(",") for w in self.of_name(n.strip())}), 100_000)
-
-    def of_name(self, name: str) -> list[str]:
-        found = self.known.get(name)
-        if found is None:
-            if len(self.known) > 300_000:
-                self.known.clear()
-            ws = _words_of_name(name)
+        self.counts, self.limit, self.listed = counts, max(40.0, COMMON_NAME * float(counts[-1])), counts.tolist()
+        self.lists = _Known(lambda names: sorted({w for ws in name_words(names) for w in self.of_words(ws)}), 100_000)
+
+    def of_words(self, ws: list[str]) -> list[str]:
+        """The telling ones of the words of a name."""
+        if len(ws) > 1:
             ws = [w for w in ws if w not in GROUP and w != "the"] or ws
-            found = []
-            if ws:
-                n = {w: int(self.counts[cell(w)]) for w in ws}
-                bound = min(self.limit, 2 * min(n.values()) + 2)
-                found = [w for w in ws if len(w) >= 4 and n[w] <= bound] or [min(ws, key=lambda w: (n[w], w))]
-            self.known[name] = found
-        return found
+        if len(ws) == 1:  # the only word is the rarest
+            return ws
+        n = [self.listed[cell(w)] for w in ws]
+        bound = min(self.limit, 2 * min(n) + 2)
+        return [w for w, m in zip(ws, n, strict=True) if len(w) >= 4 and m <= bound] or [min(zip(n, ws, strict=True))[1]]
 
     def keys(self, names: str | None) -> list[str]:
         """The words that few names have, or else the rarest word, of every name of a list."""
@@ -241,7 +246,7 @@ def _venue_words(venue: str | None) -> str:
     if found is None:
         if len(_venues) > 200_000:
             _venues.clear()
-        found = _venues[venue] = "" if venue.strip().lower() in _NO_VENUE else " ".join(_WORDS.findall(plain(venue)))
+        found = _venues[venue] = "" if venue.strip().lower() in _NO_VENUE else " ".join(split_words(plain(venue)))
     return found
 
 
@@ -278,6 +283,9 @@ def _edits_near(a: str, b: str) -> bool:
         return True
     if limit == 1 or i + j < 2:
         return False
+    own, others = set(x), set(y)
+    if len(own - others) > limit or len(others - own) > limit:  # an edit takes away one letter at most
+        return False
     before, row = [], list(range(len(y) + 1))
     for r, c in enumerate(x, 1):
         now = [r]
@@ -309,19 +317,22 @@ def _explained(left: list[str], right: list[str], known: set[str], counts: Count
     right = list(right)
     rest = []
     for w in left:
-        hit = next((v for v in right if _mistyped(w, v, counts)), None)
-        if hit is None:
-            rest.append(w)
+        first, last, size = w[0], w[-1], len(w)
+        for v in right:  # the first conditions are those of ``near`` that cost least
+            if (v[0] == first or v[-1] == last) and -4 < len(v) - size < 4 and _mistyped(w, v, counts):
+                right.remove(v)
+                break
         else:
-            right.remove(hit)
+            rest.append(w)
     if rest and right and not (_parts_of(rest, right, known) or _parts_of(right, rest, known)):
         a, b = "".join(rest), "".join(right)
         return ([], []) if len(a) > 5 and _mistyped(a, b, counts) else (rest, right)
+    begins = tuple([k for k in known if len(k) > 1])
     for one, other in ((rest, right), (right, rest)):
         for w in list(one):
             if len(w) < 5 or w not in one:
                 continue
-            if any(w.startswith(k) and (w[len(k) :] in known) for k in known if len(k) > 1):
+            if w.startswith(begins) and any(w.startswith(k) and (w[len(k) :] in known) for k in begins):
                 one.remove(w)
                 continue
             for v in list(other):
@@ -341,10 +352,12 @@ def _explained(left: list[str], right: list[str], known: set[str], counts: Count
 
 def _parts_of(some: list[str], other: list[str], known: set[str]) -> bool:
     """Whether every telling word of some may have run together of other words, or be light or a part of one."""
+    parts = ()
     for w in some:
-        if w in LIGHT or any(v.startswith(w) or v.endswith(w) for v in other):
+        if w in LIGHT or any([v.startswith(w) or v.endswith(w) for v in other]):
             continue
-        if len(w) < 5 or not (any(w.startswith(v) or w.endswith(v) for v in other) or any(w.startswith(k) or w.endswith(k) for k in known if len(k) > 1)):
+        parts = parts or (*other, *[k for k in known if len(k) > 1])
+        if len(w) < 5 or not (w.startswith(parts) or w.endswith(parts)):
             return False
     return True
 
@@ -418,11 +431,18 @@ def same_names(a: list[str], b: list[str]) -> float:
         a, b = b, a
     if not len(a):
         return -1.0
-    sb = set(b)
-    hits = sum(1 for w in a if w in sb)
-    if hits < len(a):
-        free = [w for w in b if w not in a]
-        hits += sum(0.9 for w in a if w not in sb and len(w) > 4 and any((w[:3] == v[:3] or w[-3:] == v[-3:]) and near(w, v) for v in free))
+    rest = [w for w in a if w not in b]
+    hits = len(a) - len(rest)
+    if rest:
+        free, close = [w for w in b if w not in a], 0
+        for w in rest:
+            if len(w) > 4:
+                first, last = w[:3], w[-3:]
+                for v in free:
+                    if (v.startswith(first) or v.endswith(last)) and near(w, v):
+                        close += 1
+                        break
+        hits += sum([0.9] * close)
     return hits / len(a)
 
 
@@ -461,28 +481,27 @@ def _same_given_names(names: float, t1: str, t2: str, cut1: bool, cut2: bool, k1
 
 FORM = "rid bigint, h1 bigint, h2 bigint, words string, cut boolean, marker string, keys array<string>, year int, venue string, low bigint, high bigint, n_words int, ends bigint"
 _YEAR = regex.compile(r"(?:19|20)\d\d")
-#: One of 128 bits for a word; two of 64 bits for the first and for the last three letters of a name's word.
-_bits = _Known(lambda w: 1 << (zlib.crc32(w.encode()) * 0x9E3779B1 >> 13 & 127))
+#: Which of 128 bits a word has; two of 64 bits for the first and for the last three letters of a name's word.
+_bits = _Known(lambda w: zlib.crc32(w.encode()) * 0x9E3779B1 >> 13 & 127)
 _ends = _Known(lambda w: 1 << (zlib.crc32(w[:3].encode()) % 61) | 1 << (zlib.crc32(b"-" + w[-3:].encode()) % 61))
 
 
+def _joined_bits(bits: np.ndarray, sizes: np.ndarray) -> list[int]:
+    """The bits of each list of so many numbers, as one number a list."""
+    out, some = np.zeros(len(sizes), np.int64), np.flatnonzero(sizes)
+    if len(some):
+        out[some] = np.bitwise_or.reduceat(bits, (np.cumsum(sizes) - sizes)[some])
+    return out.tolist()
+
+
 def masks(words: list[str], keys: list[list[str]]) -> dict[str, list]:
     """The columns low and high (128 bits, one for each word of a title), n_words (distinct) and ends (of names)."""
-    low, high, sizes, ends = [], [], [], []
-    cut, top = (1 << 63) - 1, 1 << 63
-    for t, k in zip(words, keys, strict=True):
-        m, own = 0, set(t.split())
-        for w in own:
-            m |= _bits[w]
-        low.append((m & cut) - (m & top))
-        m >>= 64
-        high.append((m & cut) - (m & top))
-        sizes.append(len(own))
-        e = 0
-        for w in k:
-            e |= _ends[w]
-        ends.append(e)
-    return {"low": low, "high": high, "n_words": sizes, "ends": ends}
+    own = [set(t.split()) for t in words]
+    n_words, n_keys = (np.fromiter(map(len, x), np.int64, len(x)) for x in (own, keys))
+    bit = np.array([_bits[w] for x in own for w in x], np.int64)
+    one = np.left_shift(np.int64(1), bit & 63)
+    ends = np.array([_ends[w] for k in keys for w in k], np.int64)
+    return {"low": _joined_bits(np.where(bit < 64, one, 0), n_words), "high": _joined_bits(np.where(bit < 64, 0, one), n_words), "n_words": n_words.tolist(), "ends": _joined_bits(ends, n_keys)}
 
 
 #: Columns of a form that ``alike_masks`` needs, suffixed with 1 and 2.
@@ -506,6 +525,18 @@ def alike_names():
     return (F.col("ends1") == 0) | (F.col("ends2") == 0) | (F.col("ends1").bitwiseAND(F.col("ends2")) != 0)
 
 
+def ends_of_names(forms: DataFrame) -> DataFrame:
+    """forms with first3 and last3: for the first and for the last three letters of every word of keys one of 64 bits."""
+    bits = lambda end: F.aggregate("keys", F.lit(0).cast("bigint"), lambda m, k: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(end(k, F.lit(3))), F.lit(64)).cast("int"))))
+    return forms.withColumns({"first3": bits(F.left), "last3": bits(F.right)})
+
+
+def alike_ends():
+    """What ``alike_names`` says, by the sharper masks first3 and last3, suffixed with 1 and 2."""
+    meet = lambda c: F.col(f"{c}1").bitwiseAND(F.col(f"{c}2")) != 0
+    return (F.col("first31") == 0) | (F.col("first32") == 0) | meet("first3") | meet("last3")
+
+
 def form_lists(titles: list, names: list, years: list, venues: list, counts: Counts) -> dict[str, list]:
     """The columns of FORM (but rid and hashes) for a batch."""
     finder = _finder(counts.names)
@@ -534,7 +565,7 @@ _ARROW = {"words": pa.string(), "cut": pa.bool_(), "marker": pa.string(), "keys"
 def form_arrays(batch: pa.RecordBatch, counts: Counts) -> tuple[dict[str, list], dict[str, pa.Array]]:
     """(lists, Arrow columns) of FORM for a batch with columns rid, h1, h2, title, names, year, venue."""
     column = lambda c: batch.column(batch.schema.get_field_index(c))
-    lists = form_lists(*(column(c).to_pylist() for c in ("title", "names", "year", "venue")), counts)
+    lists = form_lists(*(values(column(c)) for c in ("title", "names", "year", "venue")), counts)
     return lists, {c: column(c) for c in ("rid", "h1", "h2")} | {c: pa.array(lists[c], t) for c, t in _ARROW.items()}
 
 
@@ -550,11 +581,12 @@ def names_of_json(column):
 _COMPARED = ["keys", "words", "cut", "year", "venue"]
 
 
-def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, counts: Counts, gather: bool = False) -> DataFrame:
+def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, counts: Counts, gather: bool = False, met: bool = False) -> DataFrame:
     """The pairs (rid1, rid2) whose forms are the same paper; left and right are the forms of the two sides.
 
     Pairs travel as ids; the forms join them only here. With gather, pairs that came from many tasks are shuffled
-    before the check, so that Spark can size its tasks (for few pairs against a large store).
+    before the check, so that Spark can size its tasks (for few pairs against a large store). met: pairs were
+    chosen by ``alike_ends``, so their names aren't compared before.
     """
     shared = pairs.sparkSession.sparkContext.broadcast(counts)  # two tables of COUNT_CELLS numbers
 
@@ -562,10 +594,10 @@ def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, counts: Counts,
         counts = shared.value
         for batch in batches:
             # names first: pairs that they settle need no further columns
-            names = [same_names(a.split(), b.split()) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            names = [same_names(a.split(), b.split()) for a, b in zip(values(batch.column(2)), values(batch.column(3)), strict=True)]
             open_ = [not 0 <= n < LEAST_NAMES for n in names]
             batch = batch.filter(pa.array(open_, pa.bool_()))
-            columns = [batch.column(2 + i).to_pylist() for i in range(2 * len(_COMPARED))]
+            columns = [values(batch.column(2 + i)) for i in range(2 * len(_COMPARED))]
             k1, k2, t1, t2, cut1, cut2, y1, y2, v1, v2 = columns
             left = [n for n, o in zip(names, open_, strict=True) if o]
             keep = [_same_given_names(*x, counts) for x in zip(left, t1, t2, cut1, cut2, k1, k2, y1, y2, v1, v2, strict=True)]
@@ -575,7 +607,7 @@ def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, counts: Counts,
     joined = pairs.select("rid1", "rid2").join(form(right, 2), "rid2").join(form(left, 1), "rid1").where("marker1 = marker2")
     part = lambda c, end: F.transform(F.split(c, " "), lambda x: end(x, F.lit(3)))
     alike = F.expr("keys1 = '' or keys2 = ''") | F.arrays_overlap(part("keys1", F.left), part("keys2", F.left)) | F.arrays_overlap(part("keys1", F.right), part("keys2", F.right))
-    joined = joined.where(alike)
+    joined = joined if met else joined.where(alike)
     return (joined.repartition("rid1", "rid2") if gather else joined).select("rid1", "rid2", *[f"{c}{i}" for c in _COMPARED for i in (1, 2)]).mapInArrow(run, "rid1 bigint, rid2 bigint")
 
 

@@ -1,3 +1,5 @@
+import cProfile
+import pstats
 import random
 
 import numpy as np
@@ -305,3 +307,55 @@ def test_a_much_more_frequent_name_outweighs_a_strange_context(spark):
     c = spark.createDataFrame([*many, (9001, "Something else entirely on sleep in rural stroke cohorts", "T Fizonrad")], "id long, raw_title string, raw_authors string")
     none = spark.createDataFrame([], "id long, title string, authors_json string")
     assert rows(name_variants.variant_pairs(c, none, none)) == [("T Fizonorad", "T Fizonrad")]
+
+
+# ---- cost of forms and of pairs
+def _calls(f):
+    """Python and C calls that f makes, which is what a row costs whatever the machine."""
+    seen = cProfile.Profile()
+    seen.runcall(f)
+    return pstats.Stats(seen).total_calls
+
+
+def _made_names(rng, n):
+    word = lambda: "".join(rng.choice("abcdeiklmnorstuv") for _ in range(8))
+    return [", ".join(f"{word()} {word()}" for _ in range(3)) for _ in range(n)]
+
+
+def test_blocks_of_new_words_are_made_together():
+    rng = random.Random(7)
+    vectors, counts = entity_match.train([["alpha", "beta", "gamma"], ["beta", "delta"]])
+    index = entity_match.Index(vectors, counts, 50, 12)
+    keys = [sorted(n.replace(",", "").split()) for n in _made_names(rng, 2_000)]
+    titles = [" ".join(rng.sample("deep learning for triage of septic shock in rural mice".split(), 8)) for _ in keys]
+    together = []
+    assert _calls(lambda: together.append(index.describe(titles, keys))) < 40 * len(keys)
+    # a name's code doesn't depend on what else is in the batch
+    alone = entity_match.Index(vectors, counts, 50, 12)
+    for i in range(20):
+        name_codes = lambda blocks: {b for b in blocks if b & entity_match.NAMED and not b & entity_match.LETTERS}
+        assert name_codes(together[0][1][i]) == name_codes(alone.describe(titles[i : i + 1], keys[i : i + 1])[1][0])
+    words = ["a", "ab", "straße", "deep"]
+    cells, begin = entity_match._all_runs(words)
+    assert [x.tolist() for x in np.split(cells, begin[1:])] == [entity_match._runs(w) for w in words]
+
+
+def test_differing_titles_cost_few_calls():
+    a, b = "deep learning for triage of septic shock in rural mice", "deep learning for imaging of chronic pain in rural mice"
+    assert papers.same_title(a, b, False, False) == 0
+    assert _calls(lambda: papers.same_title(a, b, False, False)) < 100
+
+
+def test_sharper_name_masks_fail_no_pair_that_begins_or_ends_alike(spark):
+    rng = random.Random(9)
+    names = ["".join(rng.choice("abc") for _ in range(3)) + rng.choice("xyz") * 2 + "".join(rng.choice("abc") for _ in range(3)) for _ in range(60)]
+    forms = papers.ends_of_names(spark.createDataFrame([(i, rng.sample(names, i % 4)) for i in range(60)], "rid long, keys array<string>"))
+    side = lambda i: forms.select(*[F.col(c).alias(f"{c}{i}") for c in forms.columns])
+    pairs = side(1).crossJoin(side(2)).withColumn("passed", papers.alike_ends())
+    n = {True: 0, False: 0}
+    for r in pairs.collect():
+        a, b = r["keys1"], r["keys2"]
+        may = not a or not b or any(x[:3] == y[:3] or x[-3:] == y[-3:] for x in a for y in b)
+        n[may] += r["passed"]
+        assert r["passed"] or not may
+    assert n[True] and n[False] < sum(not papers.same_names(r["keys1"], r["keys2"]) for r in pairs.collect())
