@@ -359,3 +359,11 @@ def test_sharper_name_masks_fail_no_pair_that_begins_or_ends_alike(spark):
         n[may] += r["passed"]
         assert r["passed"] or not may
     assert n[True] and n[False] < sum(not papers.same_names(r["keys1"], r["keys2"]) for r in pairs.collect())
+
+
+def test_forms_cost_few_calls():
+    rng = random.Random(10)
+    counts = papers.Counts(np.zeros(papers.COUNT_CELLS + 1, np.int64), np.zeros(papers.COUNT_CELLS + 1, np.int64))
+    names = _made_names(rng, 1_000)
+    titles = [" ".join(rng.sample("deep learning for triage of septic shock in rural mice".split(), 8)) for _ in names]
+    assert _calls(lambda: papers.form_lists(titles, names, ["2020"] * 1_000, ["Heart"] * 1_000, counts)) < 155 * len(names)
