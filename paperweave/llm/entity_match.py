@@ -222,9 +222,10 @@ class Index:
         return signature, blocks
 
 
-_FORM = papers.FORM + ", signature bigint, blocks array<bigint>"
-#: What a block tells of a form besides its id.
-_JOINED = ("low", "high", "n_words", "first3", "last3", "marker")
+_FORM = papers.FORM + ", signature bigint, blocks array<bigint>, codes binary"
+#: What a block tells of a form besides its id; a block of a name's word tells nothing of the names.
+_OF_NAMES = ("first3", "last3", "codes")
+_JOINED = ("low", "high", "n_words", "marker", *_OF_NAMES)
 _indexes: dict[int, Index] = {}
 
 
@@ -250,7 +251,7 @@ def fit(samples: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def index(content: DataFrame, counts: papers.Counts, model: tuple[np.ndarray, np.ndarray, int], bits: int) -> DataFrame:
-    """FORM rows with signature and blocks."""
+    """FORM rows with signature, blocks and codes."""
     shared = content.sparkSession.sparkContext.broadcast((counts, *model))  # CELLS x DIM and COUNT_CELLS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,19 +263,23 @@ def index(content: DataFrame, counts: papers.Counts, model: tuple[np.ndarray, np
         for batch in batches:
             lists, arrays = papers.form_arrays(batch, counts)
             signature, blocks = _indexes[key].describe(lists["words"], lists["keys"])
-            yield pa.RecordBatch.from_pydict(arrays | {"signature": pa.array(signature), "blocks": pa.array(blocks, pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict(arrays | {"signature": pa.array(signature), "blocks": pa.array(blocks, pa.list_(pa.int64())), "codes": papers.code_lists(lists["year"], lists["keys"])})
 
     return content.mapInArrow(run, _FORM).where("words <> ''")
 
 
 def _blocks(forms: DataFrame, hot: DataFrame, number: int) -> DataFrame:
-    """(block, rid, masks, marker), suffixed: one row per block of a form.
+    """(block, rid, masks, marker, codes), suffixed: one row per block of a form. Forms without codes have nulls.
 
     Hot blocks are split: those of a name by every telling word of the title, those of a title by the first and
     the last three letters of every name (and one part for rows without names, which meet all others).
     """
     forms = papers.ends_of_names(forms.withColumn("marker", F.xxhash64("marker")))
-    rows = forms.select("rid", *_JOINED, "words", "keys", F.explode("blocks").alias("block"))
+    codes = F.col("codes") if "codes" in forms.columns else F.lit(None).cast("binary")
+    rows = forms.withColumn("codes", codes).select("rid", *_JOINED, "words", "keys", F.explode("blocks").alias("block"))
+    # rows that share a name's word meet it: masks of zero and codes of null pass
+    of_title = F.col("block").bitwiseAND(NAMED) == 0
+    rows = rows.withColumns({c: F.when(of_title, F.col(c)).otherwise(F.lit(None if c == "codes" else 0)) for c in _OF_NAMES})
     marked = rows.join(hot.select("block", F.lit(True).alias("is_hot")), "block", "left")
     light = F.array(*[F.lit(w) for w in sorted(papers.LIGHT)])
     telling = F.array_except(F.split("words", " "), light)
@@ -292,7 +297,8 @@ def _blocks(forms: DataFrame, hot: DataFrame, number: int) -> DataFrame:
 def block_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
     """(rid1, rid2) of all rows that share a block and may share about half of the words of the shorter title.
 
-    Names, where both have some, must begin or end alike in one word.
+    In blocks of titles names, where both have some, must be such that enough of them may be typings of each other,
+    and years must agree where names are missing (see ``papers.alike_codes``).
     """
     sides = left.select("blocks").unionByName(right.select("blocks"))
     least = max(2, HOT_BLOCK // max(1, sides.rdd.getNumPartitions()))
@@ -306,7 +312,12 @@ def block_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFram
     hot = scratch.keep(sides.mapInArrow(often, "block bigint, n bigint").groupBy("block").agg(F.sum("n").alias("n")).where(F.col("n") > HOT_BLOCK), "hot")
     pairs = _blocks(left, hot, 1).join(_blocks(right, hot, 2), "block")
     near = pairs.where("marker1 = marker2").where(papers.alike_words() | (F.col("block").bitwiseAND(LETTERS) != 0)).where(papers.alike_ends())
-    return near.select("rid1", "rid2").distinct()
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select([0, 1]).filter(pa.array(papers.alike_codes(batch.column(2), batch.column(3)), pa.bool_()))
+
+    return near.select("rid1", "rid2", "codes1", "codes2").mapInArrow(met, "rid1 bigint, rid2 bigint").distinct()
 
 
 def differing_bits(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:

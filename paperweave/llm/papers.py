@@ -11,6 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -537,6 +538,91 @@ def alike_ends():
     return (F.col("first31") == 0) | (F.col("first32") == 0) | meet("first3") | meet("last3")
 
 
+#: Letters of a name's word in its code: one of so many bits for each; above them its length (2 bits) and its ends (3 and 3).
+LETTER_BITS = 24
+#: Forms with more names have no codes; word pairs that are compared at a time.
+MOST_CODES, WORD_PAIRS = 255, 1 << 20
+
+
+def _name_code(word: str) -> int:
+    """32 bits of a name's word: its letters, how many edits are typing (see ``near``), its first and last three letters."""
+    m = 0
+    for c in word:
+        m |= 1 << ord(c) % LETTER_BITS
+    n = len(word)
+    return m | ((n > 5) + (n > 10)) << LETTER_BITS | (zlib.crc32(word[:3].encode()) & 7) << 26 | (zlib.crc32(word[-3:].encode()) & 7) << 29
+
+
+_name_codes = _Known(_name_code)
+
+
+def code_lists(years: list[int], keys: list[list[str]]) -> pa.Array:
+    """For each form its year and then the codes of its name words, 4 bytes each; null if there are more than MOST_CODES.
+
+    Bytes, as Spark takes the size of an Arrow batch after every row, which for lists reads the whole batch.
+    """
+    size = np.fromiter(map(len, keys), np.int64, len(keys))
+    many = size > MOST_CODES
+    if many.any():
+        keys, size = [() if m else k for k, m in zip(keys, many.tolist(), strict=True)], np.where(many, 0, size)
+    codes = np.fromiter([_name_codes[w] for k in keys for w in k], np.uint32, int(size.sum()))
+    end = np.cumsum(size + 1)
+    all_, first = np.empty(int(end[-1]) if len(end) else 0, np.uint32), end - size - 1
+    named = np.ones(len(all_), bool)
+    named[first] = False
+    all_[first], all_[named] = np.array(years, np.uint32), codes
+    ends = np.concatenate([[0], 4 * end]).astype(np.int32)
+    lists = pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(ends), pa.py_buffer(all_)])
+    return pc.if_else(pa.array(many), pa.scalar(None, pa.binary()), lists) if many.any() else lists
+
+
+def _read_codes(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all numbers, where those of each list begin, how many it has: none if it is null)."""
+    if not len(lists):
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, ends, data = lists.buffers()
+    at = np.frombuffer(ends, np.int32)[lists.offset : lists.offset + len(lists) + 1].astype(np.int64) // 4
+    flat = np.frombuffer(data, np.uint32, int(at[-1])) if data is not None else np.zeros(0, np.uint32)
+    return flat, at[:-1], np.where(lists.is_null().to_numpy(zero_copy_only=False), 0, np.diff(at))
+
+
+def _runs_of(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of runs of these sizes, one run after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def alike_codes(one: pa.Array, other: pa.Array) -> np.ndarray:
+    """Which pairs of ``code_lists`` may be the same paper: no pair fails that ``same_paper`` takes.
+
+    Enough words of the shorter list must have one in the other that may be a typing of it: a beginning or an end
+    alike and, either way, no more strange letters than edits are allowed. Without names on one side the years agree.
+    Pairs with a null pass.
+    """
+    (f1, b1, n1), (f2, b2, n2) = _read_codes(one), _read_codes(other)
+    codes, b2 = np.concatenate([f1, f2]), b2 + len(f1)
+    passed = np.ones(len(n1), bool)
+    blank = np.flatnonzero(np.minimum(n1, n2) == 1)
+    y1, y2 = (codes[b[blank]].astype(np.int64) for b in (b1, b2))
+    passed[blank] = (y1 == 0) | (y2 == 0) | (np.abs(y1 - y2) <= 1)
+    named = np.flatnonzero(np.minimum(n1, n2) > 1)
+    portion = np.cumsum((n1 * n2)[named]) // WORD_PAIRS
+    for rows in np.split(named, np.flatnonzero(np.diff(portion)) + 1) if len(named) else ():
+        swap = n1[rows] > n2[rows]
+        short, long = np.where(swap, n2[rows], n1[rows]) - 1, np.where(swap, n1[rows], n2[rows]) - 1
+        begin, begin_long = np.where(swap, b2[rows], b1[rows]) + 1, np.where(swap, b1[rows], b2[rows]) + 1
+        words, against = _runs_of(begin, short), np.repeat(long, short)
+        a, b = np.repeat(codes[words], against), codes[_runs_of(np.repeat(begin_long, short), against)]
+        x = a ^ b
+        # a pair with alike ends, and not more letters on a side that the other lacks than edits
+        edits = 1 + np.minimum(a >> np.uint32(LETTER_BITS) & np.uint32(3), b >> np.uint32(LETTER_BITS) & np.uint32(3))
+        strange = x & np.uint32((1 << LETTER_BITS) - 1)
+        may = ((x & np.uint32(7 << 26)) == 0) | ((x & np.uint32(7 << 29)) == 0)
+        may &= (np.bitwise_count(strange & a) <= edits) & (np.bitwise_count(strange & b) <= edits)
+        met = np.logical_or.reduceat(may, np.cumsum(against) - against)
+        passed[rows] = np.add.reduceat(met, np.cumsum(short) - short, dtype=np.int64) >= LEAST_NAMES * short
+    return passed
+
+
 def form_lists(titles: list, names: list, years: list, venues: list, counts: Counts) -> dict[str, list]:
     """The columns of FORM (but rid and hashes) for a batch."""
     finder = _finder(counts.names)

@@ -367,3 +367,46 @@ def test_forms_cost_few_calls():
     names = _made_names(rng, 1_000)
     titles = [" ".join(rng.sample("deep learning for triage of septic shock in rural mice".split(), 8)) for _ in names]
     assert _calls(lambda: papers.form_lists(titles, names, ["2020"] * 1_000, ["Heart"] * 1_000, counts)) < 155 * len(names)
+
+
+def _misspelt(rng, word):
+    i = rng.randrange(1, len(word) - 1)
+    return rng.choice([word[:i] + word[i + 1 :], word[:i] + rng.choice("abcxyzé") + word[i:], word[:i] + rng.choice("abcxyz") + word[i + 1 :], word[: i - 1] + word[i] + word[i - 1] + word[i + 1 :]])
+
+
+def test_name_codes_fail_no_pair_whose_names_are_alike(monkeypatch):
+    rng = random.Random(12)
+    names = ["".join(rng.choice("aeiklnorstuvжé") for _ in range(rng.choice([3, 5, 6, 8, 10, 11, 14]))) for _ in range(40)]
+    typed = lambda w: w if len(w) < 5 else _misspelt(rng, _misspelt(rng, w)) if len(w) > 10 and rng.random() < 0.5 else _misspelt(rng, w)
+    lists = [[]] * 4 + [rng.sample(names, rng.randrange(1, 7)) for _ in range(60)]
+    lists += [sorted({typed(w) if rng.random() < 0.6 else w for w in x}) for x in lists] + [[w[0] + "".join(rng.choice("bcdfg") for _ in w) + w[-3:] for w in x] for x in lists]
+    years = [rng.choice([0, 2019, 2020, 2021, 2022]) for _ in lists]
+    codes = papers.code_lists(years, lists)
+    pairs = [(i, j) for i in range(len(lists)) for j in range(len(lists))]
+    passed = papers.alike_codes(codes.take([i for i, _ in pairs]), codes.take([j for _, j in pairs]))
+    n, others = {True: 0, False: 0}, 0
+    for (i, j), p in zip(pairs, passed.tolist(), strict=True):
+        share = papers.same_names(lists[i], lists[j])
+        may = share >= papers.LEAST_NAMES or share < 0 and (not years[i] or not years[j] or abs(years[i] - years[j]) <= 1)
+        n[may] += p
+        others += not may
+        assert p or not may, (lists[i], lists[j])
+    assert n[True] > 200 and n[False] < 0.2 * others
+    # in portions, without codes, and with too many names
+    monkeypatch.setattr(papers, "WORD_PAIRS", 50)
+    assert (papers.alike_codes(codes.take([i for i, _ in pairs]), codes.take([j for _, j in pairs])) == passed).all()
+    many = papers.code_lists([2020, 2001, 2020], [names * 7, names[:2], names[2:4]])
+    assert many.is_null().to_pylist() == [True, False, False]
+    assert papers.alike_codes(many, many.take([1, 2, 1])).tolist() == [True, False, False]
+    assert papers.alike_codes(codes[:0], codes[:0]).tolist() == []
+
+
+def test_equal_ends_of_other_names_make_no_pair_of_titles(spark):
+    """Only pairs whose names may be typings of each other leave the blocks of titles; pairs without names need the year."""
+    from paperweave.operators.durable import Scratch
+
+    title = "deep learning for triage of septic shock"
+    forms = lambda made: _form_rows(spark, [(i, title, keys, [9]) for i, keys, _ in made]).join(spark.createDataFrame([(i, c) for (i, _, _), c in zip(made, papers.code_lists([y for *_, y in made], [k for _, k, _ in made]).to_pylist(), strict=True)], "rid long, codes binary"), "rid")
+    left = forms([(1, ["fizonorad", "gokatonen"], 2020), (2, [], 2020)])
+    right = forms([(11, ["belumurad", "sivuktonen"], 2020), (12, ["fizonroad", "krelutim"], 2020), (13, ["zemorin"], 2012), (14, ["zemorin"], 2021), (15, ["zemorin"], 0)])
+    assert rows(entity_match.block_pairs(left, right, Scratch(spark, "names"))) == [(1, 12), (2, 11), (2, 12), (2, 14), (2, 15)]
