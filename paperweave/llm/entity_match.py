@@ -81,6 +81,22 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-9)
 
 
+def _sum_runs(table: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The sum of the rows of a table at the places of each run, in their order; runs of these sizes follow each other in at.
+
+    The first rows of all runs are added at once, then the second ones and so on: a fraction of the time of reduceat.
+    """
+    order = np.argsort(-size, kind="stable")  # the longest first: runs that go on are the first ones
+    begin = (np.cumsum(size) - size)[order]
+    more = len(size) - np.cumsum(np.bincount(size)) if len(size) else ()
+    sums = np.zeros((len(size), table.shape[1]), table.dtype)
+    for i, n in enumerate(more[:-1]):
+        sums[:n] += table[at[begin[:n] + i]]
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
+
+
 def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """Adds rows to those of a table at indices that may repeat."""
     order = np.argsort(at, kind="stable")
@@ -166,7 +182,7 @@ class Index:
         for i in range(0, len(words), PORTION):
             some = words[i : i + PORTION]
             cells, begin = _all_runs(some)
-            v = np.add.reduceat(self.table[cells], begin, axis=0)
+            v = _sum_runs(self.table, cells, np.diff(begin, append=len(cells)))
             rare = np.log1p(self.total / (1.0 + self.counts[cells[np.append(begin[1:], len(cells)) - 1]])) / math.log1p(self.total)
             weight = (0.2 + rare) * np.array([0.3 if w in papers.LIGHT else 1.0 for w in some])
             self.vectors[self.used : self.used + len(some)] = v * (weight / np.maximum(np.linalg.norm(v, axis=1), 1e-9))[:, None]
@@ -179,19 +195,15 @@ class Index:
         for i in range(0, len(words), PORTION):
             some = words[i : i + PORTION]
             cells, begin = _all_runs(some)
-            bits = np.add.reduceat(self.name_sides[cells], begin, axis=0) > 0
+            bits = _sum_runs(self.name_sides, cells, np.diff(begin, append=len(cells))) > 0
             self.codes.update(zip(some, (bits @ (1 << np.arange(NAME_BITS, dtype=np.int64)) | NAMED).tolist(), strict=True))
 
     def _sums(self, lists: list[list[str]]) -> np.ndarray:
         """The sum of the vectors of each list of words."""
-        out = np.zeros((len(lists), DIM), np.float32)
         flat = [w for x in lists for w in x]
-        if flat:
-            self._learn(flat)
-            sizes = np.array([len(x) for x in lists])
-            some = np.flatnonzero(sizes)
-            out[some] = np.add.reduceat(self.vectors[[self.rows[w] for w in flat]], (np.cumsum(sizes) - sizes)[some], axis=0)
-        return out
+        self._learn(flat)
+        rows = np.fromiter([self.rows[w] for w in flat], np.int64, len(flat))
+        return _sum_runs(self.vectors, rows, np.fromiter(map(len, lists), np.int64, len(lists)))
 
     def _codes(self, vectors: np.ndarray) -> np.ndarray:
         """A code for every table, marked with the table's number."""

@@ -410,3 +410,14 @@ def test_equal_ends_of_other_names_make_no_pair_of_titles(spark):
     left = forms([(1, ["fizonorad", "gokatonen"], 2020), (2, [], 2020)])
     right = forms([(11, ["belumurad", "sivuktonen"], 2020), (12, ["fizonroad", "krelutim"], 2020), (13, ["zemorin"], 2012), (14, ["zemorin"], 2021), (15, ["zemorin"], 0)])
     assert rows(entity_match.block_pairs(left, right, Scratch(spark, "names"))) == [(1, 12), (2, 11), (2, 12), (2, 14), (2, 15)]
+
+
+def test_rows_of_runs_are_added_in_order():
+    rng = np.random.default_rng(3)
+    for sizes in ([], [0], [3, 0, 1, 7, 0, 2, 12], [1] * 5):
+        size = np.array(sizes, np.int64)
+        at = rng.integers(0, 20, int(size.sum()))
+        for table in (rng.integers(-9, 9, (20, 4)), rng.standard_normal((20, 4)).astype(np.float32)):
+            want = [sum((table[j] for j in run), np.zeros(4, table.dtype)) for run in np.split(at, np.cumsum(size)[:-1])] if sizes else np.zeros((0, 4))
+            got = entity_match._sum_runs(table, at, size)
+            assert got.dtype == table.dtype and (got == np.array(want)).all()
